@@ -1,4 +1,11 @@
 """Panel analytics on Spark: cleaning, shares, reshapes and models over
 (period, group, member) facts."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Task functions travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

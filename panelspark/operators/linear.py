@@ -243,9 +243,13 @@ def lasso_paths(st: Standardised, lambdas: np.ndarray, tol: float = 1e-10, sweep
 
 
 def ridge_paths(st: Standardised, lambdas: np.ndarray) -> np.ndarray:
-    """Standardised slopes ``[set, λ, term]`` from the closed form."""
+    """Standardised slopes ``[set, λ, term]`` from the closed form ``(R + λ/sd(y)·I)⁻¹r``.
+
+    As for the lasso, λ is in units of the label.
+    """
     p = st.corr_y.shape[1]
-    system = st.corr[:, None] + lambdas[:, :, None, None] * np.eye(p)
+    relative = lambdas / np.sqrt(np.maximum(st.var_y, 1e-300))[:, None]
+    system = st.corr[:, None] + relative[:, :, None, None] * np.eye(p)
     return np.linalg.solve(system, np.broadcast_to(st.corr_y[:, None, :, None], (*system.shape[:3], 1)))[..., 0]
 
 
@@ -322,6 +326,21 @@ def lasso_bic(
     return PenalisedFit(list(spec.terms), b, float(grid[0, best[0]]), rows, "lambda double, bic double, nvars int")
 
 
+def penalised_path(
+    df: DataFrame, spec: ModelSpec, lambdas: Sequence[float], ridge: bool = False
+) -> DataFrame:
+    """``(lambda, term, estimate)`` at given penalties, which must fall."""
+    moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
+    st = standardise([moments.total])
+    grid = np.asarray(lambdas, float)[None, :]
+    slopes = unscale(st, (ridge_paths if ridge else lasso_paths)(st, grid))[0]
+    rows = []
+    for lam, b in zip(lambdas, slopes, strict=True):
+        full = with_intercept(moments.total, moments.shift, b)
+        rows += [(float(lam), t, float(v)) for t, v in zip([INTERCEPT, *spec.terms], full, strict=True)]
+    return df.sparkSession.createDataFrame(rows, "lambda double, term string, estimate double")
+
+
 def held_out_mse(test: np.ndarray, train: np.ndarray, slopes: np.ndarray) -> np.ndarray:
     """Mean squared error on the held-out moments, per row of ``slopes``."""
     _, mean, *_ = centred(train)
