@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -142,8 +143,8 @@ def _inner_choice(design, family, outer, moments, lambdas, rule, kept, columns,
     grid = np.repeat(lambdas, len(inner), axis=0)
     models, train_deviance, train_n = _fit_paths(design, family, sets, grid, sds)
     # deviance on the outer training set minus that on the inner one is the held-out part
-    wide = Models(models.beta, models.skip_fold, np.full(len(models), -1), models.tau, models.replicate)
-    _, _, scalars = weighted_pass(design, wide, glm_step(family), 3)
+    wide = replace(models, skip_inner=np.full(len(models), -1))
+    _, _, scalars = weighted_pass(design, wide, glm_step(family), 1, 1, 3)
     shape = (len(outer), len(inner), points)
     held_n = (scalars[:, 1].reshape(shape) - train_n.reshape(shape))[:, :, 0]
     held = (scalars[:, 0].reshape(shape) - train_deviance.reshape(shape)) / np.maximum(held_n, 1)[:, :, None]

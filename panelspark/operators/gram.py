@@ -16,11 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Up to this many columns the products are JVM sums; beyond it the generated
 # aggregate grows too wide and blocks of rows are multiplied in numpy instead.
 JVM_COLUMNS = 9
 MAX_COLLECTED = 50_000_000
+# Values of task results the driver may add up itself; beyond it they are shuffled.
+SMALL_RESULT = 2_000_000
 
 
 def quoted(name: str) -> str:
@@ -32,12 +35,17 @@ def packed_pairs(size: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(size) for j in range(i, size)]
 
 
-def column_means(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Column means, used as a common shift so that products keep their digits."""
+def common_shift(df: DataFrame, columns: Sequence[str], rows: int = 1000) -> np.ndarray:
+    """A constant near each column's mean, so that products keep their digits.
+
+    Any constant gives the same model; the mean of a few rows is near enough
+    and does not cost a pass over the table.
+    """
     if not columns:
         return np.zeros(0)
-    row = df.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return np.array([0.0 if v is None else v for v in row])
+    few = df.select(*[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).limit(rows)
+    row = few.agg(*[F.avg(f"c{i}").alias(f"m{i}") for i in range(len(columns))]).first()
+    return np.array([0.0 if v is None or v != v else v for v in row])
 
 
 def keyed_moments(
@@ -73,8 +81,6 @@ def keyed_moments(
 
 def _block_sums(columns, keys, shift, schema, held=512):
     """Task function: products per key over the task's rows, at most ``held`` keys at a time."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow_schema = to_arrow_schema(schema)
     upper = np.triu_indices(len(columns) + 1)
 
@@ -155,7 +161,7 @@ def collect_moments(
     """Run the pass and fetch the matrices: keys × p², checked, and never rows."""
     columns = list(columns)
     if shift is None:
-        shift = column_means(df, columns)
+        shift = common_shift(df, columns)
     size = len(columns) + 1
     table = keyed_moments(df, columns, keys, shift).limit(MAX_COLLECTED + 1).toArrow()
     if table.num_rows > MAX_COLLECTED:
@@ -172,6 +178,28 @@ def collect_moments(
     return Moments(columns, np.asarray(shift, float), dict(sorted(by_key.items())))
 
 
+def add_partials(partial: DataFrame, index: str, count: int, width: int, parts: int) -> np.ndarray:
+    """Sum per-task rows ``(index, m array)`` to a [count, width] array.
+
+    Few tasks with short results are added here; otherwise the values are
+    summed by a shuffle first, so what arrives never depends on the task count.
+    """
+    flat = np.zeros((count, width))
+    if parts * count * width <= SMALL_RESULT:
+        table = partial.toArrow()
+        values = table.column("m").combine_chunks().flatten().to_numpy().reshape(-1, width)
+        np.add.at(flat, table.column(index).to_numpy(), values)
+        return flat
+    table = (
+        partial.select(index, F.posexplode("m").alias("pos", "value"))
+        .groupBy(index, "pos")
+        .agg(F.sum("value").alias("value"))
+        .toArrow()
+    )
+    flat[table.column(index).to_numpy(), table.column("pos").to_numpy()] = table.column("value").to_numpy()
+    return flat
+
+
 def row_hash(row_key: Sequence[str], seed: int | str) -> Column:
     """Eight hex digits of a digest of the row key and the seed."""
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in row_key], F.lit(str(seed)))

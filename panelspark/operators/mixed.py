@@ -19,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from panelspark.functions import dist
 from panelspark.operators.clean import left_join_on
 from panelspark.operators.design import ModelSpec, design_rows
-from panelspark.operators.gram import collect_moments, packed_pairs, quoted
+from panelspark.operators.gram import add_partials, collect_moments, packed_pairs, quoted
 from panelspark.operators.linear import INTERCEPT, independent_columns, linear_predictor
-from panelspark.session import reused
+from panelspark.session import pinned, reused
 
 MAX_CROSSED = 2000
 
@@ -90,6 +92,7 @@ class Prepared:
     crossed_by_fold: dict
     zz: np.ndarray
     fold: str | None = None
+    parts: int = 1 << 30
     passes: int = field(default=0)
 
     @property
@@ -109,13 +112,11 @@ class Prepared:
         return sum((m for k, m in self.crossed_by_fold.items() if k != fold), start)
 
 
-def _prepare(df: DataFrame, spec: MixedSpec, fold: str | None) -> tuple[DataFrame, list[str]]:
+def _design(df: DataFrame, spec: MixedSpec, fold: str | None) -> DataFrame:
     keep = [*spec.group, *([spec.crossed] if spec.crossed else []), *([spec.slope] if spec.slope else [])]
-    keep += [fold] if fold else []
     keep = list(dict.fromkeys(c for c in keep if c not in spec.fixed.terms))
-    rows = design_rows(df, spec.fixed, keep)
-    needed = [c for c in keep if c != fold]
-    return (rows.na.drop("any", subset=needed) if needed else rows), keep
+    rows = design_rows(df, spec.fixed, [*keep, fold] if fold else keep)
+    return rows.na.drop("any", subset=keep)
 
 
 def prepare_mixed(rows: DataFrame, spec: MixedSpec, fold: str | None = None) -> Prepared:
@@ -137,7 +138,7 @@ def prepare_mixed(rows: DataFrame, spec: MixedSpec, fold: str | None = None) ->
     levels = _levels(rows, spec.crossed)
     if spec.crossed:
         table = rows.sparkSession.createDataFrame(list(zip(levels, range(len(levels)), strict=True)),
-            keyed.select(F.col(spec.crossed).alias("__level")).schema.add("__s", "int"))
+            keyed.select(F.col(spec.crossed).alias("__level")).schema.add("__s", T.IntegerType()))
         # at most MAX_CROSSED rows
         keyed = keyed.join(F.broadcast(table), F.col(spec.crossed) == F.col("__level"))
     else:
@@ -238,16 +239,8 @@ def evaluate(p: Prepared, points: Sequence[tuple[Variant, np.ndarray]]) -> list[
             {"point": pa.array(range(count), pa.int32()), "m": pa.array(list(out), pa.list_(pa.float64()))}
         )
 
-    table = (
-        p.groups.select("__s", "__fold", "__sums")
-        .mapInArrow(run, "point int, m array<double>")
-        .select("point", F.posexplode("m").alias("pos", "value"))
-        .groupBy("point", "pos")
-        .agg(F.sum("value").alias("value"))
-        .toArrow()
-    )
-    flat = np.zeros((count, len(upper[0]) + 1))
-    flat[table.column("point").to_numpy(), table.column("pos").to_numpy()] = table.column("value").to_numpy()
+    partial = p.groups.select("__s", "__fold", "__sums").mapInArrow(run, "point int, m array<double>")
+    flat = add_partials(partial, "point", count, len(upper[0]) + 1, p.parts)
     out = []
     for i in range(count):
         q = np.zeros((size, size))
@@ -305,58 +298,55 @@ def _reduced(p: Prepared, variant: Variant, q: np.ndarray):
     return m - q
 
 
-def _at_theta(p: Prepared, m: np.ndarray, logdet: float, theta: float):
-    """The pieces of the deviance for a crossed deviation ratio ``theta``."""
+def _at_thetas(p: Prepared, m: np.ndarray, logdet: float, thetas: np.ndarray):
+    """Log-determinant, ``XᵀV⁻¹X``, coefficients and RSS for several crossed ratios at once."""
     width, p1 = p.p1 + 1, p.p1
-    f = m[:width, :width]
-    if p.levels and theta > 0:
-        inner = np.eye(len(p.levels)) + theta**2 * m[width:, width:]
-        f = f - theta**2 * m[:width, width:] @ np.linalg.solve(inner, m[width:, :width])
-        logdet = logdet + np.linalg.slogdet(inner)[1]
-    xx, xy, yy = f[:p1, :p1], f[:p1, -1], f[-1, -1]
-    beta = np.linalg.solve(xx, xy)
-    rss = max(yy - xy @ beta, 1e-300)
-    return logdet, xx, beta, rss
-
-
-def _deviance(logdet: float, xx: np.ndarray, rss: float, n: float, reml: bool) -> float:
+    f = np.broadcast_to(m[:width, :width], (len(thetas), width, width))
+    logdets = np.full(len(thetas), logdet)
+    if p.levels and np.any(thetas > 0):
+        values, vectors = np.linalg.eigh(m[width:, width:])
+        values = np.maximum(values, 0.0)
+        g = vectors.T @ m[width:, :width]
+        square = thetas[:, None] ** 2
+        f = f - np.einsum("tk,ki,kj->tij", square / (1 + square * values), g, g)
+        logdets = logdets + np.log1p(square * values).sum(axis=1)
+    xx, xy, yy = f[:, :p1, :p1], f[:, :p1, -1], f[:, -1, -1]
+    beta = np.linalg.solve(xx, xy[..., None])[..., 0]
+    rss = np.maximum(yy - np.einsum("ti,ti->t", xy, beta), 1e-300)
+    return logdets, xx, beta, rss
+
+
+def _deviances(logdets: np.ndarray, xx: np.ndarray, rss: np.ndarray, n: float, reml: bool) -> np.ndarray:
     if reml:
-        df = n - len(xx)
-        return logdet + np.linalg.slogdet(xx)[1] + df * (1 + math.log(2 * math.pi * rss / df))
-    return logdet + n * (1 + math.log(2 * math.pi * rss / n))
+        df = n - xx.shape[-1]
+        return logdets + np.linalg.slogdet(xx)[1] + df * (1 + np.log(2 * math.pi * rss / df))
+    return logdets + n * (1 + np.log(2 * math.pi * rss / n))
+
 
+THETAS = np.concatenate([[0.0], np.exp(np.linspace(math.log(1e-3), math.log(1e3), 41))])
 
-def _best_theta(p: Prepared, variant: Variant, q: np.ndarray, logdet: float, reml: bool) -> tuple[float, float]:
+
+def _best_theta(
+    p: Prepared, variant: Variant, q: np.ndarray, logdet: float, reml: bool, fine: bool = True
+) -> tuple[float, float]:
     """Crossed ratio with the least deviance for a given Λ: no pass over data."""
     m, n = _reduced(p, variant, q), p.fixed(variant.fold)[0, 0]
 
-    def score(theta: float) -> float:
-        ld, xx, _, rss = _at_theta(p, m, logdet, theta)
-        return _deviance(ld, xx, rss, n, reml)
-
-    if not p.levels or not variant.crossed:
-        return score(0.0), 0.0
-    grid = np.concatenate([[0.0], np.exp(np.linspace(math.log(1e-3), math.log(1e3), 49))])
-    values = [score(t) for t in grid]
-    best = int(np.argmin(values))
-    lo, hi = grid[max(best - 1, 0)], grid[min(best + 1, len(grid) - 1)]
-    golden = (math.sqrt(5) - 1) / 2
-    a, b = hi - golden * (hi - lo), lo + golden * (hi - lo)
-    fa, fb = score(a), score(b)
-    for _ in range(80):
-        if fa < fb:
-            hi, b, fb = b, a, fa
-            a = hi - golden * (hi - lo)
-            fa = score(a)
-        else:
-            lo, a, fa = a, b, fb
-            b = lo + golden * (hi - lo)
-            fb = score(b)
-        if hi - lo < 1e-12 * (1 + hi):
-            break
-    theta = (lo + hi) / 2
-    options = [(values[best], float(grid[best])), (score(theta), theta)]
-    return min(options)
+    def scores(thetas: np.ndarray) -> np.ndarray:
+        ld, xx, _, rss = _at_thetas(p, m, logdet, thetas)
+        return _deviances(ld, xx, rss, n, reml)
+
+    grid = THETAS if p.levels and variant.crossed else np.zeros(1)
+    values = scores(grid)
+    at = int(values.argmin())
+    best = (float(values[at]), float(grid[at]))
+    for _ in range(9 if fine and len(grid) > 1 else 0):
+        lo, hi = grid[max(at - 1, 0)], grid[min(at + 1, len(grid) - 1)]
+        grid = np.linspace(lo, hi, 17)
+        values = scores(grid)
+        at = int(values.argmin())
+        best = min(best, (float(values[at]), float(grid[at])))
+    return best
 
 
 def _free(variant: Variant, r: int) -> list[int]:
@@ -393,7 +383,8 @@ def _stencil(centre: np.ndarray, h: float, free: list[int]) -> list[np.ndarray]:
 
 
 def _next_centre(points: list[np.ndarray], values: list[float], centre: np.ndarray, h: float, free: list[int]):
-    """Minimum of a quadratic through the stencil, if it has one nearby, else the best point."""
+    """Next centre, stencil size and predicted gain: the minimum of a quadratic
+    through the stencil, if it has one nearby, else the best point."""
     best = points[int(np.argmin(values))]
     x = np.array([(q - centre)[free] / h for q in points])
     d = x.shape[1]
@@ -411,23 +402,34 @@ def _next_centre(points: list[np.ndarray], values: list[float], centre: np.ndarr
             if reach <= 2.0:
                 moved = centre.copy()
                 moved[free] += h * step
-                return moved, h * (0.2 if reach <= 0.7 else 0.6)
+                return moved, h * (0.15 if reach <= 0.7 else 0.6), float(step @ hess @ step) / 2
     except np.linalg.LinAlgError:
         pass
-    return best, h * (0.4 if inside else 1.4)
+    return best, h * (0.4 if inside else 1.4), math.inf
+
 
+def search(
+    p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds: int = 25, tol: float = 1e-6,
+    start: np.ndarray | None = None,
+) -> list[Solution]:
+    """Λ with the least deviance for every variant; all variants share each pass.
 
-def search(p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds: int = 25, tol: float = 1e-5):
-    """Λ with the least deviance for every variant; all variants share each pass."""
+    A coarse grid (or ``start``) gives the first centres; then every round
+    scores a small stencil around each centre and moves to the minimum of the
+    quadratic through it, until the predicted gain or the stencil is tiny.
+    """
     r = p.r
     state = {}
     free = [_free(v, r) for v in variants]
-    points = [(i, x) for i in range(len(variants)) for x in _coarse(free[i], r)]
-    scored = _score(p, variants, points, reml)
-    for i in range(len(variants)):
-        mine = [(scored[k][0], points[k][1]) for k in range(len(points)) if points[k][0] == i]
-        value, x = min(mine, key=lambda item: item[0])
-        state[i] = [x, max(0.35 * np.abs(x).max(), 0.02), value]
+    if start is None:
+        points = [(i, x) for i in range(len(variants)) for x in _coarse(free[i], r)]
+        scored = _score(p, variants, points, reml, fine=False)
+        for i in range(len(variants)):
+            mine = [(scored[k][0], points[k][1]) for k in range(len(points)) if points[k][0] == i]
+            x = min(mine, key=lambda item: item[0])[1]
+            state[i] = [x, max(0.35 * np.abs(x).max(), 0.02)]
+    else:
+        state = {i: [start.copy(), max(0.1 * np.abs(start).max(), 0.02)] for i in range(len(variants))}
     open_ = [i for i in state if free[i]]
     for _ in range(rounds):
         if not open_:
@@ -438,9 +440,9 @@ def search(p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds:
         for i in open_:
             rows = [k for k in range(len(points)) if points[k][0] == i]
             values = [scored[k][0] for k in rows]
-            centre, h = _next_centre([points[k][1] for k in rows], values, state[i][0], state[i][1], free[i])
-            state[i] = [centre, h, min(values)]
-            if h > tol * (1 + np.abs(centre).max()):
+            centre, h, gain = _next_centre([points[k][1] for k in rows], values, state[i][0], state[i][1], free[i])
+            state[i] = [centre, h]
+            if gain > 1e-9 and h > tol * (1 + np.abs(centre).max()):
                 still.append(i)
         open_ = still
     final = [state[i][0] for i in range(len(variants))]
@@ -450,17 +452,17 @@ def search(p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds:
     ]
 
 
-def _score(p, variants, points, reml):
+def _score(p, variants, points, reml, fine=True):
     pieces = evaluate(p, [(variants[i], x) for i, x in points])
-    return [_best_theta(p, variants[i], q, ld, reml) for (i, _), (q, ld) in zip(points, pieces, strict=True)]
+    return [_best_theta(p, variants[i], q, ld, reml, fine) for (i, _), (q, ld) in zip(points, pieces, strict=True)]
 
 
 def _solve(p: Prepared, variant: Variant, lam: np.ndarray, q: np.ndarray, logdet: float, reml: bool) -> Solution:
     deviance, theta = _best_theta(p, variant, q, logdet, reml)
     m, n = _reduced(p, variant, q), p.fixed(variant.fold)[0, 0]
     width = p.p1 + 1
-    _, xx, beta, rss = _at_theta(p, m, logdet, theta)
-    sigma2 = rss / (n - len(xx) if reml else n)
+    _, xx, beta, rss = (part[0] for part in _at_thetas(p, m, logdet, np.array([theta])))
+    sigma2 = float(rss) / (n - len(xx) if reml else n)
     levels = len(p.levels)
     mode_cov = np.zeros((levels, levels))
     modes = np.zeros(levels)
@@ -543,7 +545,7 @@ class MixedFit:
         random = float(np.trace(s.lam @ s.lam.T @ p.zz) / n * s.sigma2 + s.sigma2 * s.theta**2)
         whole = fixed + random + s.sigma2
         return p.rows.sparkSession.createDataFrame(
-            [(fixed / whole, (fixed + random) / whole)], "r2_marginal double, r2_conditional double"
+            [(float(fixed / whole), float((fixed + random) / whole))], "r2_marginal double, r2_conditional double"
         )
 
     def modes(self) -> DataFrame:
@@ -577,9 +579,9 @@ def group_modes(p: Prepared, solutions: Sequence[Solution]) -> DataFrame:
     r, width, levels, p1 = p.r, p.p1 + 1, len(p.levels), p.p1
     t = _group_map(p)
     keys = list(p.spec.group)
-    schema = p.groups.select(*keys).schema.add("fold", "int").add("effects", "array<array<double>>")
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+    schema = p.groups.select(*keys).schema.add("fold", T.IntegerType()).add(
+        "effects", T.ArrayType(T.ArrayType(T.DoubleType()))
+    )
     arrow_schema = to_arrow_schema(schema)
 
     def run(batches):
@@ -621,7 +623,7 @@ def predict_mixed(p: Prepared, solutions: Sequence[Solution], out: str = "pred")
         seen = [
             (s.variant.fold, v, float(u)) for s in solutions for v, u in zip(p.levels, s.modes, strict=True)
         ]
-        schema = rows.select("__fold", F.col(p.spec.crossed)).schema.add("__u", "double")
+        schema = rows.select("__fold", F.col(p.spec.crossed)).schema.add("__u", T.DoubleType())
         # folds × crossed levels rows
         rows = left_join_on(rows, F.broadcast(spark.createDataFrame(seen, schema)), ["__fold", p.spec.crossed])
         pred = pred + F.coalesce(F.col("__u"), F.lit(0.0))
@@ -640,77 +642,69 @@ def profile_intervals(p: Prepared, s: Solution, level: float) -> np.ndarray:
     crossed ratios the deviance at a fixed coefficient is a closed form, so
     the profile is the least value over the grid. Ends are as fine as the grid.
     """
-    ml = search(p, [Variant(s.variant.fold)], reml=False)[0]
-    base = ml.lam[np.tril_indices(p.r)]
-    factors = np.exp(np.linspace(-0.7, 0.7, 57)) if p.r == 1 else np.exp(np.linspace(-0.6, 0.6, 7))
+    lower = np.tril_indices(p.r)
+    ml = search(p, [Variant(s.variant.fold)], reml=False, start=s.lam[lower])[0]
+    base = ml.lam[lower]
     if p.r == 1:
-        params = [base * f for f in factors] + [np.zeros(1)]
+        params = [base * f for f in np.exp(np.linspace(-0.7, 0.7, 57))] + [np.zeros(1)]
     else:
-        params = [np.array([base[0] * a, base[1] * b, base[2] * c]) for a in factors for b in factors for c in factors]
+        steps = np.exp(np.linspace(-0.6, 0.6, 7))
+        params = [np.array([base[0] * a, base[1] * b, base[2] * c]) for a in steps for b in steps for c in steps]
     pieces = evaluate(p, [(s.variant, x) for x in params])
     n = p.fixed(s.variant.fold)[0, 0]
-    thetas = ml.theta * np.exp(np.linspace(-0.9, 0.9, 37)) if p.levels and ml.theta > 0 else [0.0]
+    crossed = p.levels and ml.theta > 0
+    thetas = ml.theta * np.exp(np.linspace(-0.9, 0.9, 37)) if crossed else np.zeros(1)
     move = np.eye(p.p1)
     move[0, 1:] = -p.shift
-    spots = []
-    for q, logdet in pieces:
-        m = _reduced(p, s.variant, q)
-        for theta in thetas:
-            ld, xx, beta, rss = _at_theta(p, m, logdet, theta)
-            b = move @ beta
-            b[0] += p.y_shift
-            spots.append((ld, rss, b, np.diag(move @ np.linalg.inv(xx) @ move.T)))
-    ld = np.array([x[0] for x in spots])
-    rss = np.array([x[1] for x in spots])
-    centre = np.array([x[2] for x in spots])
-    var = np.array([x[3] for x in spots])
-    least = (ld + n * (1 + np.log(2 * math.pi * rss / n))).min()
+    spots = [_at_thetas(p, _reduced(p, s.variant, q), logdet, thetas) for q, logdet in pieces]
+    ld, rss = np.concatenate([x[0] for x in spots]), np.concatenate([x[3] for x in spots])
+    centre = np.concatenate([x[2] for x in spots]) @ move.T
+    centre[:, 0] += p.y_shift
+    inverse = np.linalg.inv(np.concatenate([x[1] for x in spots]))
+    var = np.einsum("ij,tjk,ik->ti", move, inverse, move)
+    heights = ld + n * (1 + np.log(2 * math.pi * rss / n))
+    best, least = int(heights.argmin()), heights.min()
     target = dist.normal_ppf(0.5 + level / 2) ** 2
 
-    def height(j: int, value: float) -> float:
+    def above(j: int, value: float) -> bool:
         grown = rss + (value - centre[:, j]) ** 2 / var[:, j]
-        return (ld + n * (1 + np.log(2 * math.pi * grown / n))).min() - least - target
+        return (ld + n * (1 + np.log(2 * math.pi * grown / n))).min() - least >= target
 
     ends = np.zeros((p.p1, 2))
-    best = int((ld + n * np.log(rss)).argmin())
     for j in range(p.p1):
         middle, unit = centre[best, j], math.sqrt(var[best, j] * rss[best] / n)
         for side, sign in enumerate((-1.0, 1.0)):
             near, far = middle, middle + sign * unit
-            while height(j, far) < 0:
+            while not above(j, far):
                 near, far = far, far + (far - middle)
-            for _ in range(60):
+            for _ in range(40):
                 mid = (near + far) / 2
-                near, far = (mid, far) if height(j, mid) < 0 else (near, mid)
+                near, far = (near, mid) if above(j, mid) else (mid, far)
             ends[j, side] = (near + far) / 2
     return ends
 
 
+def _ready(df: DataFrame, spec: MixedSpec, fold: str | None = None) -> Prepared:
+    """Prepared model with its group table pinned, as every later pass reads it."""
+    rows = _design(df, spec, fold)
+    with reused(rows) as kept:
+        p = prepare_mixed(kept, spec, fold)
+        p.groups = pinned(p.groups)
+        p.parts = p.groups.rdd.getNumPartitions()
+        _totals(p)
+    p.rows = rows
+    return p
+
+
 def fit_mixed(df: DataFrame, spec: MixedSpec, reml: bool = True) -> MixedFit:
     """Fit by restricted (or full) maximum likelihood."""
-    rows, _ = _prepare(df, spec, None)
-    p = prepare_mixed(rows, spec)
-    p.groups = _pinned(p.groups)
-    _totals(p)
+    p = _ready(df, spec)
     return MixedFit(p, search(p, [Variant()], reml)[0])
 
 
-def _pinned(groups: DataFrame) -> DataFrame:
-    """The group table is read once per round: checkpointed if the session names a folder."""
-    from panelspark.session import has_checkpoint_dir
-
-    if has_checkpoint_dir(groups.sparkSession):
-        with reused(groups) as kept:
-            return kept
-    return groups.persist()
-
-
 def random_term_tests(df: DataFrame, spec: MixedSpec) -> DataFrame:
     """Likelihood-ratio test for leaving out each random term (restricted likelihood)."""
-    rows, _ = _prepare(df, spec, None)
-    p = prepare_mixed(rows, spec)
-    p.groups = _pinned(p.groups)
-    _totals(p)
+    p = _ready(df, spec)
     name = ":".join(spec.group)
     reduced = []
     if spec.slope:
@@ -720,10 +714,10 @@ def random_term_tests(df: DataFrame, spec: MixedSpec) -> DataFrame:
     if spec.crossed:
         reduced.append((f"(1 | {spec.crossed})", Variant(crossed=False), 1))
     full, *others = search(p, [Variant(), *[v for _, v, _ in reduced]])
-    out = [("<none>", -full.deviance / 2, None, None, None)]
+    out = [("<none>", float(-full.deviance / 2), None, None, None)]
     for (text, _, df_lost), s in zip(reduced, others, strict=True):
-        gain = max(s.deviance - full.deviance, 0.0)
-        out.append((text, -s.deviance / 2, float(gain), df_lost, dist.chi2_sf(gain, df_lost)))
+        gain = float(max(s.deviance - full.deviance, 0.0))
+        out.append((text, float(-s.deviance / 2), gain, df_lost, dist.chi2_sf(gain, df_lost)))
     return df.sparkSession.createDataFrame(
         out, "term string, log_lik double, lrt double, df int, p_value double"
     )
@@ -731,10 +725,7 @@ def random_term_tests(df: DataFrame, spec: MixedSpec) -> DataFrame:
 
 def cv_mixed(df: DataFrame, spec: MixedSpec, fold: str = "fold", reml: bool = True) -> DataFrame:
     """Out-of-fold predictions; every fold's model is searched in the same passes."""
-    rows, _ = _prepare(df, spec, fold)
-    p = prepare_mixed(rows, spec, fold)
-    p.groups = _pinned(p.groups)
-    _totals(p)
+    p = _ready(df, spec, fold)
     variants = [Variant(fold=int(k)) for k in sorted(p.fixed_by_fold)]
     return predict_mixed(p, search(p, variants, reml))
 

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.functions import dist
 from panelspark.functions.columns import row_sum
@@ -336,48 +337,65 @@ def averaged_coefficients(
     )
     # equal (mean, deviation) pairs, above all the zeros of models without the term, are one component
     components = parts.groupBy("fold", "term", "mean", "sd", "inside").agg(F.sum("prob").alias("prob"))
-    ends = components.groupBy("fold", "term").agg(
+    point = F.col("sd") <= 0
+    ends = [
         F.sum(F.col("prob") * F.col("mean")).alias("estimate"),
         F.sum(F.col("prob") * F.col("inside")).alias("margpp"),
         F.min(F.col("mean") - 10 * F.col("sd")).alias("lo"),
         F.max(F.col("mean") + 10 * F.col("sd")).alias("hi"),
-    )
+        F.sum(F.when(point, 0.0).otherwise(F.col("prob") * _normal_cdf(F.lit(0.0), F.col("mean"), F.col("sd")))).alias(
+            "under"
+        ),
+        F.sum(F.when(point & (F.col("mean") == 0), F.col("prob")).otherwise(0.0)).alias("zero"),
+    ]
     tail = (1 - level) / 2
     spark = probabilities.sparkSession
-    base = [tuple(r) for r in ends.select("fold", "term", "lo", "hi", "estimate", "margpp").collect()]
-    brackets = {(f, t, q): [lo, hi] for f, t, lo, hi, _, _ in base for q in (tail, 1 - tail)}
     kept = components.persist()
     try:
+        base = kept.groupBy("fold", "term").agg(*ends).collect()
+        brackets = {
+            # a tail that falls on the point mass of the models without the term is exactly 0
+            (r["fold"], r["term"], q): [0.0, 0.0] if r["under"] < q <= r["under"] + r["zero"] else [r["lo"], r["hi"]]
+            for r in base
+            for q in (tail, 1 - tail)
+        }
         for _ in range(4):
             _narrow(spark, kept, brackets)
     finally:
         kept.unpersist()
     rows = [
-        (f, t, e, sum(brackets[f, t, tail]) / 2, sum(brackets[f, t, 1 - tail]) / 2, m) for f, t, _, _, e, m in base
+        (f, t, r["estimate"], *[sum(brackets[f, t, q]) / 2 for q in (tail, 1 - tail)], min(r["margpp"], 1.0))
+        for r in base
+        for f, t in [(r["fold"], r["term"])]
     ]
     return spark.createDataFrame(
         rows, "fold int, term string, estimate double, ci_low double, ci_high double, margpp double"
     )
 
 
+@F.pandas_udf(T.DoubleType())
+def _normal_cdf(at: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
+    """Normal distribution function; a step where the deviation is 0."""
+    z = (at - mean) / sd.where(sd > 0, 1.0)
+    smooth = np.array([1 - dist.normal_sf(v) for v in z])
+    return pd.Series(np.where(sd > 0, smooth, (at >= mean).astype(float)))
+
+
 def _narrow(spark: SparkSession, components: DataFrame, brackets: dict, cells: int = 64) -> None:
     """Cut every bracket to one of ``cells`` parts by one pass over the components."""
+    open_ = {key: ends for key, ends in brackets.items() if ends[1] > ends[0]}
+    if not open_:
+        return
     table = spark.createDataFrame(
-        [(f, t, float(q), float(lo), float(hi)) for (f, t, q), (lo, hi) in brackets.items()],
+        [(f, t, float(q), float(lo), float(hi)) for (f, t, q), (lo, hi) in open_.items()],
         "fold int, term string, q double, lo double, hi double",
     )
     # one row per fold, term and tail
     joined = components.join(F.broadcast(table), ["fold", "term"])
     point = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("cell") / cells
     spots = joined.withColumn("cell", F.explode(F.sequence(F.lit(1), F.lit(cells - 1)))).withColumn("at", point)
-
-    @F.pandas_udf("double")
-    def below(at: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
-        z = (at - mean) / sd.where(sd > 0, 1.0)
-        smooth = np.array([1 - dist.normal_sf(v) for v in z])
-        return pd.Series(np.where(sd > 0, smooth, (at >= mean).astype(float)))
-
-    cdf = spots.groupBy("fold", "term", "q", "cell").agg(F.sum(F.col("prob") * below("at", "mean", "sd")).alias("p"))
+    share = F.col("prob") * _normal_cdf("at", "mean", "sd")
+    cdf = spots.groupBy("fold", "term", "q", "cell").agg(F.sum(share).alias("p"))
     first = cdf.groupBy("fold", "term", "q").agg(F.min(F.when(F.col("p") >= F.col("q"), F.col("cell"))).alias("cell"))
     for f, t, q, cell in [tuple(r) for r in first.collect()]:
         lo, hi = brackets[f, t, q]

@@ -1,6 +1,6 @@
 """Iteratively reweighted fits: one pass over the rows serves all models.
 
-Quantile regression (by majorise-minimise steps) and generalised linear models
+Quantile regression (by smoothed Newton steps) and generalised linear models
 (by scoring steps) both need, per step and model, the weighted products
 ``XᵀWX`` and ``Xᵀv``. A model is a quantile level, a held-out fold, a bootstrap
 replicate, a penalty, or a combination of them; rows are never copied per model.
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.operators.gram import MAX_COLLECTED, packed_pairs, quoted
+from panelspark.operators.gram import MAX_COLLECTED, add_partials, packed_pairs, quoted
 
 MODELS_AT_ONCE = 256
 STREAM = np.uint64(0x9E3779B97F4A7C15)
@@ -31,6 +31,7 @@ class Models:
     skip_inner: np.ndarray
     tau: np.ndarray
     replicate: np.ndarray
+    width: np.ndarray
 
     @classmethod
     def grid(cls, size: int, **given) -> Models:
@@ -42,6 +43,7 @@ class Models:
             "skip_inner": np.full(count, -1),
             "tau": np.full(count, 0.5),
             "replicate": np.full(count, -1),
+            "width": np.ones(count),
         }
         full.update(given)
         return cls(beta=np.zeros((count, size)), **full)
@@ -86,6 +88,7 @@ class Design:
     fold: str | None = None
     inner_fold: str | None = None
     hash: str | None = None
+    parts: int = 1 << 30
 
     @property
     def size(self) -> int:
@@ -110,22 +113,24 @@ def prepare(
     return Design(
         rows, list(terms), label, mean[:-1], sd[:-1],
         mean[-1] if scale_label else 0.0, sd[-1] if scale_label else 1.0, fold, inner_fold, hash_column,
+        rows.rdd.getNumPartitions(),
     )
 
 
-Step = Callable[[np.ndarray, np.ndarray, np.ndarray, Models], tuple[np.ndarray, np.ndarray, list[np.ndarray]]]
+Step = Callable[[np.ndarray, np.ndarray, np.ndarray, Models], tuple[list, list[np.ndarray]]]
 
 
-def weighted_pass(design: Design, models: Models, step: Step, scalars: int):
-    """One pass: ``XᵀWX`` [model, i, j], ``Xᵀv`` [model, i] and summed scalars [model, s].
+def weighted_pass(design: Design, models: Models, step: Step, grams: int, sides: int, scalars: int):
+    """One pass: lists of ``XᵀWX`` [model, i, j] and ``Xᵀv`` [model, i], and scalars [model, s].
 
-    ``step(base, eta, y, models)`` gives, for a block of rows, the weights, the
-    right-hand values and the scalars; ``base`` is each row's own weight in a
-    model (0 when its fold is held out, a count in a bootstrap replicate).
+    ``step(base, eta, y, models)`` gives, for a block of rows, pairs of weights
+    and right-hand values (or None) and the scalars; ``base`` is each row's own
+    weight in a model (0 when its fold is held out, a count in a bootstrap
+    replicate).
     """
     size, count = design.size, len(models)
     pairs = packed_pairs(size)
-    width = len(pairs) + size + scalars
+    width = grams * len(pairs) + sides * size + scalars
     if count * width > MAX_COLLECTED:
         raise ValueError("too many models for one pass")
     read = [F.col(quoted(t)).cast("double").alias(f"x{j}") for j, t in enumerate(design.terms)]
@@ -136,20 +141,16 @@ def weighted_pass(design: Design, models: Models, step: Step, scalars: int):
     if design.hash:
         read.append(F.col(design.hash).alias("hash"))
     task = _task(design.shift, design.scale, design.y_shift, design.y_scale, models, step, width)
-    table = (
-        design.rows.select(*read)
-        .mapInArrow(task, "model int, m array<double>")
-        .select("model", F.posexplode("m").alias("pos", "value"))
-        .groupBy("model", "pos")
-        .agg(F.sum("value").alias("value"))
-        .toArrow()
-    )
-    flat = np.zeros((count, width))
-    flat[table.column("model").to_numpy(), table.column("pos").to_numpy()] = table.column("value").to_numpy()
-    gram = np.zeros((count, size, size))
+    partial = design.rows.select(*read).mapInArrow(task, "model int, m array<double>")
+    flat = add_partials(partial, "model", count, width, design.parts)
     i, j = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-    gram[:, i, j] = gram[:, j, i] = flat[:, : len(pairs)]
-    return gram, flat[:, len(pairs) : len(pairs) + size], flat[:, len(pairs) + size :]
+    blocks = []
+    for g in range(grams):
+        gram = np.zeros((count, size, size))
+        gram[:, i, j] = gram[:, j, i] = flat[:, g * len(pairs) : (g + 1) * len(pairs)]
+        blocks.append(gram)
+    rest = flat[:, grams * len(pairs) :]
+    return blocks, [rest[:, k * size : (k + 1) * size] for k in range(sides)], rest[:, sides * size :]
 
 
 def _task(shift, scale, y_shift, y_scale, models, step, width):
@@ -180,9 +181,14 @@ def _task(shift, scale, y_shift, y_scale, models, step, width):
                 if "hash" in column and (part.replicate >= 0).any():
                     drawn = poisson_one(column["hash"].view(np.uint64), np.maximum(part.replicate, 0))
                     base *= np.where(part.replicate[None, :] >= 0, drawn, 1.0)
-                w, v, extra = step(base, u @ part.beta.T, y[:, None], part)
+                weights, extra = step(base, u @ part.beta.T, y[:, None], part)
                 sums[lo : lo + len(part)] += np.concatenate(
-                    [w.T @ products, v.T @ u, *[e.sum(axis=0)[:, None] for e in extra]], axis=1
+                    [
+                        *[w.T @ products for w, _ in weights],
+                        *[v.T @ u for _, v in weights if v is not None],
+                        *[e.sum(axis=0)[:, None] for e in extra],
+                    ],
+                    axis=1,
                 )
         if sums is not None:
             yield pa.RecordBatch.from_pydict(
@@ -195,61 +201,92 @@ def _task(shift, scale, y_shift, y_scale, models, step, width):
 # --- quantile steps --------------------------------------------------------------
 
 
-def quantile_step(eps: float) -> Step:
-    def step(base, eta, y, models):
-        r = y - eta
-        w = base / (eps + np.abs(r))
-        tilt = (2 * models.tau - 1)[None, :]
-        loss = base * (np.abs(r) + tilt * r) / 2
-        return w, w * y + base * tilt, [loss, base]
+def start_step(base, eta, y, models):
+    """Least squares: the starting point, and the spread of its residuals."""
+    return [(base + 0 * eta, base * y)], [base * np.abs(y - eta), base]
 
-    return step
 
+def quantile_step(base, eta, y, models):
+    """Curvatures and pull of the check loss with its kink smoothed over ``± width``.
 
-def start_step(base, eta, y, models):
-    """Least squares: the starting point, and the spread of its residuals."""
-    return base + 0 * eta, base * y, [base * np.abs(y - eta), base]
+    The first weights are the smooth loss's own curvature (Newton), the second
+    bound it from above everywhere (majorise-minimise), with the same pull.
+    """
+    r = y - eta
+    h = models.width[None, :]
+    size = np.abs(r)
+    near = size < h
+    pull = base * (models.tau[None, :] - 1 + np.clip((r + h) / (2 * h), 0.0, 1.0))
+    tail = (models.tau[None, :] - 0.5) * r
+    smooth = np.where(near, r * r / (4 * h) + h / 4, size / 2)
+    return (
+        [(base * near / (2 * h), pull), (base / (2 * np.maximum(h, size)), None)],
+        [base * (smooth + tail), base, base * near, base * (size / 2 + tail)],
+    )
 
 
-def solve_all(gram: np.ndarray, rhs: np.ndarray, ridge: np.ndarray | None = None) -> np.ndarray:
+def solve_all(gram: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     """Solve every model's system, guarding against collinear terms."""
     size = gram.shape[1]
-    scale = np.trace(gram, axis1=1, axis2=2) / size
+    scale = np.maximum(np.trace(gram, axis1=1, axis2=2) / size, 1e-300)
     system = gram + 1e-12 * scale[:, None, None] * np.eye(size)
-    if ridge is not None:
-        system = system + ridge[:, :, None] * np.eye(size)
     return np.linalg.solve(system, rhs[..., None])[..., 0]
 
 
 def fit_quantiles(
-    design: Design, models: Models, lam: float = 0.0, passes: int = 60, tol: float = 1e-7, floor: float = 1e-5
+    design: Design, models: Models, lam: float = 0.0, passes: int = 80, tol: float = 1e-7, near: int = 20
 ) -> tuple[Models, np.ndarray]:
-    """Coefficients (conditioned scale) and final loss of every quantile model.
-
-    The smoothing constant falls from the residual spread to ``floor`` times
-    it, and steps go on until no coefficient moves by more than ``tol`` label
-    deviations or ``passes`` are used; the error left is of the order of
-    ``floor``. ``lam`` is an L1 penalty on the slopes of the original columns.
+    """Coefficients (conditioned scale) and loss of every quantile model.
+
+    The loss is smoothed over a band of residuals. Passes settle the smooth
+    loss for one band, then the band narrows, from the spread of the
+    least-squares residuals until about ``near`` rows per coefficient are left
+    in it. Steps blend Newton and majorise-minimise curvature: a step that
+    raises the loss is taken back, and the blend leans to the majorising side,
+    which cannot raise it. What the last band leaves is of the order of its
+    square (the tests state the tolerance). ``lam`` is an L1 penalty on the
+    slopes of the original columns.
     """
-    gram, rhs, _ = weighted_pass(design, models, start_step, 2)
-    models = replace(models, beta=solve_all(gram, rhs))
-    eps, loss = 0.5, None
-    slope_unit = np.concatenate([[0.0], design.y_scale / design.scale])
+    size, count = design.size, len(models)
+    (gram,), (rhs,), _ = weighted_pass(design, models, start_step, 1, 1, 2)
+    beta = solve_all(gram, rhs)
+    _, _, spread = weighted_pass(design, replace(models, beta=beta), start_step, 1, 1, 2)
+    n = np.maximum(spread[:, 1], 1)
+    width = 2 * spread[:, 0] / n + 1e-12
+    unit = np.concatenate([[0.0], lam / design.scale])
+    best, least, loss = beta.copy(), np.full(count, np.inf), np.zeros(count)
+    blend, fresh, missed = np.ones(count), np.ones(count, bool), np.zeros(count, bool)
+    newton, major, pull = np.zeros((count, size, size)), np.zeros((count, size, size)), np.zeros((count, size))
     for _ in range(passes):
-        gram, rhs, scalars = weighted_pass(design, models, quantile_step(eps), 2)
-        loss = scalars[:, 0] * design.y_scale
-        ridge = None
-        if lam > 0:
-            # |b| is bounded by b²/(2|b₀|) + |b₀|/2, on the scale of the scaled loss
-            weight = 2 * lam * slope_unit / design.y_scale
-            ridge = weight[None, :] / (np.abs(models.beta) + 1e-8)
-        beta = solve_all(gram, rhs, ridge)
-        moved = np.abs(beta - models.beta).max()
-        models = replace(models, beta=beta)
-        if eps <= floor and moved < tol:
+        now = replace(models, beta=beta, width=width)
+        (g_newton, g_major), (g_pull,), scalars = weighted_pass(design, now, quantile_step, 2, 1, 4)
+        merit = scalars[:, 0] + (np.abs(beta) * unit).sum(axis=1)
+        ok = merit <= least
+        thin = scalars[:, 2] <= near * size
+        small = np.zeros(count, bool)
+        known = ok & ~fresh
+        small[known] = (least - merit)[known] <= (np.where(thin, tol, 1e-4) * np.abs(merit))[known]
+        flat = known & small & (blend <= 0.1)
+        best[ok], least[ok], loss[ok] = beta[ok], merit[ok], scalars[ok, 3]
+        newton[ok], major[ok], pull[ok] = g_newton[ok], g_major[ok], g_pull[ok]
+        if (flat & thin).all():
             break
-        eps = max(eps * 0.6, floor)
-    return models, loss
+        blend = np.where(known, blend * np.where(missed, 0.3, 0.1), blend)
+        blend = np.where(ok, blend, np.minimum(1.0, np.maximum(10 * blend, 0.1)))
+        missed, fresh = ~ok, np.zeros(count, bool)
+        system = newton + blend[:, None, None] * (major - newton)
+        system = system + (1e-9 * n / width)[:, None, None] * np.eye(size)
+        target = np.einsum("mij,mj->mi", system, best) + pull
+        if lam > 0:
+            beta = soft_solve(system / n[:, None, None], target / n[:, None], unit[None, :] / n[:, None], best)
+        else:
+            beta = np.linalg.solve(system, target[..., None])[..., 0]
+        narrow = flat & ~thin
+        width = np.where(narrow, width * 0.25, width)
+        beta[narrow | (flat & thin)] = best[narrow | (flat & thin)]
+        least[narrow], fresh[narrow] = np.inf, True
+        blend[narrow] = np.maximum(blend[narrow], 0.1)
+    return replace(models, beta=best, width=width), loss * design.y_scale
 
 
 # --- generalised linear steps --------------------------------------------------------
@@ -279,7 +316,7 @@ def glm_step(family: str) -> Step:
 
     def step(base, eta, y, models):
         mu, w, deviance = curve(eta, y + 0 * eta)
-        return base * w, base * (w * eta + (y - mu)), [base * deviance, base, base * y]
+        return [(base * w, base * (w * eta + (y - mu)))], [base * deviance, base, base * y]
 
     return step
 
@@ -334,12 +371,12 @@ def fit_glm(
     ``penalty`` [model, term] is an L1 weight on the scaled slopes, relative to
     the mean log-likelihood; without it the steps are ordinary scoring.
     """
-    _, _, scalars = weighted_pass(design, models, glm_step(family), 3)
+    _, _, scalars = weighted_pass(design, models, glm_step(family), 1, 1, 3)
     n = scalars[:, 1]
     models = start_glm(models, scalars[:, 2] / np.maximum(n, 1), family)
     deviance = None
     for _ in range(passes):
-        gram, rhs, scalars = weighted_pass(design, models, glm_step(family), 3)
+        (gram,), (rhs,), scalars = weighted_pass(design, models, glm_step(family), 1, 1, 3)
         previous, deviance = deviance, scalars[:, 0]
         if penalty is None:
             beta = solve_all(gram, rhs)

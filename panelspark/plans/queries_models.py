@@ -544,13 +544,15 @@ def panel_rows(spark, sf):
     return gram.assign_folds(rows, PANEL_KEY, K, SEED)
 
 
-# Balanced nested layout: restricted likelihood equals the analysis of variance.
+# Balanced nested layout: restricted likelihood equals the analysis of variance; a negative
+# period component is 0 and its mean square joins the groups'.
 SQL_ANOVA = f"""{M.SQL_TOP},
 cells AS (SELECT period, grp, avg(mins) AS m, sum(mins * mins) - sum(mins) * sum(mins) / count(*) AS ss, count(*) AS k
           FROM top GROUP BY period, grp),
 periods AS (SELECT period, avg(m) AS m, sum(m * m) - sum(m) * sum(m) / count(*) AS ss, count(*) AS g FROM cells GROUP BY period),
 a AS (SELECT (SELECT sum(ss) / (count(*) * (max(k) - 1)) FROM cells) AS ms_e, (SELECT max(k) FROM cells) AS k,
              (SELECT sum(ss) / sum(g - 1) FROM periods) * (SELECT max(k) FROM cells) AS ms_g, (SELECT max(g) FROM periods) AS g,
+             (SELECT count(*) FROM periods) AS t,
              (SELECT (sum(m * m) - sum(m) * sum(m) / count(*)) / (count(*) - 1) FROM periods)
                * (SELECT max(k) FROM cells) * (SELECT max(g) FROM periods) AS ms_p)"""
 
@@ -558,8 +560,9 @@ a AS (SELECT (SELECT sum(ss) / (count(*) * (max(k) - 1)) FROM cells) AS ms_e, (S
 @query(
     "mixed_nested",
     f"""WITH {SQL_ANOVA}
-        SELECT 'period:grp' AS factor, '(Intercept)' AS term, round((ms_g - ms_e) / k, 3) AS variance FROM a UNION ALL
-        SELECT 'period', '(Intercept)', round((ms_p - ms_g) / (k * g), 3) FROM a UNION ALL
+        SELECT 'period:grp' AS factor, '(Intercept)' AS term, round(CASE WHEN ms_p >= ms_g THEN (ms_g - ms_e) / k
+                 ELSE ((ms_p * (t - 1) + ms_g * t * (g - 1)) / (t * g - 1) - ms_e) / k END, 3) AS variance FROM a UNION ALL
+        SELECT 'period', '(Intercept)', round(greatest((ms_p - ms_g) / (k * g), 0), 3) FROM a UNION ALL
         SELECT 'Residual', '', round(ms_e, 3) FROM a""",
 )
 def mixed_nested(spark, sf):

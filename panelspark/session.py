@@ -29,6 +29,20 @@ def has_checkpoint_dir(spark: SparkSession) -> bool:
     return spark.sparkContext.getCheckpointDir() is not None
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` kept for as long as it is referenced: for small tables read by many later passes."""
+    if has_checkpoint_dir(df.sparkSession):
+        return _checkpointed(df)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir"))
+    return df.checkpoint(eager=True)
+
+
 @contextmanager
 def reused(df: DataFrame):
     """Yield ``df`` in a form that many passes can read without recomputing it.
@@ -37,11 +51,8 @@ def reused(df: DataFrame):
     executor costs a re-read and not a recomputation of the joins upstream.
     Without one they are persisted (memory, then disk) and recomputed if lost.
     """
-    spark = df.sparkSession
-    if has_checkpoint_dir(spark):
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-        yield df.checkpoint(eager=True)
+    if has_checkpoint_dir(df.sparkSession):
+        yield _checkpointed(df)
         return
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
