@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import dist
 from panelspark.operators.panel import group_quantiles
+from panelspark.session import reused
 
 
 def mean_band(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -56,34 +57,21 @@ def density_grid(df: DataFrame, column: str, points: int = 512, cells: int = 409
     kernel is summed over cells × points values whatever the table's size.
     The bandwidth is ``0.9 · min(sd, IQR / 1.34) · n^(-1/5)``.
     """
-    known = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    ends = (
-        known.agg(
-            F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"), F.stddev_samp("x").alias("sd")
-        )
-        .select(F.struct("lo", "hi", "n", "sd").alias("ends"))
-        .scalar()
-    )
-    middle = group_quantiles(known, [], "x", {"q1": 0.25, "q3": 0.75})
-    spread = F.least(ends["sd"], middle.select(F.col("q3") - F.col("q1")).scalar() / 1.34)
-    width = (ends["hi"] - ends["lo"]) / cells
-    cell = F.least(F.floor((F.col("x") - ends["lo"]) / width), F.lit(cells - 1))
-    reduced = (
-        known.groupBy(cell.alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("at"))
-        .withColumns(
-            {
-                "bw": 0.9 * spread * F.pow(ends["n"].cast("double"), F.lit(-0.2)),
-                "lo": ends["lo"],
-                "step": (ends["hi"] - ends["lo"]) / (points - 1),
-                "total": ends["n"],
-            }
-        )
-    )
-    spots = reduced.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    spots = spots.withColumn("x", F.col("lo") + F.col("point") * F.col("step"))
-    z = (F.col("x") - F.col("at")) / F.col("bw")
-    height = F.col("n") * F.exp(-0.5 * z * z) / (F.col("total") * F.col("bw") * F.sqrt(2 * F.pi()))
+    rows = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
+    with reused(rows) as known:
+        lo, hi, n, sd = known.agg(F.min("x"), F.max("x"), F.count("x"), F.stddev_samp("x")).first()
+        if not n or hi <= lo:
+            raise ValueError(f"{column} has no spread to estimate a density from")
+        q1, q3 = group_quantiles(known, [], "x", {"q1": 0.25, "q3": 0.75}).first()
+        cell = F.least(F.floor((F.col("x") - lo) / ((hi - lo) / cells)), F.lit(cells - 1))
+        # at most ``cells`` rows
+        reduced = known.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("at")).collect()
+    bw = 0.9 * min(sd, (q3 - q1) / 1.34 or sd) * n**-0.2
+    table = df.sparkSession.createDataFrame([(r["n"], r["at"]) for r in reduced], "n long, at double")
+    spots = table.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    spots = spots.withColumn("x", F.lit(lo) + F.col("point") * F.lit((hi - lo) / (points - 1)))
+    z = (F.col("x") - F.col("at")) / F.lit(bw)
+    height = F.col("n") * F.exp(-0.5 * z * z) / (F.lit(n * bw) * F.sqrt(2 * F.pi()))
     return spots.groupBy("point").agg(F.max("x").alias("x"), F.sum(height).alias("density"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import dist
 from panelspark.operators.design import ModelSpec, design_rows
-from panelspark.operators.gram import collect_moments
+from panelspark.operators.gram import collect_moments, fold_values
 from panelspark.operators.linear import (
     PenalisedFit, cv_curve, lasso_bic, pick_lambda, predict_by_fold, standardise,
 )
@@ -33,8 +33,8 @@ def cv_glm(
 ) -> DataFrame:
     """Out-of-fold predictions on the link or response scale; all folds share each pass."""
     rows = design_rows(df, spec, [fold, *keep])
-    folds = [r[0] for r in rows.select(fold).distinct().orderBy(fold).collect()]
     with reused(rows) as kept:
+        folds = fold_values(kept, fold)
         design = prepare(kept, spec.terms, spec.label, scale_label=False, fold=fold)
         models, _, _ = fit_glm(design, Models.grid(design.size, skip_fold=folds), family)
     by_fold = dict(zip(folds, design.to_original(models.beta), strict=True))

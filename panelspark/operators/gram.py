@@ -21,6 +21,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # Up to this many columns the products are JVM sums; beyond it the generated
 # aggregate grows too wide and blocks of rows are multiplied in numpy instead.
 JVM_COLUMNS = 9
+# Up to this many, running covariances give the same sums without a shift,
+# in one pass.
+COVARIANCE_COLUMNS = 4
 MAX_COLLECTED = 50_000_000
 # Values of task results the driver may add up itself; beyond it they are shuffled.
 SMALL_RESULT = 2_000_000
@@ -160,6 +163,8 @@ def collect_moments(
 ) -> Moments:
     """Run the pass and fetch the matrices: keys × p², checked, and never rows."""
     columns = list(columns)
+    if shift is None and 0 < len(columns) <= COVARIANCE_COLUMNS:
+        return _from_covariances(df, columns, list(keys))
     if shift is None:
         shift = common_shift(df, columns)
     size = len(columns) + 1
@@ -178,6 +183,37 @@ def collect_moments(
     return Moments(columns, np.asarray(shift, float), dict(sorted(by_key.items())))
 
 
+def _from_covariances(df: DataFrame, columns: list[str], keys: list[str], most: int = 100_000) -> Moments:
+    """The same moments about the overall means, from per-key means and covariances."""
+    rows = df.select(*keys, *[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = rows.na.drop("any", subset=[f"c{i}" for i in range(len(columns))])
+    pairs = packed_pairs(len(columns))
+    found = (
+        rows.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.avg(f"c{i}") for i in range(len(columns))]).alias("mean"),
+            F.array(*[F.covar_pop(f"c{i}", f"c{j}") for i, j in pairs]).alias("cov"),
+        )
+        .limit(most + 1)
+        .collect()
+    )
+    if len(found) > most:
+        raise ValueError("too many keys for the driver: moments are meant for folds, not for levels")
+    found = [r for r in found if r["n"]]
+    n = np.array([float(r["n"]) for r in found])
+    means = np.array([r["mean"] for r in found], float).reshape(len(found), len(columns))
+    shift = n @ means / n.sum() if len(found) else np.zeros(len(columns))
+    by_key = {}
+    for r, count, mean in zip(found, n, means - shift, strict=True):
+        m = np.zeros((len(columns) + 1, len(columns) + 1))
+        for (i, j), c in zip(pairs, r["cov"], strict=True):
+            m[i + 1, j + 1] = m[j + 1, i + 1] = count * (c + mean[i] * mean[j])
+        m[0, 0], m[0, 1:], m[1:, 0] = count, count * mean, count * mean
+        by_key[tuple(r[k] for k in keys)] = m
+    return Moments(columns, shift, dict(sorted(by_key.items())))
+
+
 def add_partials(partial: DataFrame, index: str, count: int, width: int, parts: int) -> np.ndarray:
     """Sum per-task rows ``(index, m array)`` to a [count, width] array.
 
@@ -214,6 +250,14 @@ def assign_folds(
     return df.withColumn(out, (number % k).cast("int"))
 
 
+def fold_values(rows: DataFrame, fold: str, most: int = 1000) -> list[int]:
+    """The fold numbers that occur; a column with more than ``most`` is no fold column."""
+    found = rows.select(fold).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{fold} has more than {most} values")
+    return sorted(r[0] for r in found)
+
+
 def assign_balanced_folds(
     df: DataFrame, row_key: Sequence[str], k: int = 10, seed: int | str = 0, out: str = "fold", digits: int = 3
 ) -> DataFrame:

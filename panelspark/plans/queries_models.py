@@ -10,6 +10,7 @@ from panelspark.operators.design import ModelSpec, design_array, design_rows, in
 from panelspark.plans import mapping as M
 from panelspark.plans.queries_panel import KEYS, rounded
 from panelspark.plans.registry import query
+from panelspark.session import pinned
 from panelspark.sources import table_reader
 
 K = 10
@@ -190,7 +191,7 @@ def ols_cv(spark, sf):
 @query("ols_cv_wide")
 def ols_cv_wide(spark, sf):
     """In- and out-of-fold errors with interactions (blocks of rows multiplied in tasks)."""
-    rows = folded(spark, sf)
+    rows = pinned(folded(spark, sf))
     inside = linear.predict(design_rows(rows, LONG), LONG.terms, linear.fit_ols(rows, LONG).coefficients)
     return report.error_table({"OLS": (inside, linear.cv_ols(rows, LONG))}, LONG.label)
 
@@ -314,7 +315,7 @@ def _errors(spark, scored, label, name):
 @query("lasso_outer_cv")
 def lasso_outer_cv(spark, sf):
     """Out-of-fold errors with the penalty chosen by inner folds, by BIC and by EBIC."""
-    rows = folded(spark, sf)
+    rows = pinned(folded(spark, sf))
     parts = [
         _errors(spark, linear.cv_penalised(rows, LONG, criterion=c), LONG.label, f"lasso_{c}")
         for c in ("cv", "bic", "ebic")
@@ -698,7 +699,7 @@ def cluster_assign(spark, sf):
         UNION ALL SELECT 'Mean', round(c / m, 8), round(d / m, 8), 2 FROM e""",
 )
 def report_errors(spark, sf):
-    rows = folded(spark, sf)
+    rows = pinned(folded(spark, sf))
     mean = ModelSpec("price", [])
     scored = {}
     for name, spec in (("OLS", ONE), ("Mean", mean)):
@@ -710,7 +711,7 @@ def report_errors(spark, sf):
 @query("report_errors_group")
 def report_errors_group(spark, sf):
     """In- and out-of-fold errors of least squares, both lassos and model averaging."""
-    rows = folded(spark, sf)
+    rows = pinned(folded(spark, sf))
     base = design_rows(rows, LONG)
     inside = lambda b: linear.predict(base, LONG.terms, b)
     evidence, probabilities = select.fit_bayes(rows, LONG)
@@ -737,10 +738,9 @@ def report_errors_group(spark, sf):
 @query("report_errors_member")
 def report_errors_member(spark, sf):
     """In- and out-of-fold errors of least squares, the median fit and both mixed models."""
-    rows = panel_rows(spark, sf)
+    rows = pinned(panel_rows(spark, sf).withColumn("price", F.col("price") + 10))
     spec = NESTED_X.fixed
-    base = design_rows(rows.withColumn("price", F.col("price") + 10), spec)
-    rows = rows.withColumn("price", F.col("price") + 10)
+    base = design_rows(rows, spec)
     median = {r["term"]: r["estimate"] for r in quantile.fit_quantile(rows, spec, [0.5]).collect()}
     middle = np.array([median[t] for t in [linear.INTERCEPT, *spec.terms]])
     return report.error_table(
