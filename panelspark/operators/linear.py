@@ -313,12 +313,18 @@ def best_by_criterion(
 
 
 def lasso_bic(
-    df: DataFrame, spec: ModelSpec, extended: bool = False, lambdas: Sequence[float] | None = None
+    df: DataFrame, spec: ModelSpec, extended: bool = False, lambdas: Sequence[float] | None = None,
+    count_intercept: bool = True,
 ) -> PenalisedFit:
-    """Lasso with the penalty chosen by BIC or EBIC."""
+    """Lasso with the penalty chosen by BIC or EBIC.
+
+    By default EBIC's number of models counts the intercept as a chosen column,
+    which makes the model with every column win; ``count_intercept=False`` is
+    the published form.
+    """
     moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
     grid_in = None if lambdas is None else np.asarray(lambdas, float)
-    st, grid, slopes, values, nonzero, best = best_by_criterion([moments.total], extended, grid_in)
+    st, grid, slopes, values, nonzero, best = best_by_criterion([moments.total], extended, grid_in, count_intercept)
     rows = [
         (float(a), float(v), int(c) + 1) for a, v, c in zip(grid[0], values[0], nonzero[0], strict=True)
     ]
@@ -432,6 +438,7 @@ def cv_penalised(
     fold: str = "fold",
     inner_fold: str = "inner_fold",
     keep: Sequence[str] = (),
+    count_intercept: bool = True,
 ) -> DataFrame:
     """Out-of-fold predictions of lasso or ridge, the penalty chosen inside each training set."""
     if criterion not in ("cv", "bic", "ebic") or (ridge and criterion != "cv"):
@@ -449,7 +456,9 @@ def cv_penalised(
     else:
         moments = collect_moments(rows, columns, [fold])
         fits = moments.training()
-        _, _, b, _, _, best = best_by_criterion(list(fits.values()), criterion == "ebic")
+        _, _, b, _, _, best = best_by_criterion(
+            list(fits.values()), criterion == "ebic", count_intercept=count_intercept
+        )
         slopes = {k: b[i, best[i]] for i, k in enumerate(fits)}
     by_fold = {k: with_intercept(fits[k], moments.shift, slopes[k]) for k in fits}
     return predict_by_fold(rows, spec.terms, by_fold, fold)
