@@ -14,6 +14,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelspark.operators.gram import MAX_COLLECTED, add_partials, packed_pairs, quoted
@@ -32,6 +33,7 @@ class Models:
     tau: np.ndarray
     replicate: np.ndarray
     width: np.ndarray
+    before: np.ndarray
 
     @classmethod
     def grid(cls, size: int, **given) -> Models:
@@ -46,13 +48,16 @@ class Models:
             "width": np.ones(count),
         }
         full.update(given)
-        return cls(beta=np.zeros((count, size)), **full)
+        return cls(beta=np.zeros((count, size)), before=np.zeros((count, size)), **full)
 
     def __len__(self) -> int:
         return len(self.tau)
 
     def part(self, lo: int, hi: int) -> Models:
-        return Models(*[getattr(self, f)[lo:hi] for f in self.__dataclass_fields__])
+        return self.pick(slice(lo, hi))
+
+    def pick(self, at) -> Models:
+        return Models(**{f: getattr(self, f)[at] for f in self.__dataclass_fields__})
 
 
 def poisson_one(row_hash: np.ndarray, replicate: np.ndarray) -> np.ndarray:
@@ -94,6 +99,21 @@ class Design:
     def size(self) -> int:
         return len(self.terms) + 1
 
+    def read(self) -> DataFrame:
+        """The columns the tasks need, and no others."""
+        columns = [F.col(quoted(t)).cast("double").alias(f"x{j}") for j, t in enumerate(self.terms)]
+        columns.append(F.col(quoted(self.label)).cast("double").alias("y"))
+        for name in ("fold", "inner_fold"):
+            if getattr(self, name):
+                columns.append(F.col(getattr(self, name)).cast("int").alias(name))
+        if self.hash:
+            columns.append(F.col(self.hash).alias("hash"))
+        return self.rows.select(*columns)
+
+    @property
+    def scaling(self) -> tuple:
+        return self.shift, self.scale, self.y_shift, self.y_scale
+
     def to_original(self, beta: np.ndarray) -> np.ndarray:
         """Coefficients on the original scale, intercept first."""
         slopes = beta[..., 1:] / self.scale * self.y_scale
@@ -123,8 +143,8 @@ Step = Callable[[np.ndarray, np.ndarray, np.ndarray, Models], tuple[list, list[n
 def weighted_pass(design: Design, models: Models, step: Step, grams: int, sides: int, scalars: int):
     """One pass: lists of ``XᵀWX`` [model, i, j] and ``Xᵀv`` [model, i], and scalars [model, s].
 
-    ``step(base, eta, y, models)`` gives, for a block of rows, pairs of weights
-    and right-hand values (or None) and the scalars; ``base`` is each row's own
+    ``step(base, u, y, models)`` gives, for a block of rows ``u``, pairs of
+    weights and right-hand values (or None) and the scalars; ``base`` is each row's own
     weight in a model (0 when its fold is held out, a count in a bootstrap
     replicate).
     """
@@ -133,15 +153,8 @@ def weighted_pass(design: Design, models: Models, step: Step, grams: int, sides:
     width = grams * len(pairs) + sides * size + scalars
     if count * width > MAX_COLLECTED:
         raise ValueError("too many models for one pass")
-    read = [F.col(quoted(t)).cast("double").alias(f"x{j}") for j, t in enumerate(design.terms)]
-    read.append(F.col(quoted(design.label)).cast("double").alias("y"))
-    for name in ("fold", "inner_fold"):
-        if getattr(design, name):
-            read.append(F.col(getattr(design, name)).cast("int").alias(name))
-    if design.hash:
-        read.append(F.col(design.hash).alias("hash"))
-    task = _task(design.shift, design.scale, design.y_shift, design.y_scale, models, step, width)
-    partial = design.rows.select(*read).mapInArrow(task, "model int, m array<double>")
+    task = _sums_task(design.scaling, models, step, width)
+    partial = design.read().mapInArrow(task, "model int, m array<double>")
     flat = add_partials(partial, "model", count, width, design.parts)
     i, j = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
     blocks = []
@@ -153,44 +166,50 @@ def weighted_pass(design: Design, models: Models, step: Step, grams: int, sides:
     return blocks, [rest[:, k * size : (k + 1) * size] for k in range(sides)], rest[:, sides * size :]
 
 
-def _task(shift, scale, y_shift, y_scale, models, step, width):
+def _blocks(batches, scaling, models):
+    """Blocks of rows with the row weights of up to ``MODELS_AT_ONCE`` models at a time."""
+    shift, scale, y_shift, y_scale = scaling
     p = len(shift)
-    i, j = np.triu_indices(p + 1)
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+        u = np.ones((n, p + 1))
+        for t in range(p):
+            u[:, t + 1] = (column[f"x{t}"] - shift[t]) / scale[t]
+        y = (column["y"] - y_shift) / y_scale
+        for lo in range(0, len(models), MODELS_AT_ONCE):
+            part = models.part(lo, lo + MODELS_AT_ONCE)
+            base = np.ones((n, len(part)))
+            if "fold" in column:
+                base *= column["fold"][:, None] != part.skip_fold[None, :]
+            if "inner_fold" in column:
+                base *= column["inner_fold"][:, None] != part.skip_inner[None, :]
+            if "hash" in column and (part.replicate >= 0).any():
+                drawn = poisson_one(column["hash"].view(np.uint64), np.maximum(part.replicate, 0))
+                base *= np.where(part.replicate[None, :] >= 0, drawn, 1.0)
+            yield u, y, base, part, lo
+
+
+def _sums_task(scaling, models, step, width):
+    i, j = np.triu_indices(len(scaling[0]) + 1)
 
     def run(batches):
-        sums = None
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            if sums is None:
-                sums = np.zeros((len(models), width))
-            u = np.ones((n, p + 1))
-            for t in range(p):
-                u[:, t + 1] = (batch.column(f"x{t}").to_numpy(zero_copy_only=False) - shift[t]) / scale[t]
-            y = (batch.column("y").to_numpy(zero_copy_only=False) - y_shift) / y_scale
-            column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c[0] in "fih"}
-            products = u[:, i] * u[:, j]
-            for lo in range(0, len(models), MODELS_AT_ONCE):
-                part = models.part(lo, lo + MODELS_AT_ONCE)
-                base = np.ones((n, len(part)))
-                if "fold" in column:
-                    base *= column["fold"][:, None] != part.skip_fold[None, :]
-                if "inner_fold" in column:
-                    base *= column["inner_fold"][:, None] != part.skip_inner[None, :]
-                if "hash" in column and (part.replicate >= 0).any():
-                    drawn = poisson_one(column["hash"].view(np.uint64), np.maximum(part.replicate, 0))
-                    base *= np.where(part.replicate[None, :] >= 0, drawn, 1.0)
-                weights, extra = step(base, u @ part.beta.T, y[:, None], part)
-                sums[lo : lo + len(part)] += np.concatenate(
-                    [
-                        *[w.T @ products for w, _ in weights],
-                        *[v.T @ u for _, v in weights if v is not None],
-                        *[e.sum(axis=0)[:, None] for e in extra],
-                    ],
-                    axis=1,
-                )
-        if sums is not None:
+        sums, seen, products = np.zeros((len(models), width)), None, None
+        for u, y, base, part, lo in _blocks(batches, scaling, models):
+            if u is not seen:
+                seen, products = u, u[:, i] * u[:, j]
+            weights, extra = step(base, u, y[:, None], part)
+            sums[lo : lo + len(part)] += np.concatenate(
+                [
+                    *[w.T @ products for w, _ in weights if w is not None],
+                    *[v.T @ u for _, v in weights if v is not None],
+                    *[e.sum(axis=0)[:, None] for e in extra],
+                ],
+                axis=1,
+            )
+        if seen is not None:
             yield pa.RecordBatch.from_pydict(
                 {"model": pa.array(range(len(models)), pa.int32()), "m": pa.array(list(sums), pa.list_(pa.float64()))}
             )
@@ -201,18 +220,19 @@ def _task(shift, scale, y_shift, y_scale, models, step, width):
 # --- quantile steps --------------------------------------------------------------
 
 
-def start_step(base, eta, y, models):
+def start_step(base, u, y, models):
     """Least squares: the starting point, and the spread of its residuals."""
+    eta = u @ models.beta.T
     return [(base + 0 * eta, base * y)], [base * np.abs(y - eta), base]
 
 
-def quantile_step(base, eta, y, models):
+def quantile_step(base, u, y, models):
     """Curvatures and pull of the check loss with its kink smoothed over ``± width``.
 
     The first weights are the smooth loss's own curvature (Newton), the second
     bound it from above everywhere (majorise-minimise), with the same pull.
     """
-    r = y - eta
+    r = y - u @ models.beta.T
     h = models.width[None, :]
     size = np.abs(r)
     near = size < h
@@ -234,7 +254,7 @@ def solve_all(gram: np.ndarray, rhs: np.ndarray) -> np.ndarray:
 
 
 def fit_quantiles(
-    design: Design, models: Models, lam: float = 0.0, passes: int = 80, tol: float = 1e-7, near: int = 20
+    design: Design, models: Models, lam: float = 0.0, passes: int = 80, tol: float = 1e-6, near: int = 20
 ) -> tuple[Models, np.ndarray]:
     """Coefficients (conditioned scale) and loss of every quantile model.
 
@@ -244,7 +264,7 @@ def fit_quantiles(
     in it. Steps blend Newton and majorise-minimise curvature: a step that
     raises the loss is taken back, and the blend leans to the majorising side,
     which cannot raise it. What the last band leaves is of the order of its
-    square (the tests state the tolerance). ``lam`` is an L1 penalty on the
+    square; ``finish_quantiles`` removes it. ``lam`` is an L1 penalty on the
     slopes of the original columns.
     """
     size, count = design.size, len(models)
@@ -289,6 +309,158 @@ def fit_quantiles(
     return replace(models, beta=best, width=width), loss * design.y_scale
 
 
+# --- exact quantile solutions ------------------------------------------------------
+
+
+def best_plane(u, y, w, tau, far, b, moves: int = 2000):
+    """Minimise ``Σ w·ρ_τ(y − ub) − far·b`` exactly over a few rows, starting near ``b``.
+
+    Walks along edges between planes through as many rows as coefficients, each
+    time as far as the loss falls. None if it would leave the given rows.
+    """
+    size = u.shape[1]
+    basis: list[int] = []
+    for i in np.argsort(np.abs(y - u @ b), kind="stable"):
+        if np.linalg.matrix_rank(u[[*basis, i]]) > len(basis):
+            basis.append(int(i))
+        if len(basis) == size:
+            break
+    else:
+        return None
+    for _ in range(moves):
+        inverse = np.linalg.inv(u[basis])
+        b = inverse @ y[basis]
+        r = y - u @ b
+        r[basis] = 0.0
+        pull = np.where(r > 0, tau, tau - 1) * w
+        pull[basis] = 0.0
+        side = -(far + pull @ u) @ inverse
+        over, under = side - (w * tau)[basis], (w * (tau - 1))[basis] - side
+        j = int(np.argmax(np.maximum(over, under)))
+        slope = -max(over[j], under[j])
+        if slope >= -1e-10 * (1 + np.abs(side).max()):
+            return b
+        way = inverse[:, j] * (1.0 if under[j] > over[j] else -1.0)
+        along = u @ way
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = r / along
+        at[basis] = np.inf
+        at[~(at > 0) | (w <= 0)] = np.inf
+        order = np.argsort(at, kind="stable")
+        passed = slope + np.cumsum((w * np.abs(along))[order])
+        first = int(np.argmax(passed >= 0))
+        if passed[first] < 0 or not np.isfinite(at[order[first]]):
+            return None
+        basis[j] = int(order[first])
+    return None
+
+
+def _nearest_task(scaling, models, rows_kept):
+    """Task function: the rows closest to each model's plane."""
+
+    def run(batches):
+        kept = [None] * len(models)
+        for u, y, base, part, lo in _blocks(batches, scaling, models):
+            off = np.where(base > 0, np.abs(y[:, None] - u @ part.beta.T), np.inf)
+            for m in range(len(part)):
+                near = np.argpartition(off[:, m], min(rows_kept, len(y) - 1))[: rows_kept + 1]
+                near = near[np.isfinite(off[near, m])]
+                block = np.column_stack([off[near, m], base[near, m], y[near], u[near]])
+                if kept[lo + m] is not None:
+                    block = np.concatenate([kept[lo + m], block])
+                kept[lo + m] = block[np.argsort(block[:, 0], kind="stable")[: rows_kept + 1]]
+        for m, block in enumerate(kept):
+            if block is not None and len(block):
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "model": pa.array([m] * len(block), pa.int32()),
+                        "off": pa.array(block[:, 0]),
+                        "row": pa.array(list(block[:, 1:]), pa.list_(pa.float64())),
+                    }
+                )
+
+    return run
+
+
+def nearest_rows(design: Design, models: Models, rows_kept: int) -> list[np.ndarray]:
+    """Per model the ``rows_kept + 1`` rows nearest its plane: ``[distance, weight, y, u…]``."""
+    found = (
+        design.read()
+        .mapInArrow(_nearest_task(design.scaling, models, rows_kept), "model int, off double, row array<double>")
+        .withColumn("at", F.row_number().over(W.partitionBy("model").orderBy("off", "row")))
+        .filter(F.col("at") <= rows_kept + 1)
+        .select("model", "off", "row")
+        .toArrow()
+    )
+    model, off = found.column("model").to_numpy(), found.column("off").to_numpy()
+    flat = found.column("row").combine_chunks().flatten().to_numpy().reshape(len(off), -1)
+    table = np.column_stack([off, flat])
+    return [table[model == m][np.argsort(off[model == m], kind="stable")] for m in range(len(models))]
+
+
+def far_step(base, u, y, models):
+    """Pull of the rows outside each model's band."""
+    r = y - u @ models.beta.T
+    outside = np.abs(r) >= models.width[None, :]
+    return [(None, base * outside * (models.tau[None, :] - (r < 0)))], []
+
+
+def turned_step(base, u, y, models):
+    """Rows outside the old band that changed side, and the loss."""
+    old, new = y - u @ models.before.T, y - u @ models.beta.T
+    turned = (np.abs(old) >= models.width[None, :]) & ((old > 0) != (new > 0))
+    return [], [base * turned, base * (np.abs(new) / 2 + (models.tau[None, :] - 0.5) * new)]
+
+
+def finish_quantiles(
+    design: Design, models: Models, loss: np.ndarray, lam: float = 0.0, rounds: int = 4
+) -> tuple[Models, np.ndarray, np.ndarray]:
+    """Exact optima near given planes; also tells which models are proven exact.
+
+    Rows far from a plane keep their side, so they act as one linear term; the
+    rest is a small exact problem over a bounded number of nearest rows. A pass
+    then counts the far rows that changed side: none means the optimum over all
+    rows is found, else the new plane starts another round.
+    """
+    size = design.size
+    keep = 100 + 40 * size
+    unit = np.concatenate([[0.0], lam / design.scale])
+    beta, loss = models.beta.copy(), loss / design.y_scale
+    exact = np.zeros(len(models), bool)
+    for _ in range(rounds):
+        at = np.flatnonzero(~exact)
+        part = replace(models, beta=beta).pick(at)
+        rows = nearest_rows(design, part, keep)
+        # a band ends before the last row kept, or holds all rows of the model
+        part = replace(part, width=np.array([r[-1, 0] if len(r) > keep else np.inf for r in rows]))
+        _, (far,), _ = weighted_pass(design, part, far_step, 0, 1, 0)
+        planes, solved = part.beta.copy(), np.zeros(len(at), bool)
+        for m, block in enumerate(rows):
+            found = _plane_of(block[block[:, 0] < part.width[m]], part.tau[m], far[m], part.beta[m], unit)
+            if found is not None:
+                planes[m], solved[m] = found, True
+        _, _, checked = weighted_pass(design, replace(part, beta=planes, before=part.beta), turned_step, 0, 0, 2)
+        now = checked[:, 1] + (np.abs(planes) * unit).sum(axis=1)
+        proven = solved & (checked[:, 0] == 0)
+        better = proven | (solved & (now < loss[at]))
+        beta[at[better]], loss[at[better]] = planes[better], now[better]
+        exact[at[proven]] = True
+        if exact.all() or not better.any():
+            break
+    return replace(models, beta=beta), loss * design.y_scale, exact
+
+
+def _plane_of(block, tau, far, start, unit):
+    """The exact plane for one model's band, with the L1 penalty as extra rows."""
+    u, y, w = block[:, 3:], block[:, 2], block[:, 1]
+    level = np.full(len(block), tau)
+    if unit.any():
+        extra = len(unit) - 1
+        u, y = np.concatenate([u, np.diag(unit)[1:]]), np.concatenate([y, np.zeros(extra)])
+        w, level = np.concatenate([w, np.full(extra, 2.0)]), np.concatenate([level, np.full(extra, 0.5)])
+    return best_plane(u, y, w, level, far, start)
+
+
 # --- generalised linear steps --------------------------------------------------------
 
 
@@ -314,7 +486,8 @@ FAMILIES = {"binomial": _binomial, "poisson": _poisson, "gaussian": _gaussian}
 def glm_step(family: str) -> Step:
     curve = FAMILIES[family]
 
-    def step(base, eta, y, models):
+    def step(base, u, y, models):
+        eta = u @ models.beta.T
         mu, w, deviance = curve(eta, y + 0 * eta)
         return [(base * w, base * (w * eta + (y - mu)))], [base * deviance, base, base * y]
 
