@@ -379,8 +379,7 @@ def glm_cv(spark, sf):
         SELECT period, grp, member, round(pred, 6) AS pred FROM r JOIN p USING (fold, any_try)""",
 )
 def glm_poisson_cv(spark, sf):
-    rows = folded(spark, sf).withColumn("any_try", (F.col("tried") > 0).cast("double"))
-    scored = glm.cv_glm(rows, ModelSpec("made", ["any_try"]), "poisson", "response", keep=PANEL_KEY)
+    scored = glm.cv_glm(flagged(spark, sf), ModelSpec("made", ["any_try"]), "poisson", "response", keep=PANEL_KEY)
     return rounded(scored.select(*PANEL_KEY, "pred"), 6, "pred")
 
 
@@ -505,6 +504,46 @@ def quantile_levels(spark, sf):
     return rounded(quantile.fit_quantile(M.members(spark, sf), ModelSpec("price", []), TAUS), 4, "estimate")
 
 
+FLAG_TAUS = [0.1313, 0.3737, 0.8181]
+
+
+def flagged(spark, sf):
+    return folded(spark, sf).withColumn("any_try", (F.col("tried") > 0).cast("double"))
+
+
+SQL_FLAGGED = SQL_FOLDED + """,
+r AS (SELECT *, CASE WHEN tried > 0 THEN 1 ELSE 0 END AS any_try FROM folded)"""
+
+
+@query(
+    "quantile_flag",
+    f"WITH {SQL_FLAGGED}, q AS ("
+    + " UNION ALL ".join(
+        f"""SELECT CAST({t} AS DOUBLE) AS tau, quantile_disc(price, {t}) FILTER (any_try = 0) AS a,
+                   quantile_disc(price, {t}) FILTER (any_try = 1) AS b FROM r"""
+        for t in FLAG_TAUS
+    )
+    + """) SELECT tau, '(Intercept)' AS term, round(a, 4) AS estimate FROM q
+         UNION ALL SELECT tau, 'any_try', round(b - a, 4) FROM q""",
+)
+def quantile_flag(spark, sf):
+    """Quantile regression on one flag: the exact fit is the quantile of either side."""
+    found = quantile.fit_quantile(flagged(spark, sf), ModelSpec("price", ["any_try"]), FLAG_TAUS)
+    return rounded(found, 4, "estimate")
+
+
+@query(
+    "quantile_flag_cv",
+    f"""WITH {SQL_FLAGGED}, folds AS (SELECT DISTINCT fold FROM r),
+        q AS (SELECT f.fold, any_try, quantile_disc(price, 0.3737) AS pred FROM folds f, r
+              WHERE r.fold <> f.fold GROUP BY f.fold, any_try)
+        SELECT period, grp, member, round(pred, 4) AS pred FROM r JOIN q USING (fold, any_try)""",
+)
+def quantile_flag_cv(spark, sf):
+    scored = quantile.cv_quantile(flagged(spark, sf), ModelSpec("price", ["any_try"]), 0.3737, keep=PANEL_KEY)
+    return rounded(scored.select(*PANEL_KEY, "pred"), 4, "pred")
+
+
 @query("quantile_fit")
 def quantile_fit(spark, sf):
     return quantile.fit_quantile(M.members(spark, sf), WIDE, [0.5, 0.8])
