@@ -450,6 +450,30 @@ def top_models(spark, sf):
     return select.top_models(probabilities, LONG.terms, 10)
 
 
+# One weak term: two models, their evidence and shrunken slope per held-out fold.
+WEAK = ModelSpec("price", ["weak"])
+SQL_WEAK = f"""{SQL_FOLDED},
+base AS (SELECT *, grp - avg(grp) OVER () AS x, price - avg(price) OVER () AS y, avg(price) OVER () AS my FROM folded),
+cell AS (SELECT fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy
+         FROM base GROUP BY fold),
+train AS (SELECT c.fold, sum(o.n) AS n, sum(o.sx) AS sx, sum(o.sy) AS sy, sum(o.sxx) AS sxx, sum(o.sxy) AS sxy,
+                 sum(o.syy) AS syy FROM cell c JOIN cell o ON c.fold <> o.fold GROUP BY c.fold),
+stat AS (SELECT fold, CAST(n AS DOUBLE) AS n, sx / n AS ax, sy / n AS ay, sxx - sx * sx / n AS xx, sxy - sx * sy / n AS xy,
+                syy - sy * sy / n AS yy, 0.01 * n AS c FROM train),
+odds AS (SELECT *, (n - 2) / 2 * ln(1 + c) - (n - 1) / 2 * ln(1 + c * (1 - xy * xy / xx / yy)) AS gain FROM stat),
+fit AS (SELECT *, 1 / (1 + exp(-gain)) * c / (1 + c) * xy / xx AS b FROM odds)"""
+
+
+@query(
+    "bayes_cv_one",
+    f"""WITH {SQL_WEAK} SELECT period, grp, member, round(my + ay + b * (x - ax), 4) AS pred FROM base JOIN fit USING (fold)""",
+)
+def bayes_cv_one(spark, sf):
+    """Out-of-fold predictions averaged over the models with and without one weak term."""
+    rows = folded(spark, sf).withColumn("weak", F.col("grp").cast("double"))
+    return rounded(select.cv_bayes(rows, WEAK, keep=PANEL_KEY).select(*PANEL_KEY, "pred"), 4, "pred")
+
+
 @query("bayes_cv")
 def bayes_cv(spark, sf):
     scored = select.cv_bayes(folded(spark, sf), LONG, seed=SEED)
@@ -610,6 +634,23 @@ def mixed_nested(spark, sf):
     return rounded(mixed.fit_mixed(M.top_members(spark, sf), NESTED).variances(), 3, "variance")
 
 
+@query(
+    "mixed_modes",
+    f"""WITH {SQL_ANOVA},
+        v AS (SELECT *, CASE WHEN ms_p >= ms_g THEN ms_g ELSE (ms_p * (t - 1) + ms_g * t * (g - 1)) / (t * g - 1) END AS lg,
+                     greatest(ms_p - ms_g, 0) AS dp, (SELECT avg(m) FROM cells) AS mu FROM a),
+        u AS (SELECT period, dp / (lg + dp) * (m - mu) AS mode FROM periods, v)
+        SELECT 'period' AS factor, CAST(period AS VARCHAR) AS grp, round(mode, 4) + 0.0 AS mode FROM u
+        UNION ALL
+        SELECT 'period:grp', concat(period, ':', grp), round((lg - ms_e) / lg * (m - mu - u.mode), 4) + 0.0
+        FROM cells JOIN u USING (period), v""",
+)
+def mixed_modes(spark, sf):
+    """Conditional modes of a balanced nested layout."""
+    modes = mixed.fit_mixed(M.top_members(spark, sf), NESTED).modes()
+    return modes.select("factor", "grp", (F.round("condval", 4) + F.lit(0.0)).alias("mode"))
+
+
 @query("mixed_nested_terms")
 def mixed_nested_terms(spark, sf):
     return mixed.fit_mixed(panel_rows(spark, sf), NESTED_X).coefficients()
