@@ -262,24 +262,24 @@ v AS (SELECT e.i, sqrt(sum(n * (mse - cv_error) * (mse - cv_error)) / sum(n) / (
     "lasso_cv_one",
     "WITH "
     + SQL_CV_ONE.format(ratio="1e-4", scale="1", slope="sign(vxy) * greatest(abs(vxy / sqrt(vx)) - lam, 0)")
-    + """ SELECT round(lam, 5) AS "lambda", round(cv_error / 1e6, 6) AS cv_error, round(cv_se / 1e6, 6) AS cv_se,
+    + """ SELECT round(lam, 5) AS "lambda", round(cv_error / 1e6, 4) AS cv_error, round(cv_se / 1e6, 4) AS cv_se,
                  CASE WHEN i > 0 THEN 1 ELSE 0 END AS nvars FROM m JOIN v USING (i)""",
 )
 def lasso_cv_one(spark, sf):
     table = linear.penalised_cv(folded(spark, sf), ONE).path_table(spark)
     table = table.withColumns({"cv_error": F.col("cv_error") / 1e6, "cv_se": F.col("cv_se") / 1e6})
-    return rounded(rounded(table, 5, "lambda"), 6, "cv_error", "cv_se")
+    return rounded(rounded(table, 5, "lambda"), 4, "cv_error", "cv_se")
 
 
 @query(
     "ridge_cv_one",
     "WITH "
     + SQL_CV_ONE.format(ratio="1e-4", scale="1000", slope="vxy / sqrt(vx) / (1 + lam / sqrt(vy))")
-    + ' SELECT round(lam, 3) AS "lambda", round(cv_error / 1e6, 6) AS cv_error FROM m',
+    + ' SELECT round(lam, 3) AS "lambda", round(cv_error / 1e6, 4) AS cv_error FROM m',
 )
 def ridge_cv_one(spark, sf):
     table = linear.penalised_cv(folded(spark, sf), ONE, ridge=True).path_table(spark)
-    table = table.select(F.round("lambda", 3).alias("lambda"), F.round(F.col("cv_error") / 1e6, 6).alias("cv_error"))
+    table = table.select(F.round("lambda", 3).alias("lambda"), F.round(F.col("cv_error") / 1e6, 4).alias("cv_error"))
     return table
 
 
@@ -640,15 +640,15 @@ def mixed_nested(spark, sf):
         v AS (SELECT *, CASE WHEN ms_p >= ms_g THEN ms_g ELSE (ms_p * (t - 1) + ms_g * t * (g - 1)) / (t * g - 1) END AS lg,
                      greatest(ms_p - ms_g, 0) AS dp, (SELECT avg(m) FROM cells) AS mu FROM a),
         u AS (SELECT period, dp / (lg + dp) * (m - mu) AS mode FROM periods, v)
-        SELECT 'period' AS factor, CAST(period AS VARCHAR) AS grp, round(mode, 4) + 0.0 AS mode FROM u
+        SELECT 'period' AS factor, CAST(period AS VARCHAR) AS grp, round(mode, 3) + 0.0 AS mode FROM u
         UNION ALL
-        SELECT 'period:grp', concat(period, ':', grp), round((lg - ms_e) / lg * (m - mu - u.mode), 4) + 0.0
+        SELECT 'period:grp', concat(period, ':', grp), round((lg - ms_e) / lg * (m - mu - u.mode), 3) + 0.0
         FROM cells JOIN u USING (period), v""",
 )
 def mixed_modes(spark, sf):
     """Conditional modes of a balanced nested layout."""
     modes = mixed.fit_mixed(M.top_members(spark, sf), NESTED).modes()
-    return modes.select("factor", "grp", (F.round("condval", 4) + F.lit(0.0)).alias("mode"))
+    return modes.select("factor", "grp", (F.round("condval", 3) + F.lit(0.0)).alias("mode"))
 
 
 @query("mixed_nested_terms")

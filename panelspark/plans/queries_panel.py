@@ -656,12 +656,12 @@ def facet_band(spark, sf):
     f"""WITH {M.SQL_MEMBERS}, p AS (SELECT period, price AS y, mins * 100.0 AS pred FROM members)
         SELECT period, count(*) AS n, round(pow(corr(y, pred), 2), 8) AS sq_corr,
                round(sqrt(avg(pow(y - pred, 2))), 4) AS rmse,
-               round(sqrt(avg(pow(y - pred, 2))) / avg(y), 8) AS nrmse, round(sum(pow(y - pred, 2)) / 1e6, 4) AS ssr_m
+               round(sqrt(avg(pow(y - pred, 2))) / avg(y), 8) AS nrmse, round(sum(pow(y - pred, 2)) / 1e9, 4) AS ssr_g
         FROM p GROUP BY period""",
 )
 def fit_metrics(spark, sf):
     rows = M.members(spark, sf).select("period", F.col("price").alias("y"), (F.col("mins") * 100.0).alias("pred"))
-    out = explore.fit_metrics(rows, "y", "pred", ["period"]).withColumn("ssr_m", F.round(F.col("ssr") / 1e6, 4))
+    out = explore.fit_metrics(rows, "y", "pred", ["period"]).withColumn("ssr_g", F.round(F.col("ssr") / 1e9, 4))
     return rounded(rounded(out.drop("ssr"), 8, "sq_corr", "nrmse"), 4, "rmse")
 
 
@@ -671,11 +671,11 @@ SPREAD = ["mins", "price", "disc", "tax", "flat"]
 @query(
     "varying_columns",
     f"""WITH {M.SQL_MEMBERS}, m AS (SELECT *, 1.0 AS flat FROM members)
-        {" UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(stddev_samp({c}), 6) AS sd, stddev_samp({c}) > 0 AS varies FROM m" for c in SPREAD)}""",
+        {" UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(stddev_samp({c}), 4) AS sd, stddev_samp({c}) > 0 AS varies FROM m" for c in SPREAD)}""",
 )
 def varying_columns(spark, sf):
     rows = M.members(spark, sf).withColumn("flat", F.lit(1.0))
-    return rounded(explore.column_spread(rows, SPREAD), 6, "sd")
+    return rounded(explore.column_spread(rows, SPREAD), 4, "sd")
 
 
 @query(
