@@ -153,28 +153,34 @@ def group_quantiles(
         whole = df.select(column).withColumn("__all", F.lit(1))
         return group_quantiles(whole, ["__all"], column, probs, max_values).drop("__all")
     counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).cast("double").alias("__v"))
+        df.groupBy(*keys, F.col(column).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__below", F.lit(0).cast("long"))
     )
+    known = F.col("__v").isNotNull()
     totals = counts.groupBy(*keys).agg(
-        F.sum("__n").alias("__total"), F.count(F.lit(1)).alias("__distinct")
+        F.sum(F.when(known, F.col("__n"))).alias("__total"), F.count("__v").alias("__distinct")
     )
-    ranks = totals.select(*keys, *_rank_columns(probs.values()))
-    live, largest = counts, totals.agg(F.max("__distinct")).first()[0] or 0
-    while largest > max_values:
-        live = _shrink_to_ranks(live, ranks, keys, len(probs))
-        left = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
-        if left >= largest:
-            break
-        largest = left
+    live = counts.filter(known)
+    largest = totals.agg(F.max("__distinct")).first()[0] or 0
+    if largest <= max_values:
+        # every row of a group is here, so the ranks need no second table
+        total = F.sum("__n").over(W.partitionBy(*keys))
+        ranked = live.withColumn("__total", total).select("*", *_rank_columns(probs.values()))
+    else:
+        ranks = totals.select(*keys, *_rank_columns(probs.values()))
+        while largest > max_values:
+            live = _shrink_to_ranks(live, ranks, keys, len(probs))
+            left = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+            if left >= largest:
+                break
+            largest = left
+        ranked = left_join_on(live, ranks, keys, null_safe=True)
     w = W.partitionBy(*keys).orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
     before = F.col("__upto") - F.col("__n")
-    inside = live.withColumn("__upto", F.col("__below") + F.sum("__n").over(w))
     at = lambda r: F.max(F.when((before < F.col(r)) & (F.col(r) <= F.col("__upto")), F.col("__v")))
     found = (
-        left_join_on(inside, ranks, keys, null_safe=True)
+        ranked.withColumn("__upto", F.col("__below") + F.sum("__n").over(w))
         .groupBy(*keys)
         .agg(
             *[at(f"__{end}{i}").alias(f"__{end}v{i}") for i in range(len(probs)) for end in ("low", "high")],
@@ -183,7 +189,7 @@ def group_quantiles(
     )
     between = lambda i: F.col(f"__lowv{i}") + F.col(f"__part{i}") * (F.col(f"__highv{i}") - F.col(f"__lowv{i}"))
     values = found.select(*keys, *[between(i).alias(name) for i, name in enumerate(probs)])
-    return left_join_on(df.select(*keys).distinct(), values, keys, null_safe=True)
+    return left_join_on(totals.select(*keys), values, keys, null_safe=True)
 
 
 def _rank_columns(probs) -> list[Column]:
@@ -287,18 +293,17 @@ def carry_back(
     if chunk is None:
         w = rows_after(W.partitionBy(*keys).orderBy(*order_by))
         return df.withColumn(out, F.first(column, ignorenulls=True).over(w))
-    cut = df.withColumn("__chunk", chunk)
-    firsts = cut.groupBy(*keys, "__chunk").agg(
-        F.min_by(F.col(column), F.when(F.col(column).isNotNull(), F.struct(*order_by))).alias("__first")
+    cut = W.partitionBy(*keys, "__chunk").orderBy(*order_by)
+    filled = df.withColumn("__chunk", chunk).withColumns(
+        {"__filled": F.first(column, ignorenulls=True).over(rows_after(cut)), "__at": F.row_number().over(cut)}
     )
+    # the first row of a chunk holds its first known value: one row per chunk goes on
     after = W.partitionBy(*keys).orderBy("__chunk").rowsBetween(1, W.unboundedFollowing)
-    nexts = firsts.select(
-        *keys, "__chunk", F.first("__first", ignorenulls=True).over(after).alias("__next")
+    nexts = filled.filter("__at = 1").select(
+        *keys, "__chunk", F.first("__filled", ignorenulls=True).over(after).alias("__next")
     )
-    inside = rows_after(W.partitionBy(*keys, "__chunk").orderBy(*order_by))
-    filled = cut.withColumn("__filled", F.first(column, ignorenulls=True).over(inside))
     return (
-        left_join_on(filled, nexts, [*keys, "__chunk"], null_safe=True)
+        left_join_on(filled.drop("__at"), nexts, [*keys, "__chunk"], null_safe=True)
         .withColumn(out, F.coalesce("__filled", "__next"))
         .drop("__chunk", "__filled", "__next")
     )
@@ -312,7 +317,8 @@ def topk_coverage(
     covered = top.groupBy(period, group).agg(strict_sum(amount).alias("__covered"))
     total = members.groupBy(period, group).agg(strict_sum(amount).alias("__total"))
     return (
-        left_join_on(covered, total, [period, group])
+        # null-safe keys keep both sides' plans alike, so the member sums are shuffled once
+        left_join_on(covered, total, [period, group], null_safe=True)
         .withColumn("__pct", F.try_divide(F.col("__covered"), F.col("__total")) * 100)
         .groupBy(period)
         .agg(strict_mean("__pct").alias(out))

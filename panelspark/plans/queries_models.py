@@ -480,13 +480,22 @@ def bayes_cv(spark, sf):
     return _errors(spark, scored, LONG.label, "bayes")
 
 
+def _sample(spark, sf):
+    moments = gram.collect_moments(design_rows(M.members(spark, sf), LONG), [*LONG.terms, LONG.label])
+    evidence = {-1: select.Evidence.of(moments.total, moments.shift, moments.total[0, 0] * 0.01)}
+    return select.sample_models(spark, evidence, chains=4, iterations=500, seed=SEED)
+
+
 @query("inclusion_trace")
 def inclusion_trace(spark, sf):
     """Running inclusion share of every term along the sampled chains."""
-    moments = gram.collect_moments(design_rows(M.members(spark, sf), LONG), [*LONG.terms, LONG.label])
-    evidence = {-1: select.Evidence.of(moments.total, moments.shift, moments.total[0, 0] * 0.01)}
-    sample = select.sample_models(spark, evidence, chains=4, iterations=500, seed=SEED)
-    return select.inclusion_trace(sample, LONG.terms).drop("fold")
+    return select.inclusion_trace(_sample(spark, sf), LONG.terms).drop("fold")
+
+
+@query("model_trace")
+def model_trace(spark, sf):
+    """Number of included terms and log posterior at every iteration of the chains."""
+    return select.model_sizes(_sample(spark, sf)).drop("fold")
 
 
 @query(
