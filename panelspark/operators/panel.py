@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.columns import strict_mean, strict_sum, sum_or_zero
 from panelspark.operators.clean import left_join_on
+from panelspark.session import pinned
 
 
 def _struct_of(order_by: Sequence[str]) -> Column:
@@ -168,9 +169,11 @@ def group_quantiles(
         total = F.sum("__n").over(W.partitionBy(*keys))
         ranked = live.withColumn("__total", total).select("*", *_rank_columns(probs.values()))
     else:
-        ranks = totals.select(*keys, *_rank_columns(probs.values()))
+        ranks = pinned(totals.select(*keys, *_rank_columns(probs.values())))
+        live = pinned(live)
         while largest > max_values:
-            live = _shrink_to_ranks(live, ranks, keys, len(probs))
+            # kept between rounds, so that a round does not repeat the ones before it
+            live = pinned(_shrink_to_ranks(live, ranks, keys, len(probs)))
             left = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
             if left >= largest:
                 break
