@@ -308,6 +308,40 @@ def lasso_outer_one(spark, sf):
     return rounded(scored.select(*PANEL_KEY, "pred"), 4, "pred")
 
 
+def _sql_sums(prefix: str = "") -> str:
+    names = ["n", "sx", "sy", "sxx", "sxy", "syy"]
+    return ", ".join(f"CAST(sum({prefix}{c}) AS DOUBLE) AS {c}" for c in names)
+
+
+SQL_SOFT = "sign({vxy}) * greatest(abs({vxy} / sqrt({vx})) - lam, 0) / sqrt({vx})"
+
+
+@query(
+    "lasso_nested_one",
+    f"""WITH {SQL_ONE},
+        cell2 AS (SELECT fold, inner_fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy,
+                         sum(y * y) AS syy FROM base GROUP BY fold, inner_fold),
+        pairs AS (SELECT DISTINCT a.fold AS k, b.inner_fold AS j FROM cell2 a, cell2 b),
+        tr AS (SELECT k, j, {_sql_sums()} FROM pairs JOIN cell2 ON fold <> k AND inner_fold <> j GROUP BY k, j),
+        te AS (SELECT k, j, {_sql_sums()} FROM pairs JOIN cell2 ON fold <> k AND inner_fold = j GROUP BY k, j),
+        ts AS (SELECT k, j, sx / n AS ax, sy / n AS ay, sxx / n - (sx / n) * (sx / n) AS vx,
+                      sxy / n - (sx / n) * (sy / n) AS vxy FROM tr),
+        l AS (SELECT fold AS k, i, abs(vxy / sqrt(vx)) * pow(1e-4, i / 99.0) AS lam FROM stat, {SQL_GRID}),
+        f AS (SELECT k, j, i, ax, ay, {SQL_SOFT.format(vx="vx", vxy="vxy")} AS b FROM ts JOIN l USING (k)),
+        e AS (SELECT k, i, n, (syy - 2 * (ay - b * ax) * sy - 2 * b * sxy + n * (ay - b * ax) * (ay - b * ax)
+                               + 2 * (ay - b * ax) * b * sx + b * b * sxx) / n AS mse FROM f JOIN te USING (k, j)),
+        m AS (SELECT k, i, sum(n * mse) / sum(n) AS err FROM e GROUP BY k, i),
+        best AS (SELECT k, arg_min(i, err) AS i FROM m GROUP BY k),
+        picked AS (SELECT k AS fold, ax, ay, {SQL_SOFT.format(vx="vx", vxy="vxy")} AS slope
+                   FROM best JOIN l USING (k, i) JOIN stat ON stat.fold = k)
+        SELECT period, grp, member, round(my + ay + slope * (x - ax), 4) AS pred FROM base JOIN picked USING (fold)""",
+)
+def lasso_nested_one(spark, sf):
+    """Out-of-fold lasso with the penalty chosen by inner folds: 10 × 10 fits from one pass."""
+    scored = linear.cv_penalised(folded(spark, sf), ONE, criterion="cv", keep=PANEL_KEY)
+    return rounded(scored.select(*PANEL_KEY, "pred"), 4, "pred")
+
+
 def _errors(spark, scored, label, name):
     return explore.fit_metrics(scored, label, "pred").withColumn("model", F.lit(name))
 

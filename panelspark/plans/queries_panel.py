@@ -644,11 +644,30 @@ def facet_fit(spark, sf):
     return fit.select("metric", "count", "slope", "intercept", "r2", "sigma")
 
 
-@query("facet_band")
+@query(
+    "facet_band",
+    f"""WITH {M.SQL_SHARES}, long AS (
+          SELECT 'mins' AS metric, mins AS value, share FROM shares UNION ALL
+          SELECT 'price', price, share FROM shares UNION ALL SELECT 'disc', disc, share FROM shares),
+        f AS (SELECT metric, CAST(regr_count(share, value) AS DOUBLE) AS n, regr_slope(share, value) AS b,
+                     regr_intercept(share, value) AS a, regr_sxx(share, value) AS sxx, regr_syy(share, value) AS syy,
+                     regr_sxy(share, value) AS sxy, regr_avgx(share, value) AS mx,
+                     min(value) FILTER (share IS NOT NULL) AS lo, max(value) FILTER (share IS NOT NULL) AS hi,
+                     CAST(1.959963984540054 AS DOUBLE) AS q
+              FROM long GROUP BY metric),
+        s AS (SELECT *, sqrt((syy - sxy * sxy / sxx) / (n - 2)) AS sigma, n - 2 AS v FROM f),
+        t AS (SELECT *, q + (pow(q, 3) + q) / (4 * v) + (5 * pow(q, 5) + 16 * pow(q, 3) + 3 * q) / (96 * v * v)
+                     + (3 * pow(q, 7) + 19 * pow(q, 5) + 17 * pow(q, 3) - 15 * q) / (384 * v * v * v) AS tq FROM s),
+        g AS (SELECT *, lo + i * (hi - lo) / 79 AS x FROM t, generate_series(0, 79) r(i)),
+        e AS (SELECT *, a + b * x AS fit, tq * sigma * sqrt(1 / n + (x - mx) * (x - mx) / sxx) AS half FROM g)
+        SELECT metric, CAST(i AS INTEGER) AS point, round(x, 4) AS x, round(fit, 5) AS fit,
+               round(fit - half, 5) AS lower, round(fit + half, 5) AS upper FROM e""",
+)
 def facet_band(spark, sf):
     """Fitted line and 95% band per metric, on 80 points each."""
     long = explore.facet_long(M.shares(spark, sf), ["share"], ["mins", "price", "disc"])
-    return explore.facet_band(explore.facet_fit(long, "metric", "value", "share"), "metric")
+    band = explore.facet_band(explore.facet_fit(long, "metric", "value", "share"), "metric")
+    return rounded(rounded(band, 4, "x"), 5, "fit", "lower", "upper")
 
 
 @query(
