@@ -1,4 +1,4 @@
-"""Key repair, code conforming and joins that keep the reference's null rules."""
+"""Key repair, code conforming and joins with explicit null rules."""
 
 from __future__ import annotations
 

@@ -30,7 +30,7 @@ def has_checkpoint_dir(spark: SparkSession) -> bool:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """``df`` kept for as long as it is referenced: for small tables read by many later passes."""
+    """``df`` kept for the session: for tables that many later, lazy passes read."""
     if has_checkpoint_dir(df.sparkSession):
         return _checkpointed(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
