@@ -53,3 +53,11 @@ def release() -> None:
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # noqa: BLE001 — the session may have ended before the driver
             return
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it new to ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import simhash
+from panelspark.llm import merkle, packing, passages, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,3 +28,42 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and its near-duplicate component."""
     found = simhash.near_duplicates(_table(spark, folder, "documents"), shingle=3, seed=42, bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query
+def op9_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle fingerprint of every document, of its edited text, and their likeness."""
+    found = merkle.compare_edited(_table(spark, folder, "documents"))
+    return found.drop("edits")
+
+
+@_query
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    packed = packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1, capacity=packing.Capacity(4096))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@_query
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = _table(spark, folder, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    counts = [pii.count_kind(F.col("pii.base"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("pii.base")), 256).alias("base_sha256"), pii.listed(F.col("pii.spans")).alias("spans"))
+
+
+@_query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; labels of a fifth of the keys are not learned."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    scored = toxicity.score(docs, toxicity.learn(docs, labels.where(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by the passages of 50 words and more that they share."""
+    docs = _table(spark, folder, "documents")
+    return passages.classes(docs, passages.near_passages(docs))
