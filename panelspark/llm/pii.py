@@ -94,11 +94,12 @@ def _overlap(a: Column, b: Column) -> Column:
 
 def _base(text: Column) -> Column:
     """All base spans, by start and then kind."""
-    spans = []
-    for i, kind in enumerate(KINDS):
-        kept = F.filter(_matches(text, RULES[kind], CUES[kind]), lambda s, kind=kind: _valid(kind, s["value"]))
-        spans.append(F.transform(kept, lambda s, i=i: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end"))))
-    return F.array_sort(F.concat(*spans))
+
+    def kept(i):
+        valid = F.filter(_matches(text, RULES[KINDS[i]], CUES[KINDS[i]]), lambda s: _valid(KINDS[i], s["value"]))
+        return F.transform(valid, lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end")))
+
+    return F.array_sort(F.concat(*[kept(i) for i in range(len(KINDS))]))
 
 
 FEATURES = (

@@ -50,7 +50,7 @@ def test_base_spans(spark):
     assert [got[i] for i in range(len(TEXTS))] == [base(t) for t in TEXTS]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="0123456789@.+-() aé_%😀\n", max_size=60), min_size=60, max_size=60))
 def test_base_spans_of_any_text(spark, texts):
     got = spans_of(spark, texts)
