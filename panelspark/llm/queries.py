@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import merkle, packing, passages, pii, simhash, toxicity
+from panelspark.llm import merkle, packing, passages, pii, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,11 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents by the passages of 50 words and more that they share."""
     docs = _table(spark, folder, "documents")
     return passages.classes(docs, passages.near_passages(docs))
+
+
+@_query
+def op5_tokenfile(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents, written to files of byte planes and read back."""
+    manifest = tokenfile.write_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    found = tokenfile.read_tokens(manifest)
+    return found.select("doc_id", "start", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
