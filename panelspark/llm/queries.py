@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import merkle, packing, passages, pii, simhash, tokenfile, toxicity
+from panelspark.llm import merkle, neighbours, packing, passages, pii, simhash, tokenfile, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,3 +75,10 @@ def op5_tokenfile(spark: SparkSession, folder: str) -> DataFrame:
     manifest = tokenfile.write_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
     found = tokenfile.read_tokens(manifest)
     return found.select("doc_id", "start", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors nearest to every twentieth, by inner product."""
+    vectors = _table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
