@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import merkle, neighbours, packing, passages, pii, simhash, tokenfile, toxicity
+from panelspark.llm import merkle, neighbours, packing, passages, pii, secrets, simhash, tokenfile, toxicity
+from panelspark.llm._spans import count_kind, listed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +83,12 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 vectors nearest to every twentieth, by inner product."""
     vectors = _table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@_query
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.find(_table(spark, folder, "documents"))
+    counts = [count_kind(F.col("secrets.base"), i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
+    base, spans = (listed(F.col(f"secrets.{c}"), secrets.KINDS) for c in ("base", "spans"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
