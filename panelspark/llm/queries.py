@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import merkle, neighbours, packing, passages, pii, secrets, simhash, tokenfile, toxicity
+from panelspark.llm import merkle, neighbours, packing, passages, pieces, pii, secrets, simhash, tokenfile, toxicity
 from panelspark.llm._spans import count_kind, listed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,18 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     counts = [count_kind(F.col("secrets.base"), i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
     base, spans = (listed(F.col(f"secrets.{c}"), secrets.KINDS) for c in ("base", "spans"))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+@_query
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents and the text they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = pieces.decode(pieces.encode(docs, path), path)
+    return found.select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
