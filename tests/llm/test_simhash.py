@@ -1,23 +1,11 @@
 """SimHash operator against plain Python."""
 
-import re
 from itertools import combinations
 
 import numpy as np
 import pytest
-import xxhash
-
 from panelspark.llm import simhash
-
-
-def plain(text):
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    words = re.findall(r"[^\x20\x09-\x0D]+", low)
-    if not words:
-        return 0
-    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+from tests_llm_plain import simhash_of
 
 
 def components(rows):
@@ -56,7 +44,7 @@ TEXTS = [
 def test_matches_plain(spark):
     docs = spark.createDataFrame([(k, t, "x", 1.0) for k, t in TEXTS], "doc_id long, text string, print string, component_id double")
     got = simhash.near_duplicates(docs).collect()
-    rows = [(k, plain(t)) for k, t in TEXTS]
+    rows = [(k, simhash_of(t)) for k, t in TEXTS]
     want = sorted((str(k), p, c) for (k, p), c in zip(rows, components(rows), strict=True))
     assert sorted((str(r.doc_id), r.print % (1 << 64), r.component_id) for r in got) == want
 
