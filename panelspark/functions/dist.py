@@ -1,10 +1,12 @@
-"""Distribution functions for p-values and intervals (scalars on the driver)."""
+"""Distribution functions for p-values and intervals."""
 
 from __future__ import annotations
 
 import math
 from statistics import NormalDist
 
+import numpy as np
+
 _STD = NormalDist()
 
 
@@ -16,6 +18,12 @@ def normal_sf(x: float) -> float:
     return 0.5 * math.erfc(x / math.sqrt(2))
 
 
+def normal_cdf(z: np.ndarray) -> np.ndarray:
+    """Normal distribution function of an array."""
+    tails = map(math.erfc, (np.asarray(z, float) / -math.sqrt(2)).tolist())
+    return 0.5 * np.fromiter(tails, dtype=float, count=len(z))
+
+
 def log_normal_sf(x: float) -> float:
     """log P(Z > x), also far in the tail where the probability underflows."""
     if x < 30:

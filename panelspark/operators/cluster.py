@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,12 +31,24 @@ def kmeans_groups(
         packed = StandardScaler(inputCol="__raw", outputCol="__x").fit(packed).transform(packed)
     else:
         packed = packed.withColumnRenamed("__raw", "__x")
+    return _best_of(packed, k, seeds, out, max_iter).drop("__x", "__raw")
+
+
+def kmeans_vectors(
+    df: DataFrame, vector: str, k: int = 8, seeds: Sequence[int] = (0, 1, 2), out: str = "cluster", max_iter: int = 30
+) -> DataFrame:
+    """``kmeans_groups`` over a whole array column, whatever its length; null vectors are dropped."""
+    packed = df.filter(F.col(vector).isNotNull()).withColumn("__x", array_to_vector(vector))
+    return _best_of(packed, k, seeds, out, max_iter).drop("__x")
+
+
+def _best_of(packed: DataFrame, k: int, seeds: Sequence[int], out: str, max_iter: int) -> DataFrame:
     with reused(packed.select("__x")) as kept:
         fits = [
             KMeans(k=k, seed=s, featuresCol="__x", predictionCol=out, maxIter=max_iter).fit(kept) for s in seeds
         ]
     best = min(fits, key=lambda m: m.summary.trainingCost)
-    return best.transform(packed).drop("__x", "__raw")
+    return best.transform(packed)
 
 
 def cluster_profile(df: DataFrame, value: str, cluster: str = "cluster") -> DataFrame:

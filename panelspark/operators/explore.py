@@ -50,12 +50,14 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def density_grid(df: DataFrame, column: str, points: int = 512, cells: int = 4096) -> DataFrame:
+def density_grid(df: DataFrame, column: str, points: int = 512, fineness: int = 32) -> DataFrame:
     """Gaussian kernel density on an even grid over the column's range.
 
-    Rows are first reduced to at most ``cells`` cells (count and mean), so the
-    kernel is summed over cells × points values whatever the table's size.
-    The bandwidth is ``0.9 · min(sd, IQR / 1.34) · n^(-1/5)``.
+    Rows are first reduced to cells of the ``fineness``-th part of the bandwidth,
+    with the first six moments about the cell's middle; the kernel's series about
+    the middle then gives the sum over a cell's rows to about 1e-11 of its height.
+    A cell reaches the grid points within nine bandwidths (beyond, the kernel is
+    below 3e-18 of its height). The bandwidth is ``0.9 · min(sd, IQR / 1.34) · n^(-1/5)``.
     """
     rows = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
     with reused(rows) as known:
@@ -63,16 +65,33 @@ def density_grid(df: DataFrame, column: str, points: int = 512, cells: int = 409
         if not n or hi <= lo:
             raise ValueError(f"{column} has no spread to estimate a density from")
         q1, q3 = group_quantiles(known, [], "x", {"q1": 0.25, "q3": 0.75}).first()
-        cell = F.least(F.floor((F.col("x") - lo) / ((hi - lo) / cells)), F.lit(cells - 1))
-        # at most ``cells`` rows
-        reduced = known.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("at")).collect()
     bw = 0.9 * min(sd, (q3 - q1) / 1.34 or sd) * n**-0.2
-    table = df.sparkSession.createDataFrame([(r["n"], r["at"]) for r in reduced], "n long, at double")
-    spots = table.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    spots = spots.withColumn("x", F.lit(lo) + F.col("point") * F.lit((hi - lo) / (points - 1)))
-    z = (F.col("x") - F.col("at")) / F.lit(bw)
-    height = F.col("n") * F.exp(-0.5 * z * z) / (F.lit(n * bw) * F.sqrt(2 * F.pi()))
-    return spots.groupBy("point").agg(F.max("x").alias("x"), F.sum(height).alias("density"))
+    step = (hi - lo) / (points - 1)
+    cell = F.floor((F.col("x") - lo) / (bw / fineness))
+    middle = lo + (F.col("cell") + 0.5) * (bw / fineness)
+    off = (F.col("x") - middle) / bw
+    powers = [F.sum(F.pow(off, F.lit(float(k)))).alias(f"s{k}") for k in range(6)]
+    cells = rows.withColumn("cell", cell).groupBy("cell").agg(*powers).withColumn("at", middle)
+    near = F.sequence(
+        F.greatest(F.ceil((F.col("at") - 9 * bw - lo) / step), F.lit(0)).cast("int"),
+        F.least(F.floor((F.col("at") + 9 * bw - lo) / step), F.lit(points - 1)).cast("int"),
+    )
+    reached = (F.col("at") + 9 * bw >= lo + F.ceil((F.col("at") - 9 * bw - lo) / step) * step)
+    spots = cells.filter(reached).withColumn("point", F.explode(near))
+    z = (lo + F.col("point") * step - F.col("at")) / bw
+    hermite = [F.lit(1.0), z]
+    for k in range(1, 5):
+        hermite.append(z * hermite[k] - k * hermite[k - 1])
+    series, factorial = F.lit(0.0), 1.0
+    for k in range(6):
+        factorial *= max(k, 1)
+        series = series + hermite[k] * F.col(f"s{k}") / factorial
+    height = F.exp(-0.5 * z * z) * series / (F.lit(n * bw) * F.sqrt(2 * F.pi()))
+    summed = spots.groupBy("point").agg(F.sum(height).alias("density"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+    # points far from all rows have a density of 0
+    found = grid.join(summed, "point", "left")
+    return found.select("point", (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), F.coalesce("density", F.lit(0.0)).alias("density"))
 
 
 def facet_long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:

@@ -38,16 +38,11 @@ def packed_pairs(size: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(size) for j in range(i, size)]
 
 
-def common_shift(df: DataFrame, columns: Sequence[str], rows: int = 1000) -> np.ndarray:
-    """A constant near each column's mean, so that products keep their digits.
-
-    Any constant gives the same model; the mean of a few rows is near enough
-    and does not cost a pass over the table.
-    """
+def common_shift(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Each column's mean over the whole table, so that products keep their digits."""
     if not columns:
         return np.zeros(0)
-    few = df.select(*[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).limit(rows)
-    row = few.agg(*[F.avg(f"c{i}").alias(f"m{i}") for i in range(len(columns))]).first()
+    row = df.agg(*[F.avg(F.col(quoted(c)).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     return np.array([0.0 if v is None or v != v else v for v in row])
 
 
@@ -59,8 +54,8 @@ def keyed_moments(
 ) -> DataFrame:
     """``(keys…, pos, value)``: packed products of ``[1, columns − shift]`` per key.
 
-    Sums are taken inside each task first; the shuffle carries one row per
-    task, key and product, whatever the number of rows or the skew of the keys.
+    Sums are taken inside each task first; the shuffle carries one row of packed
+    products per task and key, whatever the number of rows or the skew of the keys.
     """
     shift = np.zeros(len(columns)) if shift is None else np.asarray(shift, float)
     rows = df.select(*keys, *[F.col(quoted(c)).cast("double").alias(c) for c in columns])
@@ -75,11 +70,8 @@ def keyed_moments(
         [rows.schema[k] for k in keys] + [T.StructField("m", T.ArrayType(T.DoubleType()))]
     )
     blocks = rows.mapInArrow(_block_sums(list(columns), list(keys), shift, schema), schema)
-    return (
-        blocks.select(*keys, F.posexplode("m").alias("pos", "value"))
-        .groupBy(*keys, "pos")
-        .agg(F.sum("value").alias("value"))
-    )
+    summed = sum_arrays(blocks, keys, rows.rdd.getNumPartitions())
+    return summed.select(*keys, F.posexplode("m").alias("pos", "value"))
 
 
 def _block_sums(columns, keys, shift, schema, held=512):
@@ -214,25 +206,70 @@ def _from_covariances(df: DataFrame, columns: list[str], keys: list[str], most:
     return Moments(columns, shift, dict(sorted(by_key.items())))
 
 
+def _sum_sorted(keys: list[str], arrow_schema: pa.Schema):
+    """Task function: rows ``(keys…, m)`` sorted by key, summed while they stream by."""
+
+    def run(batches):
+        held, total = None, None
+        out: list[tuple] = []
+
+        def packed():
+            data = {k: [row[0][i] for row in out] for i, k in enumerate(keys)}
+            data["m"] = [row[1] for row in out]
+            return pa.RecordBatch.from_pydict(data, schema=arrow_schema)
+
+        for batch in batches:
+            labels = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True)) if keys else [()] * batch.num_rows
+            m = batch.column("m")
+            for i, key in enumerate(labels):
+                row = m[i].values.to_numpy(zero_copy_only=False)
+                if key == held:
+                    total = total + row
+                    continue
+                if held is not None:
+                    out.append((held, total))
+                held, total = key, row
+                if len(out) == 256:
+                    yield packed()
+                    out.clear()
+        if held is not None:
+            out.append((held, total))
+        if out:
+            yield packed()
+
+    return run
+
+
+def sum_arrays(partial: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """``(keys…, m)``: packed arrays of many tasks summed per key, never taken apart.
+
+    Two rounds: a key's arrays are first summed in about ``sqrt(parts)`` groups
+    of tasks, then across the groups, so no task reads one of every other task's.
+    """
+    keys = list(keys)
+    schema = T.StructType([*[partial.schema[k] for k in keys], partial.schema["m"]])
+    salted = partial.select(*keys, "m", (F.spark_partition_id() % max(1, int(parts**0.5))).alias("__salt"))
+    first_schema = T.StructType([*schema.fields[:-1], T.StructField("__salt", T.IntegerType()), schema["m"]])
+    task = _sum_sorted([*keys, "__salt"], to_arrow_schema(first_schema))
+    salted = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys, "__salt").mapInArrow(task, first_schema)
+    gathered = salted.drop("__salt")
+    gathered = gathered.repartition(*keys).sortWithinPartitions(*keys) if keys else gathered.repartition(1)
+    return gathered.mapInArrow(_sum_sorted(keys, to_arrow_schema(schema)), schema)
+
+
 def add_partials(partial: DataFrame, index: str, count: int, width: int, parts: int) -> np.ndarray:
     """Sum per-task rows ``(index, m array)`` to a [count, width] array.
 
-    Few tasks with short results are added here; otherwise the values are
-    summed by a shuffle first, so what arrives never depends on the task count.
+    Few tasks with short results are added here; otherwise the arrays are
+    summed by ``sum_arrays`` first, so what arrives never depends on the task count.
     """
     flat = np.zeros((count, width))
-    if parts * count * width <= SMALL_RESULT:
-        table = partial.toArrow()
+    if parts * count * width > SMALL_RESULT:
+        partial = sum_arrays(partial, [index], parts)
+    table = partial.toArrow()
+    if table.num_rows:
         values = table.column("m").combine_chunks().flatten().to_numpy().reshape(-1, width)
         np.add.at(flat, table.column(index).to_numpy(), values)
-        return flat
-    table = (
-        partial.select(index, F.posexplode("m").alias("pos", "value"))
-        .groupBy(index, "pos")
-        .agg(F.sum("value").alias("value"))
-        .toArrow()
-    )
-    flat[table.column(index).to_numpy(), table.column("pos").to_numpy()] = table.column("value").to_numpy()
     return flat
 
 
@@ -259,24 +296,28 @@ def fold_values(rows: DataFrame, fold: str, most: int = 1000) -> list[int]:
 
 
 def assign_balanced_folds(
-    df: DataFrame, row_key: Sequence[str], k: int = 10, seed: int | str = 0, out: str = "fold", digits: int = 3
+    df: DataFrame, row_key: Sequence[str], k: int = 10, seed: int | str = 0, out: str = "fold",
+    bucket_rows: int = 100_000,
 ) -> DataFrame:
     """Folds whose sizes differ by at most one: rows dealt out in digest order.
 
-    The global rank is a rank inside one of ``16 ** digits`` digest buckets
-    plus the number of rows in earlier buckets, so no task sorts all rows. The
-    row key must be unique for the digests to spread.
+    The global rank is a rank inside a digest bucket plus the number of rows in
+    earlier buckets, so no task sorts all rows; there are as many buckets as keep
+    one near ``bucket_rows``. The row key must be unique for the digests to spread.
     """
+    total, digits = df.count(), 1
+    while 16**digits * bucket_rows < total:
+        digits += 1
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in row_key], F.lit(str(seed)))
     hashed = df.withColumn("__h", F.md5(text)).withColumn("__bucket", F.substring("__h", 1, digits))
     sizes = hashed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    # at most 16 ** digits rows
+    # one row for each bucket
     upto = W.orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(upto), F.lit(0))).drop("__n")
     inside = F.row_number().over(W.partitionBy("__bucket").orderBy("__h", *row_key))
     return (
         hashed.withColumn("__inside", inside)
-        .join(F.broadcast(starts), "__bucket")
+        .join(starts, "__bucket")
         .withColumn(out, ((F.col("__start") + F.col("__inside") - 1) % k).cast("int"))
         .drop("__h", "__bucket", "__inside", "__start")
     )

@@ -208,7 +208,7 @@ def lambda_grid(st: Standardised, points: int = 100, ratio: float | None = None,
     return top[:, None] * np.power(ratio, np.linspace(0, 1, points))[None, :]
 
 
-def lasso_paths(st: Standardised, lambdas: np.ndarray, tol: float = 1e-10, sweeps: int = 5000) -> np.ndarray:
+def lasso_paths(st: Standardised, lambdas: np.ndarray, tol: float = 1e-10, sweeps: int = 100_000) -> np.ndarray:
     """Standardised slopes ``[set, λ, term]`` by coordinate descent on all sets at once."""
     sets, p = st.corr_y.shape
     diag = np.einsum("fii->fi", st.corr)
@@ -238,6 +238,8 @@ def lasso_paths(st: Standardised, lambdas: np.ndarray, tol: float = 1e-10, sweep
             active = np.arange(p) if moved <= limit else np.flatnonzero((b != 0).any(axis=0))
             if len(active) == 0:
                 active = np.arange(p)
+        else:
+            raise RuntimeError("lasso coefficients do not settle")
         out[:, at] = b
     return out
 

@@ -30,6 +30,8 @@ from panelspark.operators.linear import INTERCEPT, independent_columns, linear_p
 from panelspark.session import pinned, reused
 
 MAX_CROSSED = 2000
+# Sums that one pass keeps in a task: as many points are scored at once as fit.
+AT_ONCE = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -212,7 +214,12 @@ def _absorbed(a: np.ndarray, lam: np.ndarray):
 
 
 def evaluate(p: Prepared, points: Sequence[tuple[Variant, np.ndarray]]) -> list[tuple[np.ndarray, float]]:
-    """``ΣBᵀCB`` and the summed log-determinant for every (variant, Λ): one pass over the groups."""
+    """``ΣBᵀCB`` and the summed log-determinant for every (variant, Λ): one pass over the groups
+    for as many points as ``AT_ONCE`` values hold, which bounds a task's sums and the driver's."""
+    most = max(1, AT_ONCE // ((p.p1 + 1 + len(p.levels)) * (p.p1 + 2 + len(p.levels)) // 2 + 1))
+    if len(points) > most:
+        parts = [evaluate(p, points[lo : lo + most]) for lo in range(0, len(points), most)]
+        return [piece for part in parts for piece in part]
     p.passes += 1
     r, width, levels = p.r, p.p1 + 1, len(p.levels)
     size = width + levels
@@ -409,14 +416,15 @@ def _next_centre(points: list[np.ndarray], values: list[float], centre: np.ndarr
 
 
 def search(
-    p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds: int = 25, tol: float = 1e-6,
+    p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds: int = 200, tol: float = 1e-6,
     start: np.ndarray | None = None,
 ) -> list[Solution]:
     """Λ with the least deviance for every variant; all variants share each pass.
 
     A coarse grid (or ``start``) gives the first centres; then every round
     scores a small stencil around each centre and moves to the minimum of the
-    quadratic through it, until the predicted gain or the stencil is tiny.
+    quadratic through it, until the predicted gain or the stencil is tiny. Raises
+    if that has not happened after ``rounds`` rounds.
     """
     r = p.r
     state = {}
@@ -445,6 +453,8 @@ def search(
             if gain > 1e-9 and h > tol * (1 + np.abs(centre).max()):
                 still.append(i)
         open_ = still
+    if open_:
+        raise RuntimeError("the variance parameters do not settle")
     final = [state[i][0] for i in range(len(variants))]
     pieces = evaluate(p, list(zip(variants, final, strict=True)))
     return [
@@ -641,19 +651,36 @@ def profile_intervals(p: Prepared, s: Solution, level: float) -> np.ndarray:
     One pass scores a grid of Λ around the estimate; for each Λ and a grid of
     crossed ratios the deviance at a fixed coefficient is a closed form, so
     the profile is the least value over the grid. Ends are as fine as the grid.
+    While an end's own Λ or ratio lies on the grid's rim, the grid is widened.
     """
-    lower = np.tril_indices(p.r)
-    ml = search(p, [Variant(s.variant.fold)], reml=False, start=s.lam[lower])[0]
-    base = ml.lam[lower]
+    ml = search(p, [Variant(s.variant.fold)], reml=False, start=s.lam[np.tril_indices(p.r)])[0]
+    for wide in (1.0, 2.0, 4.0, 8.0, 16.0):
+        ends, inside = _profile(p, s, ml, level, wide)
+        if inside:
+            return ends
+    raise RuntimeError("the likelihood profile has no end")
+
+
+def _profile(p: Prepared, s: Solution, ml: Solution, level: float, wide: float) -> tuple[np.ndarray, bool]:
+    """Interval ends from a grid of the given width, and whether its rim played no part."""
+    base = ml.lam[np.tril_indices(p.r)]
     if p.r == 1:
-        params = [base * f for f in np.exp(np.linspace(-0.7, 0.7, 57))] + [np.zeros(1)]
+        params = [base * f for f in np.exp(np.linspace(-0.7 * wide, 0.7 * wide, int(56 * wide) + 1))] + [np.zeros(1)]
+        rim = [i in (0, len(params) - 2) and base[0] > 0 for i in range(len(params))]
     else:
-        steps = np.exp(np.linspace(-0.6, 0.6, 7))
-        params = [np.array([base[0] * a, base[1] * b, base[2] * c]) for a in steps for b in steps for c in steps]
+        steps = np.exp(np.linspace(-0.6 * wide, 0.6 * wide, 7 if wide == 1 else 11))
+        last = len(steps) - 1
+        cells = [(a, b, c) for a in range(last + 1) for b in range(last + 1) for c in range(last + 1)]
+        params = [base * steps[list(x)] for x in cells]
+        rim = [any(i in (0, last) and v != 0 for i, v in zip(x, base, strict=True)) for x in cells]
     pieces = evaluate(p, [(s.variant, x) for x in params])
     n = p.fixed(s.variant.fold)[0, 0]
     crossed = p.levels and ml.theta > 0
-    thetas = ml.theta * np.exp(np.linspace(-0.9, 0.9, 37)) if crossed else np.zeros(1)
+    thetas = ml.theta * np.exp(np.linspace(-0.9 * wide, 0.9 * wide, int(36 * wide) + 1)) if crossed else np.zeros(1)
+    if crossed:
+        thetas = np.r_[thetas, 0.0]
+    edge = np.isin(np.arange(len(thetas)), (0, len(thetas) - 2)) & bool(crossed)
+    on_rim = (np.array(rim)[:, None] | edge[None, :]).ravel()
     move = np.eye(p.p1)
     move[0, 1:] = -p.shift
     spots = [_at_thetas(p, _reduced(p, s.variant, q), logdet, thetas) for q, logdet in pieces]
@@ -666,22 +693,23 @@ def profile_intervals(p: Prepared, s: Solution, level: float) -> np.ndarray:
     best, least = int(heights.argmin()), heights.min()
     target = dist.normal_ppf(0.5 + level / 2) ** 2
 
-    def above(j: int, value: float) -> bool:
+    def profile(j: int, value: float) -> np.ndarray:
         grown = rss + (value - centre[:, j]) ** 2 / var[:, j]
-        return (ld + n * (1 + np.log(2 * math.pi * grown / n))).min() - least >= target
+        return ld + n * (1 + np.log(2 * math.pi * grown / n))
 
-    ends = np.zeros((p.p1, 2))
+    ends, inside = np.zeros((p.p1, 2)), True
     for j in range(p.p1):
         middle, unit = centre[best, j], math.sqrt(var[best, j] * rss[best] / n)
         for side, sign in enumerate((-1.0, 1.0)):
             near, far = middle, middle + sign * unit
-            while not above(j, far):
+            while profile(j, far).min() - least < target:
                 near, far = far, far + (far - middle)
-            for _ in range(40):
+            for _ in range(60):  # halves the bracket to rounding
                 mid = (near + far) / 2
-                near, far = (near, mid) if above(j, mid) else (mid, far)
+                near, far = (near, mid) if profile(j, mid).min() - least >= target else (mid, far)
             ends[j, side] = (near + far) / 2
-    return ends
+            inside &= not on_rim[int(profile(j, ends[j, side]).argmin())]
+    return ends, inside
 
 
 def _ready(df: DataFrame, spec: MixedSpec, fold: str | None = None) -> Prepared:

@@ -8,7 +8,6 @@ groups whose size the caller has bounded (``top_k`` does that).
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.columns import strict_mean, strict_sum, sum_or_zero
 from panelspark.operators.clean import left_join_on
-from panelspark.session import pinned
 
 
 def _struct_of(order_by: Sequence[str]) -> Column:
@@ -138,123 +136,70 @@ def group_quantiles(
     keys: Sequence[str],
     column: str,
     probs: Mapping[str, float],
-    max_values: int = 1_000_000,
+    pieces: int = 256,
 ) -> DataFrame:
     """Exact interpolated quantiles per group that never hold a large group in one task.
 
-    Equal values are counted first. While a group still has more than
-    ``max_values`` distinct values in play, a bounded quantile sketch cuts the
-    values into pieces, exact counts tell which pieces hold the wanted ranks,
-    and the other pieces are dropped; the quantiles are read from what is left.
-    ``probs`` maps output names to probabilities. Without keys the whole table
-    is one group.
+    Equal values are counted first. A bounded quantile sketch then proposes cut
+    points for each group's values, exact counts tell which of the pieces hold
+    the wanted ranks, and only those are sorted, each by itself. ``probs`` maps
+    output names to probabilities. Without keys the whole table is one group.
     """
     keys = list(keys)
     if not keys:
         whole = df.select(column).withColumn("__all", F.lit(1))
-        return group_quantiles(whole, ["__all"], column, probs, max_values).drop("__all")
-    counts = (
-        df.groupBy(*keys, F.col(column).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__below", F.lit(0).cast("long"))
+        return group_quantiles(whole, ["__all"], column, probs, pieces).drop("__all")
+    counts = df.groupBy(*keys, F.col(column).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    # one row for each group; nulls take no part in the sketch
+    shares = [i / pieces for i in range(1, pieces)]
+    groups = counts.groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx("__v", shares, 100 * pieces)).alias("__cuts"),
+        F.sum(F.when(F.col("__v").isNotNull(), F.col("__n"))).alias("__total"),
     )
-    known = F.col("__v").isNotNull()
-    totals = counts.groupBy(*keys).agg(
-        F.sum(F.when(known, F.col("__n"))).alias("__total"), F.count("__v").alias("__distinct")
+    placed = left_join_on(counts, groups, keys, null_safe=True).withColumn(
+        "__piece", F.when(F.col("__v").isNotNull(), F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
     )
-    live = counts.filter(known)
-    largest = totals.agg(F.max("__distinct")).first()[0] or 0
-    if largest <= max_values:
-        # every row of a group is here, so the ranks need no second table
-        total = F.sum("__n").over(W.partitionBy(*keys))
-        ranked = live.withColumn("__total", total).select("*", *_rank_columns(probs.values()))
-    else:
-        ranks = pinned(totals.select(*keys, *_rank_columns(probs.values())))
-        live = pinned(live)
-        while largest > max_values:
-            # kept between rounds, so that a round does not repeat the ones before it
-            live = pinned(_shrink_to_ranks(live, ranks, keys, len(probs)))
-            left = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
-            if left >= largest:
-                break
-            largest = left
-        ranked = left_join_on(live, ranks, keys, null_safe=True)
-    w = W.partitionBy(*keys).orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
-    before = F.col("__upto") - F.col("__n")
-    at = lambda r: F.max(F.when((before < F.col(r)) & (F.col(r) <= F.col("__upto")), F.col("__v")))
-    found = (
-        ranked.withColumn("__upto", F.col("__below") + F.sum("__n").over(w))
-        .groupBy(*keys)
-        .agg(
-            *[at(f"__{end}{i}").alias(f"__{end}v{i}") for i in range(len(probs)) for end in ("low", "high")],
-            *[F.max(f"__part{i}").alias(f"__part{i}") for i in range(len(probs))],
-        )
+    sizes = placed.groupBy(*keys, "__piece").agg(F.sum("__n").alias("__pn"), F.first("__total").alias("__total"))
+    w = W.partitionBy(*keys).orderBy(F.col("__piece").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
+    ends = sizes.filter("__piece IS NOT NULL").withColumn("__end", F.sum("__pn").over(w))
+    # the ranks of all probabilities are one array column, which keeps the plan small
+    ends = ends.select("*", (F.col("__end") - F.col("__pn")).alias("__before"), _ranks(probs.values()).alias("__ranks"))
+    holds = F.exists("__ranks", lambda r: (F.col("__end") >= r["low"]) & (F.col("__before") < r["high"]))
+    wanted = ends.filter(holds).select(*keys, "__piece", "__before", "__ranks")
+    ranked = left_join_on(placed.select(*keys, "__piece", "__v", "__n"), wanted, [*keys, "__piece"], null_safe=True)
+    inside = W.partitionBy(*keys, "__piece").orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = ranked.filter("__before IS NOT NULL").withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
+    rank = lambda i, end: F.col("__ranks")[i][end]
+    at = lambda r: F.max(F.when((F.col("__upto") - F.col("__n") < r) & (r <= F.col("__upto")), F.col("__v")))
+    found = ranked.groupBy(*keys).agg(
+        *[F.array(*[at(rank(i, end)) for i in range(len(probs))]).alias(f"__{end}") for end in ("low", "high")],
+        F.max("__ranks").alias("__ranks"),
     )
-    between = lambda i: F.col(f"__lowv{i}") + F.col(f"__part{i}") * (F.col(f"__highv{i}") - F.col(f"__lowv{i}"))
-    values = found.select(*keys, *[between(i).alias(name) for i, name in enumerate(probs)])
-    return left_join_on(totals.select(*keys), values, keys, null_safe=True)
+    low, high = F.col("__low"), F.col("__high")
+    values = found.select(*keys, *[(low[i] + rank(i, "part") * (high[i] - low[i])).alias(name) for i, name in enumerate(probs)])
+    return left_join_on(groups.select(*keys), values, keys, null_safe=True)
 
 
-def _rank_columns(probs) -> list[Column]:
+def _ranks(probs) -> Column:
     """Per probability, the two ranks to interpolate between and the part of the way."""
     out = []
-    for i, p in enumerate(probs):
+    for p in probs:
         place = (F.col("__total") - 1) * F.lit(float(p))
-        out += [
-            (F.floor(place) + 1).alias(f"__low{i}"),
-            F.least(F.floor(place) + 2, F.col("__total")).alias(f"__high{i}"),
-            (place - F.floor(place)).alias(f"__part{i}"),
-        ]
-    return out
-
-
-def _shrink_to_ranks(live: DataFrame, ranks: DataFrame, keys: list[str], probs: int) -> DataFrame:
-    """Keep the values around the wanted ranks and count the ones left below each.
-
-    The sketch only proposes cut points (over distinct values); the exact
-    weighted counts of the pieces between them decide which are kept. A kept
-    value's own ``__below`` makes up for the dropped pieces before it.
-    """
-    pieces = 64
-    cuts = live.groupBy(*keys).agg(
-        F.percentile_approx("__v", [i / pieces for i in range(1, pieces)], 10_000).alias("__cuts")
-    )
-    placed = left_join_on(live, cuts, keys, null_safe=True).withColumn(
-        "__piece", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
-    )
-    sizes = placed.groupBy(*keys, "__piece").agg(
-        F.sum("__n").alias("__pn"), F.max("__below").alias("__base")
-    )
-    w = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, 0)
-    before = F.col("__end") - F.col("__pn")
-    ends = left_join_on(
-        sizes.withColumn("__end", F.col("__base") + F.sum("__pn").over(w)), ranks, keys, null_safe=True
-    )
-    holds = [(F.col("__end") >= F.col(f"__low{i}")) & (before < F.col(f"__high{i}")) for i in range(probs)]
-    wanted = (
-        ends.withColumn("__kept", reduce(lambda a, b: a | b, holds))
-        .withColumn("__lost", F.sum(F.when(F.col("__kept"), 0).otherwise(F.col("__pn"))).over(w))
-        .filter("__kept")
-        .select(*keys, "__piece", "__lost")
-    )
-    return (
-        left_join_on(placed, wanted, [*keys, "__piece"], null_safe=True)
-        .filter(F.col("__lost").isNotNull())
-        .withColumn("__below", F.col("__below") + F.col("__lost"))
-        .select(*keys, "__v", "__n", "__below")
-    )
+        low = F.floor(place) + 1
+        out.append(F.struct(low.alias("low"), F.least(low + 1, F.col("__total")).alias("high"), (place - F.floor(place)).alias("part")))
+    return F.array(*out)
 
 
 def group_quantile(
-    df: DataFrame, keys: Sequence[str], column: str, prob: float, out: str = "quantile", max_values: int = 1_000_000
+    df: DataFrame, keys: Sequence[str], column: str, prob: float, out: str = "quantile", pieces: int = 256
 ) -> DataFrame:
-    return group_quantiles(df, keys, column, {out: prob}, max_values)
+    return group_quantiles(df, keys, column, {out: prob}, pieces)
 
 
 def group_median(
-    df: DataFrame, keys: Sequence[str], column: str, out: str = "median", max_values: int = 1_000_000
+    df: DataFrame, keys: Sequence[str], column: str, out: str = "median", pieces: int = 256
 ) -> DataFrame:
-    return group_quantiles(df, keys, column, {out: 0.5}, max_values)
+    return group_quantiles(df, keys, column, {out: 0.5}, pieces)
 
 
 def impute_median(

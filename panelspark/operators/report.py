@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelspark.operators.clean import union_by_name
+from panelspark.operators.clean import left_join_on, union_by_name
 from panelspark.operators.explore import fit_metrics
 from panelspark.operators.linear import INTERCEPT
 
@@ -80,15 +80,28 @@ def coefficient_blocks(
     return _numbered(stacked, F.col("block"), F.when(F.col("block") == 1, place), F.col("term")).drop("block")
 
 
-def caterpillar(modes: DataFrame, term: str | None = None, width: float = 2.0) -> DataFrame:
-    """Conditional modes ± ``width`` deviations, ordered by the mode within a grouping factor."""
+def caterpillar(modes: DataFrame, term: str | None = None, width: float = 2.0, pieces: int = 500) -> DataFrame:
+    """Conditional modes ± ``width`` deviations, ordered by the mode within a grouping factor.
+
+    A factor's levels are cut into ``pieces`` at approximate quantiles and
+    numbered piece by piece, so a factor of any number of levels is not sorted
+    in one task.
+    """
     kept = modes if term is None else modes.filter(F.col("term") == term)
     half = F.col("condsd") * width
-    order = W.partitionBy("factor", "term").orderBy(F.col("condval").desc(), "grp")
-    return kept.withColumns(
+    keys = ["factor", "term"]
+    cuts = kept.groupBy(*keys).agg(F.percentile_approx("condval", [i / pieces for i in range(1, pieces)], 100 * pieces).alias("__cuts"))
+    placed = left_join_on(kept, cuts, keys, null_safe=True)
+    placed = placed.withColumn("__piece", F.size(F.filter("__cuts", lambda c: c > F.col("condval")))).drop("__cuts")
+    sizes = placed.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(*keys, "__piece", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(W.partitionBy(*keys, "__piece").orderBy(F.col("condval").desc(), "grp"))
+    ranked = left_join_on(placed.withColumn("__inside", inside), starts, [*keys, "__piece"], null_safe=True)
+    return ranked.withColumns(
         {
             "lower": F.col("condval") - half,
             "upper": F.col("condval") + half,
-            "display_order": F.row_number().over(order),
+            "display_order": (F.col("__start") + F.col("__inside")).cast("int"),
         }
-    )
+    ).drop("__piece", "__inside", "__start")

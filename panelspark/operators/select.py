@@ -1,7 +1,7 @@
 """Selection of variables: post-selection inference and model averaging.
 
-Everything here reads the collected moments; the rows are passed once. Model
-searches run as Spark tasks, one per chain and training set.
+Everything here reads the collected moments; the rows are passed once. All
+models are listed and scored in parallel.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions import dist
-from panelspark.functions.columns import row_sum
 from panelspark.operators.clean import left_join_on
 from panelspark.operators.design import ModelSpec, design_rows
 from panelspark.operators.gram import Moments, collect_moments
@@ -213,59 +212,12 @@ def evidence_by_fold(moments: Moments, c: float | None = None) -> dict[int, Evid
     return {k: Evidence.of(m, moments.shift, m[0, 0] * 0.01 if c is None else c) for k, m in sets.items()}
 
 
-SAMPLE = "fold int, chain int, iter int, included array<int>, log_post double"
-
-
-def sample_models(
-    spark: SparkSession, evidence: Mapping[int, Evidence], chains: int = 4, iterations: int = 5000, seed: int = 0,
-    burn_in: int = 0,
-) -> DataFrame:
-    """Gibbs sweeps over the inclusion indicators: one task per (training set, chain)."""
-    sets = sorted(evidence)
-    units = spark.range(len(sets) * chains).repartition(len(sets) * chains, "id")
-
-    def run(batches):
-        for batch in batches:
-            for unit in batch["id"]:
-                fold, chain = sets[int(unit) // chains], int(unit) % chains
-                yield from _chain(evidence[fold], fold, chain, iterations, burn_in, seed)
-
-    return units.mapInPandas(run, SAMPLE)
-
-
-def _chain(e: Evidence, fold: int, chain: int, iterations: int, burn_in: int, seed: int, held: int = 500):
-    rng = np.random.default_rng([seed, fold + 1, chain])
-    p, scores = len(e.sy), {}
-
-    def score(mask: int) -> float:
-        if mask not in scores:
-            if len(scores) > 200_000:
-                scores.clear()
-            scores[mask] = e.log_posterior([j for j in range(p) if mask >> j & 1])
-        return scores[mask]
-
-    mask, rows = 0, []
-    for it in range(iterations):
-        for j in range(p):
-            out, into = score(mask & ~(1 << j)), score(mask | 1 << j)
-            gap = out - into
-            take = gap < 700 and rng.random() < 1 / (1 + math.exp(gap))
-            mask = mask | 1 << j if take else mask & ~(1 << j)
-        if it >= burn_in:
-            rows.append((fold, chain, it - burn_in + 1, [mask >> j & 1 for j in range(p)], score(mask)))
-        if len(rows) == held:
-            yield pd.DataFrame(rows, columns=["fold", "chain", "iter", "included", "log_post"])
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=["fold", "chain", "iter", "included", "log_post"])
-
-
-def enumerate_models(spark: SparkSession, evidence: Mapping[int, Evidence], max_terms: int = 20) -> DataFrame:
-    """Every model of a few terms with its log posterior, scored in parallel."""
+def enumerate_models(spark: SparkSession, evidence: Mapping[int, Evidence], max_terms: int = 25) -> DataFrame:
+    """Every model with its log posterior, scored in parallel; more than ``max_terms`` terms raise."""
     sets = sorted(evidence)
     p = len(next(iter(evidence.values())).sy)
     if p > max_terms:
-        raise ValueError(f"{p} terms have too many models to list: sample them")
+        raise ValueError(f"{p} terms have too many models to list: at most {max_terms}")
 
     def run(batches):
         for batch in batches:
@@ -376,8 +328,8 @@ def averaged_coefficients(
 @F.pandas_udf(T.DoubleType())
 def _normal_cdf(at: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
     """Normal distribution function; a step where the deviation is 0."""
-    z = (at - mean) / sd.where(sd > 0, 1.0)
-    smooth = np.array([1 - dist.normal_sf(v) for v in z])
+    z = ((at - mean) / sd.where(sd > 0, 1.0)).to_numpy()
+    smooth = dist.normal_cdf(z)
     return pd.Series(np.where(sd > 0, smooth, (at >= mean).astype(float)))
 
 
@@ -403,33 +355,21 @@ def _narrow(spark: SparkSession, components: DataFrame, brackets: dict, cells: i
         brackets[f, t, q] = [lo + (hi - lo) * (top - 1) / cells, lo + (hi - lo) * top / cells]
 
 
-def fit_bayes(
-    df: DataFrame, spec: ModelSpec, c: float | None = None, chains: int = 4, iterations: int = 5000, seed: int = 0,
-    exact_terms: int = 12,
-):
-    """Evidence and model probabilities on all rows; few terms are enumerated, more are sampled."""
+def fit_bayes(df: DataFrame, spec: ModelSpec, c: float | None = None):
+    """Evidence and the probabilities of all models on all rows."""
     moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
     evidence = {-1: Evidence.of(moments.total, moments.shift, moments.total[0, 0] * 0.01 if c is None else c)}
-    models = _search(df.sparkSession, evidence, len(spec.terms), chains, iterations, seed, exact_terms)
-    return evidence, model_probabilities(models)
-
-
-def _search(spark, evidence, p, chains, iterations, seed, exact_terms):
-    if p <= exact_terms:
-        return enumerate_models(spark, evidence)
-    return sample_models(spark, evidence, chains, iterations, seed)
+    return evidence, model_probabilities(enumerate_models(df.sparkSession, evidence))
 
 
 def cv_bayes(
-    df: DataFrame, spec: ModelSpec, fold: str = "fold", c: float | None = None, chains: int = 4,
-    iterations: int = 2000, seed: int = 0, exact_terms: int = 12, keep: Sequence[str] = (),
+    df: DataFrame, spec: ModelSpec, fold: str = "fold", c: float | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Out-of-fold predictions from model-averaged coefficients of every training set."""
     rows = design_rows(df, spec, [fold, *keep])
     moments = collect_moments(rows, [*spec.terms, spec.label], [fold])
     evidence = {k: e for k, e in evidence_by_fold(moments, c).items() if k >= 0}
-    models = _search(df.sparkSession, evidence, len(spec.terms), chains, iterations, seed, exact_terms)
-    probabilities = model_probabilities(models)
+    probabilities = model_probabilities(enumerate_models(df.sparkSession, evidence))
 
     def average(batches):
         for batch in batches:
@@ -446,12 +386,7 @@ def cv_bayes(
     return predict_by_fold(rows, spec.terms, by_fold, fold)
 
 
-# --- diagnostics --------------------------------------------------------------------
-
-
-def model_sizes(sample: DataFrame) -> DataFrame:
-    """Number of included terms and log posterior at every iteration."""
-    return sample.select("fold", "chain", "iter", row_sum(array="included").alias("n_terms"), "log_post")
+# --- running shares ---------------------------------------------------------------
 
 
 def running_mean(
@@ -482,39 +417,3 @@ def running_mean(
     joined = left_join_on(inside, starts, [*keys, "__chunk"], null_safe=True)
     mean = F.try_divide(F.col("__s0") + F.col("__si"), F.col("__n0") + F.col("__ni"))
     return joined.withColumn(out, mean).drop("__v", "__chunk", "__si", "__ni", "__s0", "__n0")
-
-
-def inclusion_trace(sample: DataFrame, terms: Sequence[str], high: float = 0.9) -> DataFrame:
-    """Running inclusion share per chain and term, with the last share's flag."""
-    names = F.array(*[F.lit(t) for t in terms])
-    long = sample.select("fold", "chain", "iter", F.posexplode("included").alias("pos", "flag")).withColumn(
-        "term", names[F.col("pos")]
-    )
-    keys = ["fold", "chain", "term"]
-    trace = running_mean(long, keys, ["iter"], F.col("flag"), "share")
-    final = long.groupBy(*keys).agg(F.avg("flag").alias("final_share"))
-    out = left_join_on(trace, final, keys).withColumn("high", F.col("final_share") >= high)
-    return out.select(*keys, "iter", "share", "final_share", "high")
-
-
-def prior_curve(
-    df: DataFrame, spec: ModelSpec, draws: int = 100, points: int = 100, start: float = 0.001, stop: float = 1.0,
-    seed: int = 0,
-) -> DataFrame:
-    """Prior R² by ``g``: mean over draws ``b ~ N(0, I)`` of ``1 / (1 + n / (g·bᵀXᵀXb))``."""
-    moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
-    n, mean, s, _, _ = centred(moments.total)
-    at = (mean + moments.shift)[:-1]
-    cross = s + n * np.outer(at, at)
-
-    def forms(batches):
-        for batch in batches:
-            b = np.array([np.random.default_rng([seed, int(i)]).standard_normal(len(cross)) for i in batch["id"]])
-            yield pd.DataFrame({"form": np.einsum("ij,jk,ik->i", b, cross, b)})
-
-    spark = df.sparkSession
-    step = (stop - start) / (points - 1)
-    grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(start) + i * F.lit(step))
-    drawn = spark.range(draws).mapInPandas(forms, "form double").select("form", F.posexplode(grid).alias("at", "g"))
-    share = 1 / (1 + F.lit(float(n)) / (F.col("g") * F.col("form")))
-    return drawn.groupBy("at").agg(F.max("g").alias("g"), F.avg(share).alias("r2")).drop("at")

@@ -312,11 +312,12 @@ def fit_quantiles(
 # --- exact quantile solutions ------------------------------------------------------
 
 
-def best_plane(u, y, w, tau, far, b, moves: int = 2000):
+def best_plane(u, y, w, tau, far, b):
     """Minimise ``Σ w·ρ_τ(y − ub) − far·b`` exactly over a few rows, starting near ``b``.
 
     Walks along edges between planes through as many rows as coefficients, each
-    time as far as the loss falls. None if it would leave the given rows.
+    time as far as the loss falls. None if it would leave the given rows, or walks
+    in a circle between equally good planes.
     """
     size = u.shape[1]
     basis: list[int] = []
@@ -327,7 +328,7 @@ def best_plane(u, y, w, tau, far, b, moves: int = 2000):
             break
     else:
         return None
-    for _ in range(moves):
+    for _ in range(1000 + 20 * len(y)):
         inverse = np.linalg.inv(u[basis])
         b = inverse @ y[basis]
         r = y - u @ b
@@ -413,21 +414,23 @@ def turned_step(base, u, y, models):
 
 
 def finish_quantiles(
-    design: Design, models: Models, loss: np.ndarray, lam: float = 0.0, rounds: int = 4
-) -> tuple[Models, np.ndarray, np.ndarray]:
-    """Exact optima near given planes; also tells which models are proven exact.
+    design: Design, models: Models, loss: np.ndarray, lam: float = 0.0, most_rows: int = 200_000
+) -> tuple[Models, np.ndarray]:
+    """Exact optima near given planes, proven over all rows.
 
     Rows far from a plane keep their side, so they act as one linear term; the
     rest is a small exact problem over a bounded number of nearest rows. A pass
     then counts the far rows that changed side: none means the optimum over all
-    rows is found, else the new plane starts another round.
+    rows is found, else the new plane starts another round. A round that proves
+    no model and improves none looks at four times as many rows. Raises when
+    ``most_rows`` rows around a plane do not hold the proof.
     """
     size = design.size
     keep = 100 + 40 * size
     unit = np.concatenate([[0.0], lam / design.scale])
     beta, loss = models.beta.copy(), loss / design.y_scale
     exact = np.zeros(len(models), bool)
-    for _ in range(rounds):
+    while not exact.all():
         at = np.flatnonzero(~exact)
         part = replace(models, beta=beta).pick(at)
         rows = nearest_rows(design, part, keep)
@@ -442,12 +445,14 @@ def finish_quantiles(
         _, _, checked = weighted_pass(design, replace(part, beta=planes, before=part.beta), turned_step, 0, 0, 2)
         now = checked[:, 1] + (np.abs(planes) * unit).sum(axis=1)
         proven = solved & (checked[:, 0] == 0)
-        better = proven | (solved & (now < loss[at]))
+        better = proven | (solved & (now < loss[at] * (1 - 1e-12)))
         beta[at[better]], loss[at[better]] = planes[better], now[better]
         exact[at[proven]] = True
-        if exact.all() or not better.any():
-            break
-    return replace(models, beta=beta), loss * design.y_scale, exact
+        if not better.any():
+            if keep >= most_rows or all(np.isinf(part.width)):
+                raise RuntimeError("a quantile fit could not be proven exact")
+            keep = min(4 * keep, most_rows)
+    return replace(models, beta=beta), loss * design.y_scale
 
 
 def _plane_of(block, tau, far, start, unit):
@@ -515,48 +520,70 @@ def start_glm(models: Models, mean: np.ndarray, family: str) -> Models:
     return replace(models, beta=beta)
 
 
-def soft_solve(gram: np.ndarray, rhs: np.ndarray, penalty: np.ndarray, start: np.ndarray, tol: float = 1e-11) -> np.ndarray:
-    """Minimise ``½bᵀGb − vᵀb + Σ penalty·|b|`` for all models at once, by coordinates."""
+def soft_solve(
+    gram: np.ndarray, rhs: np.ndarray, penalty: np.ndarray, start: np.ndarray, tol: float = 1e-11, sweeps: int = 200_000
+) -> np.ndarray:
+    """Minimise ``½bᵀGb − vᵀb + Σ penalty·|b|`` for all models at once, by coordinates.
+
+    A pull within rounding of the penalty leaves the coefficient at 0. Raises if
+    the coordinates have not settled after ``sweeps`` rounds.
+    """
     b = start.copy()
     diag = np.einsum("mii->mi", gram)
     usable = diag > 1e-14
     g = rhs - np.einsum("mij,mj->mi", gram, b)
-    for _ in range(20_000):
+    edge = penalty * (1 + 1e-9)
+    for _ in range(sweeps):
         moved = 0.0
         for j in range(b.shape[1]):
             z = g[:, j] + diag[:, j] * b[:, j]
-            new = np.sign(z) * np.maximum(np.abs(z) - penalty[:, j], 0.0)
+            new = np.where(np.abs(z) > edge[:, j], z - np.sign(z) * penalty[:, j], 0.0)
             new = np.where(usable[:, j], new / np.where(usable[:, j], diag[:, j], 1.0), 0.0)
             change = new - b[:, j]
             b[:, j] = new
             g -= gram[:, :, j] * change[:, None]
-            moved = max(moved, np.abs(change).max())
-        if moved < tol:
-            break
-    return b
+            moved = max(moved, np.abs(change).max(initial=0.0))
+        if moved < tol * max(1.0, np.abs(b).max(initial=0.0)):
+            return b
+    raise RuntimeError("penalised coefficients do not settle")
 
 
 def fit_glm(
-    design: Design, models: Models, family: str, penalty: np.ndarray | None = None, passes: int = 30, tol: float = 1e-9
+    design: Design, models: Models, family: str, penalty: np.ndarray | None = None, passes: int = 100, tol: float = 1e-9
 ) -> tuple[Models, np.ndarray, np.ndarray]:
     """Coefficients, deviance and row count per model.
 
     ``penalty`` [model, term] is an L1 weight on the scaled slopes, relative to
-    the mean log-likelihood; without it the steps are ordinary scoring.
+    the mean log-likelihood; without it the steps are ordinary scoring. A step
+    that raises a model's objective is halved. Raises if a model has not
+    converged after ``passes`` steps, as with labels that the terms separate.
     """
     _, _, scalars = weighted_pass(design, models, glm_step(family), 1, 1, 3)
-    n = scalars[:, 1]
-    models = start_glm(models, scalars[:, 2] / np.maximum(n, 1), family)
-    deviance = None
+    n = np.maximum(scalars[:, 1], 1)
+    models = start_glm(models, scalars[:, 2] / n, family)
+    weight = np.zeros((len(n), design.size))
+    if penalty is not None:
+        weight[:, 1:] = penalty
+    best, least = models.beta, np.full(len(n), np.inf)
+    deviance, done = np.zeros(len(n)), np.zeros(len(n), bool)
     for _ in range(passes):
         (gram,), (rhs,), scalars = weighted_pass(design, models, glm_step(family), 1, 1, 3)
-        previous, deviance = deviance, scalars[:, 0]
+        now = scalars[:, 0] / 2 + n * (weight * np.abs(models.beta)).sum(axis=1)
+        worse = ~(now <= least + tol * (np.abs(least) + 0.1)) & np.isfinite(least)
+        settled = np.isfinite(least) & ~worse & (np.abs(least - now) <= tol * (np.abs(now) + 0.1))
+        done |= settled
+        better = ~worse
+        best = np.where(better[:, None], models.beta, best)
+        least, deviance = np.where(better, now, least), np.where(better, scalars[:, 0], deviance)
+        if done.all():
+            if penalty is None and family == "binomial" and (least <= 1e-6 * n).any():
+                raise RuntimeError(f"the {family} model does not converge: do the terms separate the labels?")
         if penalty is None:
             beta = solve_all(gram, rhs)
         else:
-            full = np.concatenate([np.zeros((len(n), 1)), penalty], axis=1)
-            beta = soft_solve(gram / n[:, None, None], rhs / n[:, None], full, models.beta)
-        models = replace(models, beta=beta)
-        if previous is not None and np.all(np.abs(previous - deviance) <= tol * (np.abs(deviance) + 0.1)):
-            break
-    return models, deviance, n
+            beta = soft_solve(gram / n[:, None, None], rhs / n[:, None], weight, models.beta)
+        if done.all():
+            return replace(models, beta=beta), deviance, scalars[:, 1]
+        beta = np.where(worse[:, None], (models.beta + best) / 2, beta)
+        models = replace(models, beta=np.where(done[:, None], best, beta))
+    raise RuntimeError(f"the {family} model does not converge: do the terms separate the labels?")

@@ -472,9 +472,8 @@ def model_scores(spark, sf):
 
 @query("model_averages")
 def model_averages(spark, sf):
-    """Averaged coefficients, intervals and inclusion probabilities by model sampling."""
-    rows = M.members(spark, sf)
-    evidence, probabilities = select.fit_bayes(rows, LONG, chains=4, iterations=1000, seed=SEED, exact_terms=0)
+    """Averaged coefficients, intervals and inclusion probabilities over all models."""
+    evidence, probabilities = select.fit_bayes(M.members(spark, sf), LONG)
     return select.averaged_coefficients(probabilities, evidence, LONG.terms).drop("fold")
 
 
@@ -510,28 +509,10 @@ def bayes_cv_one(spark, sf):
 
 @query("bayes_cv")
 def bayes_cv(spark, sf):
-    scored = select.cv_bayes(folded(spark, sf), LONG, seed=SEED)
+    scored = select.cv_bayes(folded(spark, sf), LONG)
     return _errors(spark, scored, LONG.label, "bayes")
 
 
-def _sample(spark, sf):
-    moments = gram.collect_moments(design_rows(M.members(spark, sf), LONG), [*LONG.terms, LONG.label])
-    evidence = {-1: select.Evidence.of(moments.total, moments.shift, moments.total[0, 0] * 0.01)}
-    return select.sample_models(spark, evidence, chains=4, iterations=500, seed=SEED)
-
-
-@query("inclusion_trace")
-def inclusion_trace(spark, sf):
-    """Running inclusion share of every term along the sampled chains."""
-    return select.inclusion_trace(_sample(spark, sf), LONG.terms).drop("fold")
-
-
-@query("model_trace")
-def model_trace(spark, sf):
-    """Number of included terms and log posterior at every iteration of the chains."""
-    return select.model_sizes(_sample(spark, sf)).drop("fold")
-
-
 @query(
     "running_share",
     """SELECT event_id, user_id, round(avg(CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END) OVER (
@@ -546,13 +527,6 @@ def running_share(spark, sf):
     return rounded(out.select("event_id", "user_id", "share"), 8, "share")
 
 
-@query("prior_curve")
-def prior_curve(spark, sf):
-    columns = [*WIDE.features, WIDE.label]
-    scaled = panel.zscore(M.members(spark, sf).select(*columns), columns)
-    return select.prior_curve(scaled, WIDE, seed=SEED)
-
-
 # --- quantile regression ----------------------------------------------------------------------------
 
 TAUS = [round(0.05 * i, 2) for i in range(1, 20)]
@@ -755,7 +729,7 @@ FEATURE_SETS = {
 @query("cluster_profile")
 def cluster_profile(spark, sf):
     """Salary share by cluster of the members' rates, clusters in order of their mean."""
-    grouped = cluster.kmeans_groups(cluster_rows(spark, sf), FEATURE_SETS["tot_mean"], 8, seeds=(SEED,))
+    grouped = cluster.kmeans_groups(cluster_rows(spark, sf), FEATURE_SETS["tot_mean"], 8, seeds=(SEED, INNER_SEED))
     return cluster.cluster_profile(grouped, "share")
 
 
@@ -766,7 +740,7 @@ def cluster_rank(spark, sf):
     ranked = panel.rank_labels(rows, KEYS, "share", 8, ["member"])
     means = explore.mean_band(ranked, ["rank"], "share")
     profiles = {
-        name: cluster.cluster_profile(cluster.kmeans_groups(rows, features, 8, seeds=(SEED,)), "share")
+        name: cluster.cluster_profile(cluster.kmeans_groups(rows, features, 8, seeds=(SEED, INNER_SEED)), "share")
         for name, features in FEATURE_SETS.items()
     }
     return cluster.compare_ranks(means, profiles)
@@ -776,8 +750,7 @@ def cluster_rank(spark, sf):
 def cluster_embeddings(spark, sf):
     """k-means of the whole embedding vectors: size and label mix per cluster, by size."""
     vectors = table_reader(spark, sf)("embeddings")
-    flat = vectors.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
-    grouped = cluster.kmeans_groups(flat, [f"e{i}" for i in range(64)], 8, seeds=(SEED,))
+    grouped = cluster.kmeans_vectors(vectors.select("vec_id", "label", "embedding"), "embedding", 8, seeds=(SEED, INNER_SEED))
     return grouped.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels"))
 
 

@@ -598,13 +598,13 @@ def histogram(spark, sf):
 
 @query(
     "wins_histogram",
-    f"""WITH {M.SQL_GAMES}, w AS (SELECT CAST(wins AS DOUBLE) AS x FROM wins WHERE period BETWEEN 1995 AND 2001),
+    f"""WITH {M.SQL_GAMES}, w AS (SELECT CAST(wins AS DOUBLE) AS x FROM wins),
         e AS (SELECT min(x) AS lo, max(x) AS hi FROM w)
         SELECT least(CAST(floor((x - lo) / ((hi - lo) / 30)) AS INTEGER), 29) AS bin, count(*) AS n
         FROM w, e GROUP BY 1""",
 )
 def wins_histogram(spark, sf):
-    wins = M.wins(spark, sf).filter(F.col("period").between(M.FIRST, M.LAST))
+    wins = M.wins(spark, sf)
     return explore.histogram(wins, "wins", 30).select("bin", F.col("count").alias("n"))
 
 
@@ -614,13 +614,11 @@ def wins_histogram(spark, sf):
         e AS (SELECT min(price) AS lo, max(price) AS hi, count(*) AS n, stddev_samp(price) AS sd,
                      quantile_cont(price, 0.75) - quantile_cont(price, 0.25) AS iqr FROM members),
         h AS (SELECT *, 0.9 * least(sd, iqr / 1.34) * pow(n, -0.2) AS bw FROM e),
-        cells AS (SELECT least(floor((price - lo) / ((hi - lo) / 4096)), 4095) AS cell, count(*) AS c,
-                         avg(price) AS mid FROM members, e GROUP BY 1),
         spots AS (SELECT CAST(point AS INTEGER) AS point, lo + point * ((hi - lo) / 511) AS x, bw, n
                   FROM h, generate_series(0, 511) g(point))
         SELECT point, round(any_value(x), 4) AS x,
-               round(sum(c * exp(-0.5 * ((x - mid) / bw) * ((x - mid) / bw)) / (n * bw * sqrt(2 * pi()))), 12) AS density
-        FROM spots, cells GROUP BY point""",
+               round(sum(exp(-0.5 * ((x - price) / bw) * ((x - price) / bw)) / (n * bw * sqrt(2 * pi()))), 12) AS density
+        FROM spots, members GROUP BY point""",
 )
 def density_grid(spark, sf):
     return rounded(rounded(explore.density_grid(M.members(spark, sf), "price"), 4, "x"), 12, "density")

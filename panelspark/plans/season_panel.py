@@ -36,7 +36,7 @@ class Inputs:
     stats: DataFrame
 
     @classmethod
-    def from_files(cls, spark: SparkSession, folder: str, stats_schema=schemas.SEASON_STATS) -> Inputs:
+    def from_files(cls, spark: SparkSession, folder: str) -> Inputs:
         """The files in their usual places; statistics are cut to the wanted years at the scan."""
         read = lambda path, schema, where=None: read_delimited(spark, f"{folder}/{path}", schema, where)
         return cls(
@@ -44,7 +44,7 @@ class Inputs:
             read("salaries/players.csv", schemas.PLAYERS),
             read("games_data/games_details.csv", schemas.BOX_SCORES),
             read("games_data/games.csv", schemas.GAMES),
-            read("season_data/Seasons_Stats.csv", stats_schema, F.col("Year") >= V.FIRST_STATS_YEAR),
+            read("season_data/Seasons_Stats.csv", schemas.SEASON_STATS, F.col("Year") >= V.FIRST_STATS_YEAR),
         )
 
 

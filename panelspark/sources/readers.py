@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,23 +16,43 @@ def read_delimited(
     where: Column | str | None = None,
     sep: str = ",",
 ) -> DataFrame:
-    """Read a delimited file with a header line; blanks become null.
+    """Read the columns of ``schema`` from a delimited file with a header line; blanks become null.
 
-    The schema is always given: inferring one would read the data twice.
-    Columns are matched to the header by position, so a wrong header fails.
+    Columns are found by their names in the header, in any order and among any
+    others. The header is the first line of one of the files (all must have the
+    same); no other line is read to plan the query. A missing column raises.
     """
+    header = _header(spark, path, sep)
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    known = {f.name: f.dataType for f in schema.fields}
+    names, seen = [], set()
+    for i, name in enumerate(header):
+        # a blank or repeated name is no column that anyone asks for
+        free = name if name and name not in seen else f"__{i}"
+        seen.add(free)
+        names.append(free)
+    whole = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(whole)
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("enforceSchema", False)
         .csv(path)
+        .select(*[f"`{f.name}`" for f in schema.fields])
     )
     return df if where is None else df.filter(where)
 
 
+def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
+    """The names in the first line of a file."""
+    line = spark.read.text(path).limit(1).first()
+    text = "" if line is None else line[0].lstrip("\ufeff")
+    return next(csv.reader([text], delimiter=sep), [])
+
+
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df if columns is None else df.select(*columns)

@@ -24,8 +24,8 @@ TEAMS = _struct(
     "ARENA:s ARENACAPACITY:i OWNER:s GENERALMANAGER:s HEADCOACH:s DLEAGUEAFFILIATION:s"
 )
 
-# The other four files are known by the columns the work needs; a file with
-# more columns, or another order, is read with a schema of the caller's.
+# The other four files are known by the columns the work needs; readers find
+# them by name, among others and in any order.
 SALARIES = _struct("player_id:s team:s season_start:i season_end:i salary:d")
 PLAYERS = _struct("_id:s name:s")
 BOX_SCORES = _struct(

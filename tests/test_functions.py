@@ -81,6 +81,22 @@ def test_delimited_dimension(spark, tmp_path):
     assert read_delimited(spark, str(path), schemas.TEAMS, F.col("ARENACAPACITY") > 0).count() == 1
 
 
+def test_columns_are_found_by_header_name(spark, tmp_path):
+    path = tmp_path / "teams.csv"
+    header = ["", "extra", *reversed(schemas.TEAMS.names), "extra"]
+    row = ["1", "x", "Long Island", "C", "G", "", "18729", "Arena", "City", "1949", "Nets", "BKN", "2019", "1946", "7", "00", "y"]
+    path.write_text(",".join(header) + "\n" + ",".join(row) + "\n")
+    got = read_delimited(spark, str(path), schemas.TEAMS).collect()
+    assert len(got) == 1 and got[0].asDict() == {
+        "LEAGUE_ID": "00", "TEAM_ID": 7, "MIN_YEAR": 1946, "MAX_YEAR": 2019, "ABBREVIATION": "BKN", "NICKNAME": "Nets",
+        "YEARFOUNDED": 1949, "CITY": "City", "ARENA": "Arena", "ARENACAPACITY": 18729, "OWNER": None, "GENERALMANAGER": "G",
+        "HEADCOACH": "C", "DLEAGUEAFFILIATION": "Long Island",
+    }
+    path.write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="LEAGUE_ID"):
+        read_delimited(spark, str(path), schemas.TEAMS)
+
+
 def test_literal_table(spark):
     assert literal_table(spark, {"a": [1, 2], "b": ["x", "y"]}, "a int, b string").count() == 2
     with pytest.raises(ValueError):

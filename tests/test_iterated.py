@@ -168,3 +168,28 @@ def test_cv_lasso_glm(rows, frame, criterion):
     assert len(pred) == len(frame) and pred["pred"].between(0, 1).all()
     with pytest.raises(ValueError):
         glm.cv_lasso_glm(rows, SPEC, criterion="aic")
+
+
+def test_fits_that_cannot_converge_raise(spark):
+    apart = spark.createDataFrame([(float(i), float(i > 9)) for i in range(20)], "a double, flag double").withColumn("fold", (F.col("a") % 2).cast("int"))
+    with pytest.raises(RuntimeError, match="converge"):
+        glm.cv_glm(apart, ModelSpec("flag", ["a"]), "binomial")
+    gram, rhs = np.array([[[1.0, 0.999], [0.999, 1.0]]]), np.array([[1.0, 1.0]])
+    with pytest.raises(RuntimeError, match="settle"):
+        weighted.soft_solve(gram, rhs, np.zeros((1, 2)), np.zeros((1, 2)), sweeps=2)
+
+
+def test_quantile_without_proof_raises(rows, monkeypatch):
+    monkeypatch.setattr(weighted, "_plane_of", lambda *args: None)
+    with pytest.raises(RuntimeError, match="exact"):
+        quantile.fit_quantile(rows, SPEC, [0.5])
+
+
+def test_packed_partials_are_never_taken_apart(spark):
+    from panelspark.operators import gram
+
+    partial = spark.createDataFrame([(i % 3, [float(i), 1.0]) for i in range(60)], "model int, m array<double>").repartition(9)
+    summed = gram.sum_arrays(partial, ["model"], 9)
+    assert "Generate" not in summed._jdf.queryExecution().toString()
+    assert {r.model: list(r.m) for r in summed.collect()} == {k: [float(sum(range(k, 60, 3))), 20.0] for k in range(3)}
+    assert gram.sum_arrays(partial.select("m"), [], 9).first().m == [float(sum(range(60))), 60.0]

@@ -28,10 +28,10 @@ def groups(hot):
     return out
 
 
-@pytest.mark.parametrize("bound", [10**6, 50, 3])
+@pytest.mark.parametrize("bound", [256, 50, 3])
 def test_group_quantiles(hot, bound):
     probs = {"q10": 0.1, "q50": 0.5, "q99": 0.99}
-    got = {r["k"]: r for r in panel.group_quantiles(hot, ["k"], "v", probs, max_values=bound).collect()}
+    got = {r["k"]: r for r in panel.group_quantiles(hot, ["k"], "v", probs, pieces=bound).collect()}
     for key, values in groups(hot).items():
         known = [v for v in values if v is not None]
         for name, p in probs.items():
@@ -41,7 +41,7 @@ def test_group_quantiles(hot, bound):
 
 def test_whole_table_quantile(hot):
     known = [v for values in groups(hot).values() for v in values if v is not None]
-    got = panel.group_quantiles(hot, [], "v", {"q": 0.3}, max_values=40).first()["q"]
+    got = panel.group_quantiles(hot, [], "v", {"q": 0.3}, pieces=40).first()["q"]
     assert got == pytest.approx(np.quantile(known, 0.3))
 
 

@@ -33,4 +33,4 @@ def test_fits_with_checkpoints(checkpointing):
     assert {r["term"] for r in found} == {"(Intercept)", "x"}
     fit = mixed.fit_mixed(df, mixed.MixedSpec(ModelSpec("y", ["x"]), ["g"]))
     assert fit.modes().count() == 6 and fit.predict().count() == 60
-    assert panel.group_quantiles(df, ["g"], "y", {"q": 0.5}, max_values=2).count() == 6
+    assert panel.group_quantiles(df, ["g"], "y", {"q": 0.5}, pieces=2).count() == 6
