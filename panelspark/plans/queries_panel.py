@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelspark.functions import columns as C
-from panelspark.operators import clean, explore, panel
+from panelspark.operators import clean, explore, gram, panel
 from panelspark.plans import mapping as M
 from panelspark.plans.registry import query
 from panelspark.sources import table_reader
@@ -534,6 +534,45 @@ def rank_wide(spark, sf):
     return panel.rank_wide(ranked, KEYS, "rank", LABELS, ["mins", "price"], carry=["hhi"])
 
 
+WIDE_TERMS = [f"{v}_player_{i}" for v in ("mins", "price") for i in range(1, 9)]
+
+
+def wide_rows(spark, sf):
+    """The wide design: a group and period per row, two measures of each ranked member, folds.
+
+    The odd divisor keeps sums of products off the edges of rounding."""
+    rows = M.shares(spark, sf).withColumn("price", F.col("price") / 977)
+    ranked = panel.rank_labels(rows, KEYS, "share", M.TOP, ["member"])
+    wide = panel.rank_wide(ranked, KEYS, "rank", LABELS, ["mins", "price"], carry=["hhi"])
+    return gram.assign_folds(wide, KEYS, 3, "wide")
+
+
+SQL_WIDE = f"""{SQL_RANKED},
+wide AS (SELECT period, grp, max(hhi) AS hhi,
+         {", ".join(f"max(CASE WHEN rk = {i} THEN mins END) AS mins_player_{i}" for i in range(1, 9))},
+         {", ".join(f"max(CASE WHEN rk = {i} THEN price / 977 END) AS price_player_{i}" for i in range(1, 9))}
+         FROM ranked GROUP BY period, grp),
+design AS (SELECT *, 1.0 AS one,
+           CAST(CAST(concat('0x', substr(md5(concat_ws('|', period, grp, 'wide')), 1, 8)) AS BIGINT) % 3 AS INTEGER) AS fold
+           FROM wide WHERE {" AND ".join(f"{t} IS NOT NULL" for t in ["hhi", *WIDE_TERMS])}),
+long AS ({" UNION ALL ".join(
+    f"SELECT period, grp, fold, {i} AS at, '{n}' AS name, CAST({c} AS DOUBLE) AS value FROM design"
+    for i, (n, c) in enumerate([("(Intercept)", "one"), *[(t, t) for t in WIDE_TERMS], ("hhi", "hhi")]))})"""
+
+
+@query(
+    "wide_gram",
+    f"""WITH {SQL_WIDE}
+        SELECT a.fold, a.name AS "left", b.name AS "right", round(sum(a.value * b.value), 2) AS value
+        FROM long a JOIN long b ON a.period = b.period AND a.grp = b.grp AND a.at <= b.at GROUP BY a.fold, a.name, b.name""",
+)
+def wide_gram(spark, sf):
+    """Moments of the wide design by fold: blocks of rows multiplied in tasks."""
+    columns = [*WIDE_TERMS, "hhi"]
+    named = gram.named_moments(gram.keyed_moments(wide_rows(spark, sf), columns, ["fold"]), columns, ["fold"])
+    return rounded(named, 2, "value")
+
+
 @query(
     "rank_share_band",
     f"""WITH {SQL_RANKED}, band AS (

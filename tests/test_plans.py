@@ -67,3 +67,12 @@ def test_moments_shuffle_sums_only(spark):
     wide = df.select("fold", *[(F.col("l_tax") * i).alias(f"t{i}") for i in range(12)])
     plan = explained(gram.keyed_moments(wide, [f"t{i}" for i in range(12)], ["fold"]))
     assert "MapInArrow" in plan and "PartialAggregate" not in plan
+
+
+def test_wide_moments_multiply_blocks_and_keep_them_packed(spark):
+    from panelspark.plans.queries_panel import WIDE_TERMS, wide_rows
+
+    moments = gram.keyed_moments(wide_rows(spark, SF), [*WIDE_TERMS, "hhi"], ["fold"])
+    text = moments._jdf.queryExecution().optimizedPlan().toString()
+    # one block product, two rounds of packed sums, and the only explosion comes after them
+    assert text.count("MapInArrow") == 3 and text.index("Generate") < text.index("MapInArrow")
