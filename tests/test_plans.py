@@ -72,7 +72,7 @@ def test_moments_shuffle_sums_only(spark):
 def test_wide_moments_multiply_blocks_and_keep_them_packed(spark):
     from panelspark.plans.queries_panel import WIDE_TERMS, wide_rows
 
-    moments = gram.keyed_moments(wide_rows(spark, SF), [*WIDE_TERMS, "hhi"], ["fold"])
+    moments = gram.keyed_moments(wide_rows(spark, FOLDER), [*WIDE_TERMS, "hhi"], ["fold"])
     text = moments._jdf.queryExecution().optimizedPlan().toString()
     # one block product, two rounds of packed sums, and the only explosion comes after them
     assert text.count("MapInArrow") == 3 and text.index("Generate") < text.index("MapInArrow")
