@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 BLANK = "▁"
-#: Words and pairs of pieces that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+#: Words that a worker remembers (the first it meets), and pairs of pieces before it starts anew.
+REMEMBERED = 1_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -80,11 +80,14 @@ class Model:
         self.ids = {p: i for i, p in enumerate(self.names) if not special[i] and i not in self.byte_of}
         self.scores = {i: library.get_score(i) for i in self.ids.values()}
         self.longest = max(map(len, self.ids))
+        # every beginning of a piece: its id if it is one itself, else -1
+        self.starts = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
         self.unknown_score = min(self.scores.values()) - 10.0
         # no piece holds a blank after another character: paths meet before every word
         self.words_meet = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.ends: dict[int, tuple] = {}
+        self.memory: dict[str, bytes] = {}
 
     def normal(self, text: str) -> str:
         """Blanks as the vocabulary has them, one before the text if the model wants it."""
@@ -97,32 +100,67 @@ class Model:
             return tuple(self.byte_ids[b] for b in char.encode())
         return (self.unknown,)
 
-    def _merged(self, text: str) -> list[int]:
-        """Ids of a short text by merging: best score first, then leftmost."""
-        parts = list(text)
-        while True:
-            best = max(((self.scores[self.ids[a + b]], -i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.ids), default=None)
-            if best is None:
-                return [self.ids[p] for p in parts]
-            i = -best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    def _ends(self, piece: int) -> tuple[list[tuple], list[tuple], bool]:
+        """How a piece grows from its characters when merged alone, best score first
+        and then leftmost: per merge its score and the piece then standing at the
+        right end, the same for the left end (characters first), and whether it is reached."""
+        known = self.ends.get(piece)
+        if known is None:
+            parts = list(self.names[piece])
+            right, left = [(None, parts[-1])], [(None, parts[0])]
+            while len(parts) > 1:
+                best = None
+                for i in range(len(parts) - 1):
+                    found = self.ids.get(parts[i] + parts[i + 1])
+                    if found is not None and (best is None or self.scores[found] > best[0]):
+                        best = self.scores[found], i
+                if best is None:
+                    break
+                i = best[1]
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                right.append((best[0], parts[-1]))
+                left.append((best[0], parts[0]))
+            known = self.ends[piece] = (right, left, len(parts) == 1)
+        return known
 
     def _apart(self, left: int, right: int) -> bool:
-        """Whether two neighbouring pieces stay as they are when merged alone."""
+        """Whether two neighbouring pieces stay as they are when merged together.
+
+        Their merges go on side by side, the better score first and the left piece's
+        on a tie, until a merge across the boundary would come before both or none is left."""
         known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            known = self._merged(self.names[left] + self.names[right]) == [left, right]
-            self.pairs[left, right] = known
+        if known is not None:
+            return known
+        (ours, _, one), (_, theirs, other) = self._ends(left), self._ends(right)
+        i, j, known = 0, 0, one and other
+        while known:
+            next_left = ours[i + 1][0] if i + 1 < len(ours) else None
+            next_right = theirs[j + 1][0] if j + 1 < len(theirs) else None
+            across = self.ids.get(ours[i][1] + theirs[j][1])
+            if across is not None:
+                score = self.scores[across]
+                # left merges stand before the boundary, right ones behind it
+                if (next_left is None or score > next_left) and (next_right is None or score >= next_right):
+                    known = False
+                    break
+            if next_left is None and next_right is None:
+                break
+            if next_right is None or (next_left is not None and next_left >= next_right):
+                i += 1
+            else:
+                j += 1
+        if len(self.pairs) > REMEMBERED:
+            self.pairs.clear()
+        self.pairs[left, right] = known
         return known
 
     def stream(self, chars: Iterator[str]) -> Iterator[tuple[int, ...]]:
-        """Ids of a stream of characters, in committed runs. Holds the window only."""
+        """Ids of a stream of characters (or of strings), in committed runs. Holds the
+        window, and what came with the string that reached beyond it."""
         text = ""  # from the last committed boundary on
         best: list[tuple[float, int, tuple[int, ...]] | None] = [(0.0, -1, ())]  # score, boundary before, ids of the last piece
         done, more = 0, True
-        reach = self.longest
+        reach, starts, merges = self.longest, self.starts, self.merges
         chars = iter(chars)
         while more or done < len(text):
             while more and len(text) < done + reach:
@@ -131,18 +169,25 @@ class Model:
                 text += piece or ""
             if done == len(text):
                 break
-            best += [None] * (min(len(text), done + reach) + 1 - len(best))
+            upto = min(len(text), done + reach)
+            if len(best) <= upto:
+                best += [None] * (upto + 1 - len(best))
             here = best[done]
             if here is not None:
                 score, _, last = here
-                for end in range(done + 1, min(len(text), done + reach) + 1):
-                    found = self.ids.get(text[done:end])
-                    if found is not None:
-                        if self.merges:
-                            if not last or last[-1] not in self.scores or self._apart(last[-1], found):
-                                best[end] = (0.0, done, (found,))
-                        elif best[end] is None or best[end][0] < score + self.scores[found]:
-                            best[end] = (score + self.scores[found], done, (found,))
+                after = last[-1] if last and last[-1] in self.scores else None
+                for end in range(done + 1, upto + 1):
+                    found = starts.get(text[done:end])
+                    if found is None:
+                        break  # no piece begins like this
+                    if found < 0:
+                        continue
+                    if merges:
+                        # a boundary has one path, so the first one found is it
+                        if best[end] is None and (after is None or self._apart(after, found)):
+                            best[end] = (0.0, done, (found,))
+                    elif best[end] is None or best[end][0] < score + self.scores[found]:
+                        best[end] = (score + self.scores[found], done, (found,))
                 if text[done] not in self.ids:
                     ids = self._fallback(text[done])
                     if best[done + 1] is None or (not self.merges and best[done + 1][0] < score + self.unknown_score):
@@ -179,18 +224,17 @@ class Model:
         normal = self.normal(text)
         if not self.words_meet:
             return np.fromiter((i for run in self.stream(normal) for i in run), dtype="<u4")
-        out: list[int] = []
+        parts: list[bytes] = []
         memory = self.memory
         for word in _words(normal):
             ids = memory.get(word)
             if ids is None:
-                if len(memory) > REMEMBERED:
-                    memory.clear()
-                ids = tuple(i for run in self.stream(word) for i in run)
-                if len(word) <= 64:
+                short = len(word) <= 64
+                ids = b"".join(np.array(run, "<u4").tobytes() for run in self.stream((word,) if short else word))
+                if short and len(memory) < REMEMBERED:
                     memory[word] = ids
-            out += ids
-        return np.array(out, dtype="<u4")
+            parts.append(ids)
+        return np.frombuffer(b"".join(parts), "<u4")
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
