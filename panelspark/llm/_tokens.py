@@ -4,7 +4,7 @@ Neither of the two kinds of vocabulary merges across a blank that stands between
 words, so a text's ids are those of its words in turn. Words are looked up in a
 dictionary that lives as long as the Python worker and holds a bounded number of
 them; what is missing is encoded in one batch by the library. A text in which the
-cut would not be safe is encoded as a whole.
+cut would not be safe (one with odd control characters) is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -15,17 +15,32 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-#: Words that a worker remembers (about 150 MB), then it starts anew.
-REMEMBERED = 700_000
+#: Words that a worker remembers for good (about 200 MB), and for a while.
+REMEMBERED, RECENT = 1_000_000, 200_000
 
-# Blanks side by side: the byte-level pattern joins them. Control characters that
-# Python takes for blanks and the library does not.
-_SIDE_BY_SIDE = re.compile(r"\s\s|^\s|\s$")
-_ODD_BLANKS = re.compile("[\x1c-\x1f]")
+# A boundary before a single blank between two words: no piece reaches across it.
+_SINGLE_BLANK = re.compile(r"(?<=\S)(?= \S)")
+# Control characters that Python takes for blanks and the library does not.
+_ODD_BLANKS = "\x1c\x1d\x1e\x1f"
 # Beyond these letters lower-casing before normalising might differ from after.
 _BEYOND = re.compile("[^\x00-įı-ſ]")
 
 
+class _Memory(dict):
+    """Words met first stay; later ones are kept until there are too many."""
+
+    def __init__(self):
+        super().__init__()
+        self.recent: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        return self.recent[word]
+
+    def keep(self, word: str, ids: bytes) -> None:
+        into = self if len(self) < REMEMBERED and len(word) <= 64 else self.recent
+        into[word] = ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
@@ -34,36 +49,35 @@ class Encoder:
         self.library.encode_special_tokens = True
         blanks_vanish = self.library.normalizer is not None and not self.library.encode(" ", add_special_tokens=False).ids
         self.cut = self._words if blanks_vanish else self._spaced
-        self.memory: dict[str, bytes] = {}
+        self.memory = _Memory()
 
     def _words(self, text: str) -> list[str]:
         """For vocabularies that drop blanks and case."""
-        if _ODD_BLANKS.search(text):
+        if any(c in text for c in _ODD_BLANKS):
             return [text]
         return (text if _BEYOND.search(text) else text.lower()).split()
 
     def _spaced(self, text: str) -> list[str]:
         """For byte-level vocabularies: words with the blank before them."""
-        if _SIDE_BY_SIDE.search(text) or _ODD_BLANKS.search(text):
+        if any(c in text for c in _ODD_BLANKS):
             return [text]
+        if len(text.split()) != text.count(" ") + text.count("\n") + 1:  # blanks side by side, or others
+            return _SINGLE_BLANK.split(text)
         first, *rest = text.split(" ")
         return [first, *[" " + w for w in rest]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
-        if len(self.memory) > REMEMBERED:
-            self.memory.clear()
         memory = self.memory
-        missing = [w for w in set().union(*cut).difference(memory)] if cut else []
-        long = {}
+        if len(memory.recent) > RECENT:
+            memory.recent.clear()
+        known = memory.recent
+        missing = [w for w in set().union(*cut) if w not in memory and w not in known]
         for at in range(0, len(missing), 4096):
             part = missing[at : at + 4096]
             for word, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 ids = found.ids
-                (memory if len(word) <= 64 else long)[word] = struct.pack(f"<{len(ids)}I", *ids)
-        if long:
-            look = lambda w: memory[w] if w in memory else long[w]
-            return [b"".join(map(look, words)) for words in cut]
+                memory.keep(word, struct.pack(f"<{len(ids)}I", *ids))
         return [b"".join(map(memory.__getitem__, words)) for words in cut]
 
 
