@@ -3,8 +3,8 @@
 Folding lower-cases, strips accents, maps look-alike letters of other scripts and
 undoes digit substitutions, so that ``1d10t`` and ``idiot`` are one term (``i``,
 ``l`` and ``1`` share a class, since the digit stands for either). Terms count as
-whole words, and not inside an exception phrase. Weights are log-odds learned from
-labelled rows; a document's score is a logistic function of the summed weights of
+whole words, and not inside an exception phrase. Weights are those of a penalised logistic
+fit to labelled rows; a document's score is a logistic function of the summed weights of
 its terms and of their density per hundred words.
 """
 
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from dataclasses import dataclass, field
 from functools import cache, partial
 
@@ -20,6 +19,9 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import DenseMatrix
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,18 +151,19 @@ def _found(batches, lexicon):
         )
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Penalised logistic fit; strictly convex, so damped Newton steps reach the one optimum."""
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """Penalised logistic fit to rows that stand for ``n`` equal ones; strictly convex,
+    so damped Newton steps reach the one optimum."""
     x = np.c_[np.ones(len(x)), x]
     penalty = ridge * np.array([0.02, *[1.0] * (x.shape[1] - 1)])
-    loss = lambda b: np.logaddexp(0, x @ b).sum() - y @ (x @ b) + 0.5 * penalty @ b**2
+    loss = lambda b: n @ np.logaddexp(0, x @ b) - (n * y) @ (x @ b) + 0.5 * penalty @ b**2
     beta = np.zeros(x.shape[1])
     while True:
         p = 1 / (1 + np.exp(-(x @ beta)))
-        gradient = x.T @ (p - y) + penalty * beta
-        if np.abs(gradient).max() < 1e-8 * (1 + len(y)):
+        gradient = x.T @ (n * (p - y)) + penalty * beta
+        if np.abs(gradient).max() < 1e-8 * (1 + n.sum()):
             return beta
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), gradient)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.diag(penalty), gradient)
         size = 1.0
         while loss(beta - size * step) > loss(beta) - 1e-4 * size * gradient @ step and size > 1e-9:
             size /= 2
@@ -169,60 +172,63 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
         beta = beta - size * step
 
 
+def _weights(found: DataFrame, words: list[str], rows: int, ridge: float = 1.0) -> dict[str, float]:
+    """Weights of 0 and more for all ``words`` at once: a logistic fit with penalty, so
+    that words that stand together share what they say; words of weight 0 are left out."""
+    vectors = CountVectorizerModel.from_vocabulary(words, "terms", "features", binary=True).transform(found)
+    fit = LogisticRegression(
+        labelCol="toxic", regParam=ridge / rows, standardization=False, maxIter=1000, tol=1e-7,
+        lowerBoundsOnCoefficients=DenseMatrix(1, len(words), [0.0] * len(words)),
+    )
+    found = fit.fit(vectors.select("toxic", "features")).coefficients.toArray()
+    return {w: float(x) for w, x in zip(words, found, strict=True) if x > 1e-6}
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
     text: str = "text",
     key: str = "doc_id",
     label: str = "toxic",
-    sample: int = 20_000,
-    candidates: int = 512,
     least_docs: int = 5,
 ) -> Lexicon:
     """A lexicon from labelled rows.
 
-    ``sample`` bounds the labelled documents that are read (those of least key
-    digest); all statistics of the fit come from them. Words that occur in at least
-    ``least_docs`` toxic texts compete by the z-value of their log-odds; of the first
-    ``candidates`` those stay that cover toxic texts which stronger terms do not.
-    A pair of neighbouring words with a term that clean texts use more often than
-    toxic ones becomes an exception phrase. The logistic function is fitted on all of
-    the sample. Rows with a null key or label are not used, a repeated key counts as
+    All labelled documents are read. Terms are all words that occur in at least
+    ``least_docs`` toxic texts and whose log-odds have a z-value above 3; their weights
+    come from one penalised fit of all of them. A pair of neighbouring words with a
+    term that clean texts use more often than toxic ones becomes an exception phrase.
+    The logistic function is fitted on counts of rows in cells of 1/64 of its two
+    features. Rows with a null key or label are not used, a repeated key counts as
     toxic if one of its labels does. Without both kinds of label there are no terms
     and the score is the share of toxic rows.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(known), "id")
+    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(known, "id")
     rows = written(rows.select("text", "toxic"), "labelled")
     size = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     share = (toxic + 0.01) / (toxic + clean + 0.02) if toxic + clean else 0.01
+    none = Lexicon(intercept=float(np.log(share / (1 - share))))
     if not toxic or not clean:
-        return Lexicon(intercept=float(np.log(share / (1 - share))))
+        return none
 
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     ranked = _counts(rows).where(F.col("toxic") >= least_docs).withColumns({"odds": odds, "z": odds / spread}).where("z > 3")
-    best = ranked.orderBy(F.desc("z"), "word").limit(candidates).collect()
-    lexicon = Lexicon(terms={r.word: r.odds for r in best})
-    found = rows.mapInArrow(partial(_found, lexicon=lexicon), "toxic int, terms array<string>, total double, density double")
-    open_sets = [set(r.terms) for r in found.where("toxic = 1 and size(terms) > 0").select("terms").collect()]
-    kept = {}
-    while open_sets:
-        cover = Counter(t for s in open_sets for t in s)
-        term = max(cover, key=lambda t: (cover[t] * lexicon.terms[t], t))
-        if cover[term] < least_docs:
-            break
-        kept[term] = lexicon.terms[term]
-        open_sets = [s for s in open_sets if term not in s]
+    words = [r.word for r in ranked.select("word").orderBy("word").collect()]
+    if not words:
+        return none
+    seen = "toxic int, terms array<string>, total double, density double"
+    found = rows.mapInArrow(partial(_found, lexicon=Lexicon(dict.fromkeys(words, 1.0))), seen)
+    kept = _weights(written(found.select("toxic", "terms"), "terms"), words, toxic + clean)
 
     pairs = _counts(rows, frozenset(kept)).where(F.col("clean") >= 3)
-    pairs = pairs.where((F.col("toxic") + 0.5) / (toxic + 1) < (F.col("clean") + 0.5) / (clean + 1)).orderBy(F.desc("clean"), "word").limit(candidates)
+    pairs = pairs.where((F.col("toxic") + 0.5) / (toxic + 1) < (F.col("clean") + 0.5) / (clean + 1)).select("word").orderBy("word")
     lexicon = Lexicon(terms=kept, exceptions=tuple(r.word for r in pairs.collect()))
-    seen = rows.mapInArrow(partial(_found, lexicon=lexicon), "toxic int, terms array<string>, total double, density double")
-    seen = seen.select("toxic", "total", "density").toPandas()
-    beta = _logistic(seen[["total", "density"]].to_numpy(), seen["toxic"].to_numpy(dtype=float))
+    cells = [F.round(F.col(c) * 64).alias(c) for c in ("total", "density")]
+    counts = rows.mapInArrow(partial(_found, lexicon=lexicon), seen).groupBy("toxic", *cells).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    beta = _logistic(counts[["total", "density"]].to_numpy() / 64, counts["toxic"].to_numpy(dtype=float), counts["n"].to_numpy(dtype=float))
     return Lexicon(kept, lexicon.exceptions, float(beta[0]), (float(beta[1]), float(beta[2])))
 
 

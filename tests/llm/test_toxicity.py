@@ -68,3 +68,21 @@ def test_exception_phrases_are_learned(spark):
     got = {r.doc_id: r.score for r in toxicity.score(table, lexicon).collect()}
     assert toxicity.fold("class clown") in lexicon.exceptions
     assert got[0] > 0.5 > got[100] and got[200] < 0.5
+
+
+def test_terms_that_stand_together_are_all_kept(spark):
+    rows = [(i, f"you moron and scum number {i}" if i % 10 else f"you scum number {i}", 1) for i in range(40)]
+    rows += [(100 + i, f"plain words here {i}", 0) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    assert {"moron", "scum"} <= set(lexicon.terms)
+    alone = spark.createDataFrame([(1, "what a moron")], "doc_id long, text string")
+    assert toxicity.score(alone, lexicon).first().score > 0.5
+
+
+def test_every_single_term_is_toxic(spark, labelled):
+    docs, labels = labelled
+    lexicon = toxicity.learn(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    words = ["worthless", "disgusting", "scum", "moron", "clown", "trash", "pathetic", "idiot", "stupid", "loser"]
+    alone = spark.createDataFrame([(w, f"and then there was {w} again") for w in words], "word string, text string")
+    assert {r.word for r in toxicity.score(alone, lexicon).where("score < 0.5").collect()} == set()
