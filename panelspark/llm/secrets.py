@@ -10,6 +10,7 @@ little, keys cost nearly a byte a character. Those above a threshold are reporte
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
 import pandas as pd
@@ -62,10 +63,28 @@ def base(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _mixed(word: str) -> bool:
+    return any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
+def _blanked(text: str, lo: int, hi: int, word: str, strings: list[tuple[int, int]]) -> str:
+    """``text[lo:hi]`` with a blank for each of ``strings`` that equals, holds or is part of ``word``."""
+    out, at = [], lo
+    for start, end in strings[bisect_right(strings, lo, key=lambda s: s[1]) :]:
+        if start >= hi:
+            break
+        other = text[start:end]
+        if word in other or (other in word and _mixed(other)):
+            out += [text[at : max(at, start)], " "]
+            at = max(at, min(hi, end))
+    return "".join([*out, text[at:hi]])
+
+
 def novel(text: str, known: list[tuple[int, int, int]], least: float = 0.6, reach: int = 64, around: int = 256) -> list[tuple[int, int, int]]:
     """Spans of strings within ``reach`` characters after a cue that mix letters and
-    digits, overlap no known span and add at least ``least`` bytes a character."""
-    out, last = [], 0
+    digits, overlap no known span and add at least ``least`` bytes a character to what
+    stands ``around`` them, their own copies left out."""
+    out, last, strings = [], 0, None
     for cue in _CUE.finditer(text):
         for m in _STRING.finditer(text, max(last, cue.end())):
             if m.start() > cue.end() + reach:
@@ -74,9 +93,13 @@ def novel(text: str, known: list[tuple[int, int, int]], least: float = 0.6, reac
             word = m.group()
             if any(s < m.end() and m.start() < e for s, _, e in known):
                 continue
-            if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
+            if not _mixed(word):
                 continue
-            if novelty(word, text[max(0, m.start() - around) : m.start()], text[m.end() : m.end() + around]) >= least:
+            if strings is None:
+                strings = [x.span() for x in _STRING.finditer(text)]
+            before = _blanked(text, max(0, m.start() - around), m.start(), word, strings)
+            after = _blanked(text, m.end(), min(len(text), m.end() + around), word, strings)
+            if novelty(word, before, after) >= least:
                 out.append((m.start(), 3, m.end()))
     return out
 

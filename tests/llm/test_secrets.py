@@ -61,3 +61,14 @@ def test_edges(spark):
         (1, 0, "", 0), (2, 0, "", 0), (None, 0, "assign:0:18", 1), (3, 0, "assign:3:16", 1), (3, 0, "assign:3:16", 1), (4, 0, "assign:1000000:1000015", 1),
     ]
     assert secrets.find(docs.limit(0)).count() == 0
+
+
+def test_secret_that_stands_twice():
+    rng = random.Random(5)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
+    places = lambda text: [(m.start(), 3, m.end()) for m in re.finditer(key, text)]
+    for text in (f"Authorization: Bearer {key}\n" * 3, f"client credential {key}" + " x" * 120 + f" bearer {key} end"):
+        assert len(places(text)) > 1 and secrets.novel(text, secrets.base(text)) == places(text)
+    held = f"client_id={key}\nbearer {key}\n"
+    assert [e for _, _, e in secrets.novel(held, [])] == [e for _, _, e in places(held)]
+    assert secrets.novel("bearer of production_environment_variable2 and bearer production_environment_variable2 x", []) == []
