@@ -1,9 +1,9 @@
 """Personal data: candidate spans, boosted trees and calibrated thresholds, in DataFrame functions.
 
 Strict rules find the base spans. High-recall generators propose overlapping spans
-beside them; gradient-boosted trees, fitted on a bounded sample of documents with
-the base rules as labels, score format and context; a threshold per kind, set for
-a precision on rows that the fit has not seen, decides what is added. The trees are
+beside them; gradient-boosted trees, fitted on a bounded sample of documents to tell
+base spans from clear negatives, score format and context; a threshold per kind, set
+for a precision on all rows that the fit has not seen, decides what is added. The trees are
 compiled to column expressions, so a document is scored where it is read: no
 shuffle, no Python, and repeated or null keys do not matter.
 """
@@ -142,6 +142,46 @@ def _candidates(text: Column, base: Column) -> Column:
     return F.concat(*[propose(i) for i in range(len(KINDS))])
 
 
+def _labelled(body: Column, base: Column) -> Column:
+    """Features and labels to learn from. What overlaps a base span of its kind is 1,
+    also with the rule's own cue hidden: a phone number near a cue of its context
+    without its plus, a mail address with its signs written out. A clear negative is 0:
+    it overlaps a base span of another kind, or its kind could not be written so, or
+    nothing near it speaks for its kind. The rest look alike and have no label."""
+    at = {name: i for i, name in enumerate(FEATURES)}
+    get = lambda c, name: c["x"][at[name]]
+
+    def changed(c, values):
+        return F.transform(c["x"], lambda v, i: reduce(lambda a, kv: F.when(i == at[kv[0]], kv[1]).otherwise(a), values.items(), v))
+
+    def label(c):
+        alike = {
+            "email": (get(c, "brackets") > 0) | (get(c, "dots") > 0) | (get(c, "near_email") > 0),
+            "ip": get(c, "near_ip") > 0,
+            "card": (get(c, "near_card") > 0) & (get(c, "luhn") > 0),
+            "phone": (get(c, "near_phone") > 0) & get(c, "digits").between(7, 15),
+        }
+        other = F.exists(base, lambda b: (b["kind"] != c["kind"]) & _overlap(b, c))
+        open_ = reduce(lambda a, i: F.when(c["kind"] == i, alike[KINDS[i]]).otherwise(a), range(len(KINDS)), F.lit(False))
+        return F.when(c["agrees"], 1.0).when(other | ~open_, 0.0)
+
+    def row(c, x, y):
+        return F.struct(c["kind"].alias("kind"), x.alias("x"), y.alias("label"))
+
+    def hidden(c):
+        signs = get(c, "dots") + 1
+        mail = changed(c, {"length": get(c, "length") + 6 * signs - 1, "digit_share": get(c, "digits") / (get(c, "length") + 6 * signs - 1),
+                           "dots": F.lit(0.0), "blanks": get(c, "blanks") + 2 * signs, "brackets": get(c, "brackets") + 2 * signs, "at": F.lit(0.0)})
+        bare = changed(c, {"length": get(c, "length") - 1, "digit_share": get(c, "digits") / (get(c, "length") - 1), "plus": F.lit(0.0)})
+        return row(c, F.when(c["kind"] == KINDS.index("email"), mail).otherwise(bare), F.lit(1.0))
+
+    found = _candidates(body, base)
+    mail = lambda c: (c["kind"] == KINDS.index("email")) & (get(c, "at") > 0)
+    phone = lambda c: (c["kind"] == KINDS.index("phone")) & (get(c, "plus") > 0) & (get(c, "near_phone") > 0)
+    plain = F.filter(F.transform(found, lambda c: row(c, c["x"], label(c))), lambda r: r["label"].isNotNull())
+    return F.concat(plain, F.transform(F.filter(found, lambda c: c["agrees"] & (mail(c) | phone(c))), hidden))
+
+
 @dataclass(frozen=True)
 class Model:
     """Weighted trees as nested tuples ``(feature, threshold, left, right)`` with
@@ -169,22 +209,26 @@ def _tree(node):
 
 
 def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 4000, precision: float = 0.99, trees: int = 10, seed: int = 7) -> Model:
-    """Trees and thresholds from a bounded sample.
-
-    ``sample`` bounds the documents: those of least key digest among the ones with
-    anything that a generator may propose. Their candidates are labelled by the base
-    rules; three in ten are held back, and a kind's threshold is the least score
-    with at least ``precision`` on those. Where one kind of label is missing, no
-    trees are fitted and nothing is added.
+    """Trees from a bounded sample, thresholds from all documents.
+
+    ``sample`` bounds the documents of the fit: those of least key digest among the
+    ones with anything that a generator may propose. Base spans, also with their rule's
+    cue hidden, are fitted against clear negatives; look-alikes without a label count
+    neither in the fit nor in the precision. A kind's threshold is the least score with
+    at least ``precision`` on three in ten candidates of the sample, held back, and all
+    of the other documents. Where one kind of label is missing, no trees are fitted and
+    nothing is added.
     """
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     cue = "|".join(f"(?:{c})" for c in GENERATOR_CUES.values())
-    ids = rows.where(F.col("text").rlike(cue)).select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct()
-    seen = rows.join(F.broadcast(ids), "id").withColumn("base", _base(F.col("text")))
-    seen = seen.select("id", F.posexplode(_candidates(F.col("text"), F.col("base"))).alias("n", "c"))
-    seen = seen.select((F.pmod(F.xxhash64("id", "n"), F.lit(10)) < 3).alias("held"), "c.kind", "c.x", F.col("c.agrees").cast("double").alias("label"))
-    seen = written(seen, "candidates")
-    fit = seen.where("not held").select("label", array_to_vector("x").alias("features"))
+    rows = rows.where(F.col("text").rlike(cue))
+    ids = rows.where("id is not null").select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct()
+    ids = written(ids.withColumn("sampled", F.lit(True)), "sampled")
+    # the base spans as a column before they are used, so that they are found once a row
+    seen = rows.join(F.broadcast(ids), "id", "left").withColumn("base", _base(F.col("text")))
+    seen = seen.select("id", "sampled", F.posexplode(_labelled(F.col("text"), F.col("base"))).alias("n", "c"))
+    seen = seen.select((F.col("sampled").isNull() | (F.pmod(F.xxhash64("id", "n"), F.lit(10)) < 3)).alias("held"), "sampled", "c.kind", "c.x", "c.label")
+    fit = written(seen.where("sampled and not held").select("label", "x"), "candidates").select("label", array_to_vector("x").alias("features"))
     if fit.select("label").distinct().count() < 2:
         return Model()
     model = GBTClassifier(maxIter=trees, maxDepth=3, seed=seed).fit(fit)

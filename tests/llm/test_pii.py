@@ -88,3 +88,15 @@ def test_plan_has_no_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = pii.find(docs, pii.learn(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_common_forms_beside_the_rules_are_added(spark):
+    rows = [(i, f"call phone +1 (3{i % 90 + 10}) 555-0{100 + i} now") for i in range(300)]
+    rows += [(1000 + i, f"call phone 1 (3{i % 90 + 10}) 555-0{100 + i} now") for i in range(300)]
+    rows += [(2000 + i, f"write to joe{i}@mail.example.com soon") for i in range(300)]
+    rows += [(3000 + i, f"write to joe{i} (at) mail (dot) example (dot) com soon") for i in range(300)]
+    rows += [(4000 + i, f"parts 55{i:02d}-00{i:02d}-{i:03d} in stock, handle@name{i}") for i in range(99)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find(docs, pii.learn(docs)).select("doc_id", F.size("pii.spans").alias("n"), F.size("pii.base").alias("b")).collect()
+    for r in found:
+        assert r.n == (r.doc_id < 4000) and r.b == (r.doc_id // 1000 in (0, 2))
