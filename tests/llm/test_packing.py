@@ -115,3 +115,12 @@ def test_sequences(spark):
     assert sum(len(bytes(r.ids)) for r in made) == sum(map(len, rows.values()))
     assert all(len(bytes(r.ids)) == 4 * sum(r.lengths) <= 4 * 4096 for r in made)
     assert zlib.crc32(b"")  == 0
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_document_and_attention_limits_bind(rule):
+    made = lambda lengths, *most: sorted(len(m) for _, _, m in packing.pack(enumerate(lengths), packing.Capacity(*most, rule=rule), 0, 10**9))
+    assert made([10] * 9, 100, 100, 10**9) == [9]
+    assert made([10] * 9, 100, 3, 10**9) == [3, 3, 3]
+    assert made([50] * 4, 100, 100, 10**9) == [2, 2]
+    assert made([50] * 4, 100, 100, 4000) == [1, 1, 1, 1]
