@@ -46,8 +46,9 @@ def collapsed(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
 
 
 class _Tally:
-    """Counts per (slot, term) of one task, slots being sources of a language or, with
-    source None, the documents of a language."""
+    """Counts per (term, slot) of one task, slots being sources of a language or, with
+    source None, the documents of a language. All counts of a term leave side by side,
+    which the shuffle files compress well."""
 
     def __init__(self):
         self.slots: dict = {}
@@ -83,8 +84,8 @@ class _Tally:
         langs, sources = (pa.array([s[i] for s in self.slots], pa.string()) for i in (0, 1))
         for at in range(0, len(keys), 100_000):
             part = keys[at : at + 100_000]
-            slot = part >> 32
-            columns = [langs.take(pa.array(slot)), terms.take(pa.array(part & 0xFFFFFFFF)), sources.take(pa.array(slot)), pa.array(values[at : at + 100_000])]
+            slot = part & 0xFFFFFFFF
+            columns = [langs.take(pa.array(slot)), terms.take(pa.array(part >> 32)), sources.take(pa.array(slot)), pa.array(values[at : at + 100_000])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "source", "n"])
         self.restart()
 
@@ -113,7 +114,7 @@ def _tally_block(tally: _Tally, rows: list[tuple]) -> None:
     doc, term = keys >> 32, keys & 0xFFFFFFFF
     slots = [tally.slot(lang, None) for lang, _, _ in rows]
     weight = [sum(c["n"] for c in copies) for _, _, copies in rows]
-    tally.add(np.array(slots, np.int64)[doc] << 32 | term, np.array(weight, np.int64)[doc])
+    tally.add(term << 32 | np.array(slots, np.int64)[doc], np.array(weight, np.int64)[doc])
     own = [(tally.slot(lang, c["source"]), c["n"]) for lang, _, copies in rows for c in copies]
     slot, weight = np.array([s for s, _ in own], np.int64), np.array([w for _, w in own], np.int64)
     many = np.array([len(copies) for _, _, copies in rows])
@@ -122,7 +123,7 @@ def _tally_block(tally: _Tally, rows: list[tuple]) -> None:
     times = many[doc]
     entry = np.repeat(np.arange(len(doc)), times)
     which = first[doc][entry] + np.arange(len(entry)) - np.repeat(np.cumsum(times) - times, times)
-    tally.add(slot[which] << 32 | term[entry], n[entry] * weight[which])
+    tally.add(term[entry] << 32 | slot[which], n[entry] * weight[which])
 
 
 def _count(batches):
