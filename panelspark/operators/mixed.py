@@ -32,6 +32,7 @@ from panelspark.session import pinned, reused
 MAX_CROSSED = 2000
 # Sums that one pass keeps in a task: as many points are scored at once as fit.
 AT_ONCE = 8_000_000
+QUIET = 6
 
 
 @dataclass(frozen=True)
@@ -305,19 +306,23 @@ def _reduced(p: Prepared, variant: Variant, q: np.ndarray):
     return m - q
 
 
-def _at_thetas(p: Prepared, m: np.ndarray, logdet: float, thetas: np.ndarray):
+def _spectrum(p: Prepared, m: np.ndarray):
+    """What every crossed ratio needs of ``m``, worked out once: sums of [1, x, y], and the
+    eigenvalues and rotated sums of the crossed levels."""
+    width = p.p1 + 1
+    if not p.levels:
+        return m[:width, :width], np.zeros(0), np.zeros((0, width))
+    values, vectors = np.linalg.eigh(m[width:, width:])
+    return m[:width, :width], np.maximum(values, 0.0), vectors.T @ m[width:, :width]
+
+
+def _at_thetas(spectrum, logdet: float, thetas: np.ndarray):
     """Log-determinant, ``XᵀV⁻¹X``, coefficients and RSS for several crossed ratios at once."""
-    width, p1 = p.p1 + 1, p.p1
-    f = np.broadcast_to(m[:width, :width], (len(thetas), width, width))
-    logdets = np.full(len(thetas), logdet)
-    if p.levels and np.any(thetas > 0):
-        values, vectors = np.linalg.eigh(m[width:, width:])
-        values = np.maximum(values, 0.0)
-        g = vectors.T @ m[width:, :width]
-        square = thetas[:, None] ** 2
-        f = f - np.einsum("tk,ki,kj->tij", square / (1 + square * values), g, g)
-        logdets = logdets + np.log1p(square * values).sum(axis=1)
-    xx, xy, yy = f[:, :p1, :p1], f[:, :p1, -1], f[:, -1, -1]
+    f, values, g = spectrum
+    square = thetas[:, None] ** 2
+    f = f - np.einsum("tk,ki,kj->tij", square / (1 + square * values), g, g)
+    logdets = logdet + np.log1p(square * values).sum(axis=1)
+    xx, xy, yy = f[:, :-1, :-1], f[:, :-1, -1], f[:, -1, -1]
     beta = np.linalg.solve(xx, xy[..., None])[..., 0]
     rss = np.maximum(yy - np.einsum("ti,ti->t", xy, beta), 1e-300)
     return logdets, xx, beta, rss
@@ -333,29 +338,32 @@ def _deviances(logdets: np.ndarray, xx: np.ndarray, rss: np.ndarray, n: float, r
 THETAS = np.concatenate([[0.0], np.exp(np.linspace(math.log(1e-3), math.log(1e3), 41))])
 
 
-def _best_theta(
-    p: Prepared, variant: Variant, q: np.ndarray, logdet: float, reml: bool, fine: bool = True
-) -> tuple[float, float]:
-    """Crossed ratio with the least deviance for a given Λ: no pass over data."""
-    m, n = _reduced(p, variant, q), p.fixed(variant.fold)[0, 0]
+def _best_theta(spectrum, logdet: float, score, thetas: np.ndarray = THETAS, fine: bool = True) -> tuple[float, float]:
+    """Least score over the crossed ratios for a given Λ, and its ratio: no pass over data.
 
-    def scores(thetas: np.ndarray) -> np.ndarray:
-        ld, xx, _, rss = _at_thetas(p, m, logdet, thetas)
-        return _deviances(ld, xx, rss, n, reml)
-
-    grid = THETAS if p.levels and variant.crossed else np.zeros(1)
-    values = scores(grid)
+    ``score`` takes what ``_at_thetas`` gives."""
+    grid = thetas if len(spectrum[1]) else np.zeros(1)
+    values = score(*_at_thetas(spectrum, logdet, grid))
     at = int(values.argmin())
     best = (float(values[at]), float(grid[at]))
     for _ in range(9 if fine and len(grid) > 1 else 0):
         lo, hi = grid[max(at - 1, 0)], grid[min(at + 1, len(grid) - 1)]
         grid = np.linspace(lo, hi, 17)
-        values = scores(grid)
+        values = score(*_at_thetas(spectrum, logdet, grid))
         at = int(values.argmin())
         best = min(best, (float(values[at]), float(grid[at])))
     return best
 
 
+def _by_deviance(p: Prepared, variant: Variant, reml: bool):
+    n = p.fixed(variant.fold)[0, 0]
+    return lambda logdets, xx, beta, rss: _deviances(logdets, xx, rss, n, reml)
+
+
+def _thetas(variant: Variant) -> np.ndarray:
+    return THETAS if variant.crossed else np.zeros(1)
+
+
 def _free(variant: Variant, r: int) -> list[int]:
     if not variant.intercept:
         return []
@@ -389,10 +397,27 @@ def _stencil(centre: np.ndarray, h: float, free: list[int]) -> list[np.ndarray]:
     return out
 
 
+def _step(gradient: np.ndarray, hess: np.ndarray, radius: float) -> np.ndarray:
+    """The least point of a quadratic within ``radius``, also of one that has no minimum."""
+    values, vectors = np.linalg.eigh(hess)
+    slope = vectors.T @ gradient
+
+    def at(shift: float) -> np.ndarray:
+        return -slope / np.maximum(values + shift, 1e-12 * (1 + np.abs(values).max()))
+
+    if values[0] > 0 and np.linalg.norm(at(0.0)) <= radius:
+        return vectors @ at(0.0)
+    low = max(0.0, -values[0])
+    high = low + np.linalg.norm(slope) / radius + 1e-300
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if np.linalg.norm(at(middle)) > radius else (low, middle)
+    return vectors @ at(high)
+
+
 def _next_centre(points: list[np.ndarray], values: list[float], centre: np.ndarray, h: float, free: list[int]):
-    """Next centre, stencil size and predicted gain: the minimum of a quadratic
-    through the stencil, if it has one nearby, else the best point."""
-    best = points[int(np.argmin(values))]
+    """Next centre, stencil size and predicted gain: the least point, within two stencils,
+    of the quadratic through the stencil."""
     x = np.array([(q - centre)[free] / h for q in points])
     d = x.shape[1]
     pairs = packed_pairs(d)
@@ -401,60 +426,83 @@ def _next_centre(points: list[np.ndarray], values: list[float], centre: np.ndarr
     hess = np.zeros((d, d))
     for c, (i, j) in enumerate(pairs):
         hess[i, j] = hess[j, i] = coef[1 + d + c] * (2 if i == j else 1)
-    inside = np.abs((best - centre)[free]).max() < h * 0.999
-    try:
-        if np.linalg.eigvalsh(hess).min() > 0:
-            step = -np.linalg.solve(hess, coef[1 : d + 1])
-            reach = np.abs(step).max()
-            if reach <= 2.0:
-                moved = centre.copy()
-                moved[free] += h * step
-                return moved, h * (0.15 if reach <= 0.7 else 0.6), float(step @ hess @ step) / 2
-    except np.linalg.LinAlgError:
-        pass
-    return best, h * (0.4 if inside else 1.4), math.inf
-
-
-def search(
-    p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds: int = 200, tol: float = 1e-6,
-    start: np.ndarray | None = None,
-) -> list[Solution]:
-    """Λ with the least deviance for every variant; all variants share each pass.
-
-    A coarse grid (or ``start``) gives the first centres; then every round
-    scores a small stencil around each centre and moves to the minimum of the
-    quadratic through it, until the predicted gain or the stencil is tiny. Raises
-    if that has not happened after ``rounds`` rounds.
+    step = _step(coef[1 : d + 1], hess, 2.0)
+    moved = centre.copy()
+    moved[free] += h * step
+    # the quadratic's value there, against the best point seen
+    gain = -(coef[0] + coef[1 : d + 1] @ step + step @ hess @ step / 2)
+    reach = np.linalg.norm(step)
+    return moved, h * (0.15 if reach <= 0.7 else 0.6 if reach < 1.99 else 1.4), float(max(gain, 0.0))
+
+
+def _settle(state: dict, free: dict, score, rounds: int, tol: float) -> None:
+    """Move every ``[centre, stencil size]`` of ``state`` to the least score nearby; all share each pass.
+
+    Every round scores a small stencil around each centre and moves to the minimum of the
+    quadratic through it, until the predicted gain or the stencil is tiny, or ``QUIET``
+    rounds in a row have gained next to nothing (with a variance of zero, whole curves of
+    points have the same score). A stencil without a point as good as the best so far is
+    given up for a smaller one around that. Raises if the search has not ended after
+    ``rounds`` rounds. ``score`` takes ``(key, point)`` pairs.
     """
-    r = p.r
-    state = {}
-    free = [_free(v, r) for v in variants]
-    if start is None:
-        points = [(i, x) for i in range(len(variants)) for x in _coarse(free[i], r)]
-        scored = _score(p, variants, points, reml, fine=False)
-        for i in range(len(variants)):
-            mine = [(scored[k][0], points[k][1]) for k in range(len(points)) if points[k][0] == i]
-            x = min(mine, key=lambda item: item[0])[1]
-            state[i] = [x, max(0.35 * np.abs(x).max(), 0.02)]
-    else:
-        state = {i: [start.copy(), max(0.1 * np.abs(start).max(), 0.02)] for i in range(len(variants))}
     open_ = [i for i in state if free[i]]
+    best, least, quiet = {}, dict.fromkeys(open_, math.inf), dict.fromkeys(open_, 0)
     for _ in range(rounds):
         if not open_:
-            break
+            return
         points = [(i, x) for i in open_ for x in _stencil(state[i][0], state[i][1], free[i])]
-        scored = _score(p, variants, points, reml)
+        scored = score(points)
         still = []
         for i in open_:
             rows = [k for k in range(len(points)) if points[k][0] == i]
-            values = [scored[k][0] for k in rows]
-            centre, h, gain = _next_centre([points[k][1] for k in rows], values, state[i][0], state[i][1], free[i])
-            state[i] = [centre, h]
-            if gain > 1e-9 and h > tol * (1 + np.abs(centre).max()):
+            values = [scored[k] for k in rows]
+            if min(values) > least[i] + 1e-9:
+                state[i] = [best[i], state[i][1] * 0.3]
+                gain = math.inf
+            else:
+                quiet[i] = quiet[i] + 1 if min(values) > least[i] - 1e-9 else 0
+                if min(values) <= least[i]:
+                    best[i], least[i] = points[rows[int(np.argmin(values))]][1], min(values)
+                *state[i], gain = _next_centre([points[k][1] for k in rows], values, state[i][0], state[i][1], free[i])
+            if gain <= 1e-9:
+                continue
+            if state[i][1] <= tol * (1 + np.abs(state[i][0]).max()) or quiet[i] >= QUIET:
+                state[i][0] = best[i]
+            else:
                 still.append(i)
         open_ = still
     if open_:
         raise RuntimeError("the variance parameters do not settle")
+
+
+def _first_state(x: np.ndarray) -> list:
+    return [x, max(0.35 * np.abs(x).max(), 0.02)]
+
+
+def search(
+    p: Prepared, variants: Sequence[Variant], reml: bool = True, rounds: int = 200, tol: float = 1e-6,
+) -> list[Solution]:
+    """Λ with the least deviance for every variant; all variants share each pass.
+
+    A coarse grid gives the first centres, then ``_settle`` moves them.
+    """
+    r = p.r
+    free = {i: _free(v, r) for i, v in enumerate(variants)}
+
+    def score(points, fine=True):
+        pieces = evaluate(p, [(variants[i], x) for i, x in points])
+        return [
+            _best_theta(_spectrum(p, _reduced(p, variants[i], q)), ld, _by_deviance(p, variants[i], reml), _thetas(variants[i]), fine)[0]
+            for (i, _), (q, ld) in zip(points, pieces, strict=True)
+        ]
+
+    points = [(i, x) for i in free for x in _coarse(free[i], r)]
+    scored = score(points, fine=False)
+    state = {}
+    for i in free:
+        mine = [(scored[k], points[k][1]) for k in range(len(points)) if points[k][0] == i]
+        state[i] = _first_state(min(mine, key=lambda item: item[0])[1])
+    _settle(state, free, score, rounds, tol)
     final = [state[i][0] for i in range(len(variants))]
     pieces = evaluate(p, list(zip(variants, final, strict=True)))
     return [
@@ -462,16 +510,12 @@ def search(
     ]
 
 
-def _score(p, variants, points, reml, fine=True):
-    pieces = evaluate(p, [(variants[i], x) for i, x in points])
-    return [_best_theta(p, variants[i], q, ld, reml, fine) for (i, _), (q, ld) in zip(points, pieces, strict=True)]
-
-
 def _solve(p: Prepared, variant: Variant, lam: np.ndarray, q: np.ndarray, logdet: float, reml: bool) -> Solution:
-    deviance, theta = _best_theta(p, variant, q, logdet, reml)
     m, n = _reduced(p, variant, q), p.fixed(variant.fold)[0, 0]
+    spectrum = _spectrum(p, m)
+    deviance, theta = _best_theta(spectrum, logdet, _by_deviance(p, variant, reml), _thetas(variant))
     width = p.p1 + 1
-    _, xx, beta, rss = (part[0] for part in _at_thetas(p, m, logdet, np.array([theta])))
+    _, xx, beta, rss = (part[0] for part in _at_thetas(spectrum, logdet, np.array([theta])))
     sigma2 = float(rss) / (n - len(xx) if reml else n)
     levels = len(p.levels)
     mode_cov = np.zeros((levels, levels))
@@ -645,71 +689,57 @@ def predict_mixed(p: Prepared, solutions: Sequence[Solution], out: str = "pred")
     return rows.withColumn(out, pred).drop("__fold", "__b", "__u", "effects")
 
 
-def profile_intervals(p: Prepared, s: Solution, level: float) -> np.ndarray:
-    """Likelihood-profile intervals of the fixed effects.
+def profile_intervals(p: Prepared, s: Solution, level: float, rounds: int = 200, tol: float = 1e-6) -> np.ndarray:
+    """Likelihood-profile intervals of the fixed effects, ``[low, high]`` per term.
 
-    One pass scores a grid of Λ around the estimate; for each Λ and a grid of
-    crossed ratios the deviance at a fixed coefficient is a closed form, so
-    the profile is the least value over the grid. Ends are as fine as the grid.
-    While an end's own Λ or ratio lies on the grid's rim, the grid is widened.
+    At given variance parameters, the values of a coefficient whose deviance lies within
+    the chi-square point of the least one are an interval in closed form. The profile
+    interval reaches as far as any of these, so each end is the farthest end over all
+    variance parameters, a variance of zero included. It is found by a search of its own,
+    begun from the best of a coarse grid and of the estimate; all ends share each pass.
     """
-    ml = search(p, [Variant(s.variant.fold)], reml=False, start=s.lam[np.tril_indices(p.r)])[0]
-    for wide in (1.0, 2.0, 4.0, 8.0, 16.0):
-        ends, inside = _profile(p, s, ml, level, wide)
-        if inside:
-            return ends
-    raise RuntimeError("the likelihood profile has no end")
-
-
-def _profile(p: Prepared, s: Solution, ml: Solution, level: float, wide: float) -> tuple[np.ndarray, bool]:
-    """Interval ends from a grid of the given width, and whether its rim played no part."""
-    base = ml.lam[np.tril_indices(p.r)]
-    if p.r == 1:
-        params = [base * f for f in np.exp(np.linspace(-0.7 * wide, 0.7 * wide, int(56 * wide) + 1))] + [np.zeros(1)]
-        rim = [i in (0, len(params) - 2) and base[0] > 0 for i in range(len(params))]
-    else:
-        steps = np.exp(np.linspace(-0.6 * wide, 0.6 * wide, 7 if wide == 1 else 11))
-        last = len(steps) - 1
-        cells = [(a, b, c) for a in range(last + 1) for b in range(last + 1) for c in range(last + 1)]
-        params = [base * steps[list(x)] for x in cells]
-        rim = [any(i in (0, last) and v != 0 for i, v in zip(x, base, strict=True)) for x in cells]
-    pieces = evaluate(p, [(s.variant, x) for x in params])
-    n = p.fixed(s.variant.fold)[0, 0]
-    crossed = p.levels and ml.theta > 0
-    thetas = ml.theta * np.exp(np.linspace(-0.9 * wide, 0.9 * wide, int(36 * wide) + 1)) if crossed else np.zeros(1)
-    if crossed:
-        thetas = np.r_[thetas, 0.0]
-    edge = np.isin(np.arange(len(thetas)), (0, len(thetas) - 2)) & bool(crossed)
-    on_rim = (np.array(rim)[:, None] | edge[None, :]).ravel()
+    variant = s.variant
+    ml = search(p, [variant], reml=False)[0]
+    n = p.fixed(variant.fold)[0, 0]
+    height = ml.deviance + dist.normal_ppf(0.5 + level / 2) ** 2
     move = np.eye(p.p1)
     move[0, 1:] = -p.shift
-    spots = [_at_thetas(p, _reduced(p, s.variant, q), logdet, thetas) for q, logdet in pieces]
-    ld, rss = np.concatenate([x[0] for x in spots]), np.concatenate([x[3] for x in spots])
-    centre = np.concatenate([x[2] for x in spots]) @ move.T
-    centre[:, 0] += p.y_shift
-    inverse = np.linalg.inv(np.concatenate([x[1] for x in spots]))
-    var = np.einsum("ij,tjk,ik->ti", move, inverse, move)
-    heights = ld + n * (1 + np.log(2 * math.pi * rss / n))
-    best, least = int(heights.argmin()), heights.min()
-    target = dist.normal_ppf(0.5 + level / 2) ** 2
-
-    def profile(j: int, value: float) -> np.ndarray:
-        grown = rss + (value - centre[:, j]) ** 2 / var[:, j]
-        return ld + n * (1 + np.log(2 * math.pi * grown / n))
-
-    ends, inside = np.zeros((p.p1, 2)), True
-    for j in range(p.p1):
-        middle, unit = centre[best, j], math.sqrt(var[best, j] * rss[best] / n)
-        for side, sign in enumerate((-1.0, 1.0)):
-            near, far = middle, middle + sign * unit
-            while profile(j, far).min() - least < target:
-                near, far = far, far + (far - middle)
-            for _ in range(60):  # halves the bracket to rounding
-                mid = (near + far) / 2
-                near, far = (near, mid) if profile(j, mid).min() - least >= target else (mid, far)
-            ends[j, side] = (near + far) / 2
-            inside &= not on_rim[int(profile(j, ends[j, side]).argmin())]
-    return ends, inside
+    middle = _original(p, ml)
+    unit = np.sqrt(np.diag(move @ ml.cov @ move.T))
+
+    def outward(logdets, xx, beta, rss):
+        """How far the low and high ends lie from the estimate, in standard errors. Where no
+        value is within the height, the root of what is missing counts against it."""
+        centre = beta @ move.T
+        centre[:, 0] += p.y_shift
+        var = np.einsum("ij,tjk,ik->ti", move, np.linalg.inv(xx), move)
+        room = var * (n / (2 * math.pi) * np.exp((height - logdets) / n - 1) - rss)[:, None]
+        reach = np.sign(room) * np.sqrt(np.abs(room))
+        return np.stack([middle - centre + reach, centre - middle + reach], axis=2) / unit[:, None]
+
+    ends = [(j, side) for j in range(p.p1) for side in (0, 1)]
+    free = dict.fromkeys(ends, _free(variant, p.r))
+
+    def score(points):
+        pieces = evaluate(p, [(variant, x) for _, x in points])
+        return [
+            _best_theta(_spectrum(p, _reduced(p, variant, q)), ld, lambda *at, e=e: -outward(*at)[:, e[0], e[1]], _thetas(variant))[0]
+            for (e, _), (q, ld) in zip(points, pieces, strict=True)
+        ]
+
+    starts = [ml.lam[np.tril_indices(p.r)], *_coarse(free[ends[0]], p.r)]
+    grid = _thetas(variant) if p.levels else np.zeros(1)
+    first = [
+        outward(*_at_thetas(_spectrum(p, _reduced(p, variant, q)), ld, grid)).max(axis=0)
+        for q, ld in evaluate(p, [(variant, x) for x in starts])
+    ]
+    state = {e: _first_state(starts[int(np.argmax([f[e] for f in first]))]) for e in ends}
+    _settle(state, free, score, rounds, tol)
+    found = score([(e, state[e][0]) for e in ends])
+    out = np.zeros((p.p1, 2))
+    for (j, side), value in zip(ends, found, strict=True):
+        out[j, side] = middle[j] + (1 if side else -1) * -value * unit[j]
+    return out
 
 
 def _ready(df: DataFrame, spec: MixedSpec, fold: str | None = None) -> Prepared:

@@ -175,7 +175,7 @@ def test_folds(spark):
     a = {r["k"]: r["fold"] for r in gram.assign_folds(df, ["k"], 10, 5).collect()}
     b = {r["k"]: r["fold"] for r in gram.assign_folds(df.repartition(5), ["k"], 10, 5).collect()}
     assert a == b and set(a.values()) == set(range(10))
-    exact = gram.assign_balanced_folds(df.repartition(6), ["k"], 10, 5, digits=2)
+    exact = gram.assign_balanced_folds(df.repartition(6), ["k"], 10, 5, bucket_rows=20)  # 256 buckets
     sizes = [r["count"] for r in exact.groupBy("fold").count().collect()]
     assert sum(sizes) == 1003 and max(sizes) - min(sizes) <= 1
 

@@ -141,6 +141,88 @@ def test_profile_interval(rows, frame):
         assert ml(table["x"][end] * x, one) - low == pytest.approx(3.841, abs=0.03)
 
 
+def nelder_mead(f, start, size=0.3, rounds=500):
+    """Plain downhill simplex."""
+    points = [np.array(start, float)] + [np.array(start, float) + size * e for e in np.eye(len(start))]
+    values = [f(x) for x in points]
+    for _ in range(rounds):
+        order = np.argsort(values)
+        points, values = [points[i] for i in order], [values[i] for i in order]
+        if values[-1] - values[0] < 1e-8:
+            break
+        middle = np.mean(points[:-1], axis=0)
+        trials = [middle + t * (points[-1] - middle) for t in (-1.0, -2.0, 0.5)]
+        found = [f(x) for x in trials[:2]]
+        if found[0] >= values[-1]:
+            found[0] = f(trials[2])
+            trials[0] = trials[2]
+        best = int(np.argmin(found))
+        if found[best] < values[-1]:
+            points[-1], values[-1] = trials[best], found[best]
+        else:
+            points = [points[0] + 0.5 * (x - points[0]) for x in points]
+            values = [f(x) for x in points]
+    return min(values)
+
+
+def dense_profile(pdf, spec, term=None, value=None):
+    """Least deviance from the full covariance matrix, one coefficient held fixed."""
+    names = ["(Intercept)", *spec.fixed.features]
+    x = np.column_stack([np.ones(len(pdf)), pdf[list(spec.fixed.features)]])
+    y = pdf["y"].to_numpy()
+    if term:
+        y = y - value * x[:, names.index(term)]
+        x = np.delete(x, names.index(term), axis=1)
+    z = np.column_stack([np.ones(len(pdf))] + ([pdf[spec.slope]] if spec.slope else []))
+    key = pdf[list(spec.group)].agg("|".join, axis=1).to_numpy()
+    s = pdf[spec.crossed].to_numpy() if spec.crossed else np.zeros(len(pdf))
+    same, level = key[:, None] == key[None, :], s[:, None] == s[None, :]
+
+    def deviance(params):
+        lam = mixed.relative_factor(params[:-1], z.shape[1])
+        v = np.eye(len(y)) + same * (z @ lam @ lam.T @ z.T) + bool(spec.crossed) * params[-1] ** 2 * level
+        vi = np.linalg.inv(v)
+        r = y - x @ np.linalg.solve(x.T @ vi @ x, x.T @ vi @ y)
+        return np.linalg.slogdet(v)[1] + len(y) * (1 + math.log(2 * math.pi * (r @ vi @ r) / len(y)))
+
+    size = 2 if z.shape[1] == 1 else 4
+    return min(nelder_mead(deviance, start) for start in (np.full(size, 0.5), np.full(size, 0.02)))
+
+
+def singular(pdf):
+    """The same rows with a response that no group has a part in."""
+    out = pdf.copy()
+    rng = np.random.default_rng(5)
+    out["y"] = 3 + 0.4 * out["x"] - 0.2 * out["h"] + rng.permutation(np.linspace(-1, 1, len(out)))
+    for column in (["g"], ["p"]):
+        out["y"] -= out.groupby(column)["y"].transform("mean") - (3 + 0.4 * out["x"] - 0.2 * out["h"]).groupby(out[column[0]]).transform("mean")
+    return out
+
+
+@pytest.mark.parametrize("flat", [False, True])
+def test_profile_with_a_slope_against_the_full_matrix(spark, frame, flat):
+    pdf = singular(frame) if flat else frame
+    fit = mixed.fit_mixed(spark.createDataFrame(pdf), SLOPE)
+    if flat:
+        assert np.abs(fit.solution.lam).max() < 1e-3 and fit.solution.theta < 1e-3
+    table = {t["term"]: t for t in fit.coefficients().collect()}
+    low = dense_profile(pdf, SLOPE)
+    for term in ("(Intercept)", "x", "h"):
+        assert table[term]["ci_low"] < table[term]["estimate"] < table[term]["ci_high"]
+        for end in ("ci_low", "ci_high"):
+            assert dense_profile(pdf, SLOPE, term, table[term][end]) - low == pytest.approx(3.8415, abs=2e-3)
+
+
+def test_search_returns_to_its_best_point():
+    """A quadratic's minimum that turns out worse does not end or mislead the search."""
+    def score(points):
+        return [float(np.sum(np.abs(x - [2.0, -1.0, 0.5]) ** 1.5) + (20 if x[0] > 2.6 else 0)) for _, x in points]
+
+    state = {0: [np.array([0.1, 0.1, 0.1]), 0.9]}
+    mixed._settle(state, {0: [0, 1, 2]}, score, 200, 1e-6)
+    np.testing.assert_allclose(state[0][0], [2.0, -1.0, 0.5], atol=1e-3)
+
+
 def test_r_squared(rows, frame):
     fit = mixed.fit_mixed(rows, SLOPE)
     g = fit.covariance()
