@@ -13,8 +13,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.gram import MAX_COLLECTED, add_partials, packed_pairs, quoted
@@ -60,6 +59,13 @@ class Models:
         return Models(**{f: getattr(self, f)[at] for f in self.__dataclass_fields__})
 
 
+def row_bits(row_key: Sequence[str], seed: int | str) -> Column:
+    """64 bits of a digest of the row key and the seed, as a long."""
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in row_key], F.lit(str(seed))))
+    high, low = (F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in (0, 1))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
 def poisson_one(row_hash: np.ndarray, replicate: np.ndarray) -> np.ndarray:
     """Poisson(1) counts per (row, replicate) from the row's 64-bit hash.
 
@@ -356,47 +362,72 @@ def best_plane(u, y, w, tau, far, b):
     return None
 
 
-def _nearest_task(scaling, models, rows_kept):
-    """Task function: the rows closest to each model's plane."""
+# Edges of the distances that a band may end at: quarter powers of two.
+BAND_STEPS, BAND_LOW = 256, -200
+
+
+def _counts_task(scaling, models):
+    """Task function: rows of each model by the logarithm of their distance from its plane."""
 
     def run(batches):
-        kept = [None] * len(models)
+        counts = np.zeros((len(models), BAND_STEPS))
         for u, y, base, part, lo in _blocks(batches, scaling, models):
-            off = np.where(base > 0, np.abs(y[:, None] - u @ part.beta.T), np.inf)
-            for m in range(len(part)):
-                near = np.argpartition(off[:, m], min(rows_kept, len(y) - 1))[: rows_kept + 1]
-                near = near[np.isfinite(off[near, m])]
-                block = np.column_stack([off[near, m], base[near, m], y[near], u[near]])
-                if kept[lo + m] is not None:
-                    block = np.concatenate([kept[lo + m], block])
-                kept[lo + m] = block[np.argsort(block[:, 0], kind="stable")[: rows_kept + 1]]
-        for m, block in enumerate(kept):
-            if block is not None and len(block):
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "model": pa.array([m] * len(block), pa.int32()),
-                        "off": pa.array(block[:, 0]),
-                        "row": pa.array(list(block[:, 1:]), pa.list_(pa.float64())),
-                    }
-                )
+            off = np.abs(y[:, None] - u @ part.beta.T)
+            with np.errstate(divide="ignore"):
+                step = np.clip(np.ceil(4 * np.log2(off)) - BAND_LOW, 0, BAND_STEPS - 1).astype(np.int64)
+            at = (step + np.arange(len(part)) * BAND_STEPS)[base > 0]
+            counts[lo : lo + len(part)] += np.bincount(at, minlength=len(part) * BAND_STEPS).reshape(len(part), -1)
+        yield pa.RecordBatch.from_pydict({"model": pa.array(range(len(models)), pa.int32()), "m": pa.array(list(counts), pa.list_(pa.float64()))})
 
     return run
 
 
-def nearest_rows(design: Design, models: Models, rows_kept: int) -> list[np.ndarray]:
-    """Per model the ``rows_kept + 1`` rows nearest its plane: ``[distance, weight, y, u…]``."""
-    found = (
-        design.read()
-        .mapInArrow(_nearest_task(design.scaling, models, rows_kept), "model int, off double, row array<double>")
-        .withColumn("at", F.row_number().over(W.partitionBy("model").orderBy("off", "row")))
-        .filter(F.col("at") <= rows_kept + 1)
-        .select("model", "off", "row")
-        .toArrow()
-    )
-    model, off = found.column("model").to_numpy(), found.column("off").to_numpy()
-    flat = found.column("row").combine_chunks().flatten().to_numpy().reshape(len(off), -1)
-    table = np.column_stack([off, flat])
-    return [table[model == m][np.argsort(off[model == m], kind="stable")] for m in range(len(models))]
+def band_widths(design: Design, models: Models, rows_kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per model the widest band about its plane that holds at most ``rows_kept`` rows (the
+    narrowest one, if that holds more; all rows, if there are no more), and the rows in it."""
+    partial = design.read().mapInArrow(_counts_task(design.scaling, models), "model int, m array<double>")
+    counts = add_partials(partial, "model", len(models), BAND_STEPS, design.parts).cumsum(axis=1)
+    last = np.maximum((counts <= rows_kept).sum(axis=1) - 1, 0)
+    width = np.exp2((last + BAND_LOW) / 4)
+    whole = counts[:, -1] <= rows_kept
+    return np.where(whole, np.inf, width), np.where(whole, counts[:, -1], counts[np.arange(len(models)), last])
+
+
+def _band_task(scaling, models):
+    """Task function: rows within each model's band, as ``[weight, y, u…]``."""
+
+    def run(batches):
+        for u, y, base, part, lo in _blocks(batches, scaling, models):
+            off = np.abs(y[:, None] - u @ part.beta.T)
+            row, model = np.nonzero((off < part.width[None, :]) & (base > 0))
+            if len(row):
+                block = np.column_stack([base[row, model], y[row], u[row]])
+                yield pa.RecordBatch.from_pydict({"model": pa.array(lo + model, pa.int32()), "row": pa.array(list(block), pa.list_(pa.float64()))})
+
+    return run
+
+
+def band_planes(design: Design, models: Models, far: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The exact plane over each model's band, and whether there is one: a task solves one
+    model at a time from that model's rows, and only planes reach the driver."""
+    tau, beta = models.tau, models.beta
+
+    def solve(key, table):
+        m = key[0].as_py()
+        block = table.column("row").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        block = block[np.lexsort(block.T[::-1])]  # the same walk under any partitioning
+        plane = _plane_of(block, tau[m], far[m], beta[m], unit)
+        return pa.table({"model": pa.array([m], pa.int32()), "plane": pa.array([plane], pa.list_(pa.float64()))})
+
+    rows = design.read().mapInArrow(_band_task(design.scaling, models), "model int, row array<double>")
+    # one model a task: the partitions must not be put together
+    dealt = rows.repartition(min(len(models), 2000), "model")
+    found = dealt.groupBy("model").applyInArrow(solve, "model int, plane array<double>").collect()
+    planes, solved = beta.copy(), np.zeros(len(models), bool)
+    for m, plane in found:
+        if plane is not None:
+            planes[m], solved[m] = plane, True
+    return planes, solved
 
 
 def far_step(base, u, y, models):
@@ -419,11 +450,11 @@ def finish_quantiles(
     """Exact optima near given planes, proven over all rows.
 
     Rows far from a plane keep their side, so they act as one linear term; the
-    rest is a small exact problem over a bounded number of nearest rows. A pass
-    then counts the far rows that changed side: none means the optimum over all
-    rows is found, else the new plane starts another round. A round that proves
-    no model and improves none looks at four times as many rows. Raises when
-    ``most_rows`` rows around a plane do not hold the proof.
+    rest is a small exact problem over the rows in a band, which a task solves for
+    each model. A pass then counts the far rows that changed side: none means the
+    optimum over all rows is found, else the new plane starts another round. A round
+    that proves no model and improves none looks at four times as many rows. Raises
+    when the ``most_rows`` rows around a plane do not hold the proof.
     """
     size = design.size
     keep = 100 + 40 * size
@@ -433,15 +464,12 @@ def finish_quantiles(
     while not exact.all():
         at = np.flatnonzero(~exact)
         part = replace(models, beta=beta).pick(at)
-        rows = nearest_rows(design, part, keep)
-        # a band ends before the last row kept, or holds all rows of the model
-        part = replace(part, width=np.array([r[-1, 0] if len(r) > keep else np.inf for r in rows]))
+        width, held = band_widths(design, part, keep)
+        if held.max() > most_rows:
+            raise RuntimeError(f"{int(held.max())} rows lie next to a quantile's plane")
+        part = replace(part, width=width)
         _, (far,), _ = weighted_pass(design, part, far_step, 0, 1, 0)
-        planes, solved = part.beta.copy(), np.zeros(len(at), bool)
-        for m, block in enumerate(rows):
-            found = _plane_of(block[block[:, 0] < part.width[m]], part.tau[m], far[m], part.beta[m], unit)
-            if found is not None:
-                planes[m], solved[m] = found, True
+        planes, solved = band_planes(design, part, far, unit)
         _, _, checked = weighted_pass(design, replace(part, beta=planes, before=part.beta), turned_step, 0, 0, 2)
         now = checked[:, 1] + (np.abs(planes) * unit).sum(axis=1)
         proven = solved & (checked[:, 0] == 0)
@@ -449,7 +477,7 @@ def finish_quantiles(
         beta[at[better]], loss[at[better]] = planes[better], now[better]
         exact[at[proven]] = True
         if not better.any():
-            if keep >= most_rows or all(np.isinf(part.width)):
+            if keep >= most_rows or all(np.isinf(width)):
                 raise RuntimeError("a quantile fit could not be proven exact")
             keep = min(4 * keep, most_rows)
     return replace(models, beta=beta), loss * design.y_scale
@@ -457,7 +485,7 @@ def finish_quantiles(
 
 def _plane_of(block, tau, far, start, unit):
     """The exact plane for one model's band, with the L1 penalty as extra rows."""
-    u, y, w = block[:, 3:], block[:, 2], block[:, 1]
+    u, y, w = block[:, 2:], block[:, 1], block[:, 0]
     level = np.full(len(block), tau)
     if unit.any():
         extra = len(unit) - 1

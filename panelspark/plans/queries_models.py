@@ -585,6 +585,70 @@ def quantile_flag_cv(spark, sf):
     return rounded(scored.select(*PANEL_KEY, "pred"), 4, "pred")
 
 
+# Rows below a plane count against those above; of a side's n sorted values the fit takes
+# number ceil(level * n).
+_SQL_AT = "list_sort(list(price))[CAST(ceil({level} * count(*)) AS BIGINT)]"
+
+
+@query(
+    "quantile_flag_lasso",
+    f"""WITH {SQL_FLAGGED}, n AS (SELECT any_try, count(*) AS n, quantile_disc(price, 0.3737) AS q FROM r GROUP BY any_try),
+        s AS (SELECT sign(max(q) FILTER (any_try = 1) - max(q) FILTER (any_try = 0)) * 5.3 AS pull FROM n),
+        q AS (SELECT any_try, list_sort(list(price))[CAST(ceil(0.3737 * count(*) + CASE any_try WHEN 0 THEN max(pull) ELSE -max(pull) END) AS BIGINT)] AS q
+              FROM r, s GROUP BY any_try),
+        e AS (SELECT max(q) FILTER (any_try = 0) AS a, max(q) FILTER (any_try = 1) AS b FROM q)
+        SELECT CAST(0.3737 AS DOUBLE) AS tau, '(Intercept)' AS term, round(a, 4) AS estimate FROM e
+        UNION ALL SELECT 0.3737, 'any_try', round(b - a, 4) FROM e""",
+)
+def quantile_flag_lasso(spark, sf):
+    """L1-penalised quantile regression on one flag: either side's quantile, moved by the penalty."""
+    return rounded(quantile.fit_quantile(flagged(spark, sf), ModelSpec("price", ["any_try"]), [0.3737], lam=5.3), 4, "estimate")
+
+
+@query(
+    "quantile_flag_sweep",
+    f"""WITH {SQL_FLAGGED}, folds AS (SELECT DISTINCT fold FROM r UNION ALL SELECT -1), taus AS (SELECT unnest({FLAG_TAUS}) AS tau),
+        q AS (SELECT f.fold, any_try, tau, {_SQL_AT.format(level="max(tau)")} AS pred FROM folds f, taus, r WHERE r.fold <> f.fold GROUP BY f.fold, any_try, tau),
+        e AS (SELECT tau, q.fold = -1 AS inside, sqrt(avg((price - pred) ** 2)) / avg(price) AS nrmse
+              FROM r JOIN q ON r.any_try = q.any_try AND (q.fold = -1 OR q.fold = r.fold) GROUP BY ALL)
+        SELECT CAST(tau AS DOUBLE) AS tau, round(max(nrmse) FILTER (inside), 8) AS insample, round(max(nrmse) FILTER (NOT inside), 8) AS outsample
+        FROM e GROUP BY tau""",
+)
+def quantile_flag_sweep(spark, sf):
+    """Errors within and out of folds at several levels, on one flag."""
+    found = quantile.quantile_sweep(flagged(spark, sf), ModelSpec("price", ["any_try"]), FLAG_TAUS)
+    return rounded(found, 8, "insample", "outsample")
+
+
+REPLICATES = 20
+_MIX = "CAST(CAST(xor({z}, {z} >> {by}) AS UHUGEINT) * CAST({factor} AS UHUGEINT) % CAST(18446744073709551616 AS UHUGEINT) AS UBIGINT)"
+
+
+@query(
+    "quantile_flag_boot",
+    f"""WITH {SQL_FLAGGED},
+        h AS (SELECT any_try, price, CAST(concat('0x', substr(md5(concat_ws('|', period, grp, member, '{SEED}')), 1, 16)) AS UBIGINT) AS h FROM r),
+        z0 AS (SELECT any_try, price, k, CAST((CAST(h AS UHUGEINT) + CAST(11400714819323198485 AS UHUGEINT) * CAST(k + 1 AS UHUGEINT)) % CAST(18446744073709551616 AS UHUGEINT) AS UBIGINT) AS z
+               FROM h, range({REPLICATES}) t(k)),
+        z1 AS (SELECT any_try, price, k, {_MIX.format(z="z", by=30, factor="13787848793156543929")} AS z FROM z0),
+        z2 AS (SELECT any_try, price, k, {_MIX.format(z="z", by=27, factor="10723151780598845931")} AS z FROM z1),
+        u AS (SELECT any_try, price, k, (xor(z, z >> 31) >> 11) / 9007199254740992.0::DOUBLE AS u FROM z2),
+        w AS (SELECT any_try, price, k, len([c FOR c IN {{cdf}} IF c <= u]) AS w FROM u),
+        c AS (SELECT *, sum(w) OVER (PARTITION BY k, any_try ORDER BY price ROWS UNBOUNDED PRECEDING) AS upto, sum(w) OVER (PARTITION BY k, any_try) AS whole FROM w),
+        q AS (SELECT k, any_try, min(price) FILTER (upto >= 0.373737 * whole) AS q FROM c GROUP BY k, any_try),
+        b AS (SELECT k, max(q) FILTER (any_try = 0) AS a, max(q) FILTER (any_try = 1) - max(q) FILTER (any_try = 0) AS b FROM q GROUP BY k),
+        f AS (SELECT quantile_disc(price, 0.373737) FILTER (any_try = 0) AS a, quantile_disc(price, 0.373737) FILTER (any_try = 1) AS b FROM r),
+        e AS (SELECT '(Intercept)' AS term, f.a AS est, s FROM f, (SELECT stddev_samp(a) AS s FROM b)
+              UNION ALL SELECT 'any_try', f.b - f.a, s FROM f, (SELECT stddev_samp(b) AS s FROM b))
+        SELECT term, round(est, 4) AS estimate, round(s, 4) AS std_error, round(est - 1.959963984540054 * s, 4) AS ci_low,
+               round(est + 1.959963984540054 * s, 4) AS ci_high FROM e""".replace("{cdf}", str([float(sum(np.exp(-1.0) / np.prod(np.arange(1.0, i + 1)) for i in range(k + 1))) for k in range(18)])),
+)
+def quantile_flag_boot(spark, sf):
+    """Bootstrap errors of a quantile regression on one flag; weights follow from digests of the keys."""
+    found = quantile.bootstrap_quantile(flagged(spark, sf), ModelSpec("price", ["any_try"]), PANEL_KEY, 0.373737, replicates=REPLICATES, seed=SEED)
+    return rounded(found, 4, "estimate", "std_error", "ci_low", "ci_high")
+
+
 @query("quantile_fit")
 def quantile_fit(spark, sf):
     return quantile.fit_quantile(M.members(spark, sf), WIDE, [0.5, 0.8])
@@ -704,6 +768,109 @@ def mixed_cv(spark, sf):
     return _errors(spark, mixed.cv_mixed(panel_rows(spark, sf), NESTED_X), "price", "mixed")
 
 
+# The eight top members of every group, by place: all groups have the same design, so that
+# the restricted fit is the mean and the covariance of the groups' own least-squares lines,
+# and the profile of a coefficient that of a normal mean.
+PLACED = mixed.MixedSpec(ModelSpec("mins", ["place"]), ["period", "grp"], slope="place")
+SQL_PLACED = f"""{M.SQL_TOP},
+placed AS (SELECT period, grp, mins, CAST(row_number() OVER (PARTITION BY period, grp ORDER BY mins DESC, member) AS DOUBLE) AS place FROM top),
+lines AS (SELECT period, grp, regr_intercept(mins, place) AS b0, regr_slope(mins, place) AS b1, avg(mins) AS m, regr_syy(mins, place) AS syy,
+                 regr_sxy(mins, place) AS sxy, regr_syy(mins, place) - regr_sxy(mins, place) * regr_sxy(mins, place) / regr_sxx(mins, place) AS rss
+          FROM placed GROUP BY period, grp),
+fit AS (SELECT count(*) AS g, avg(b0) AS b0, avg(b1) AS b1, var_samp(b0) AS s00, covar_samp(b0, b1) AS s01, var_samp(b1) AS s11,
+               sum(rss) / (count(*) * 6) AS s2, var_samp(m) AS vm, sum(syy) - sum(sxy) * sum(sxy) / (count(*) * 42.0) AS pooled FROM lines),
+comp AS (SELECT *, s00 - s2 * (1 / 8.0 + 20.25 / 42) AS g00, s01 + s2 * 4.5 / 42 AS g01, s11 - s2 / 42 AS g11, s00 * s11 - s01 * s01 AS det FROM fit)"""
+
+
+def placed_rows(spark, sf):
+    """Top members with their place in the group."""
+    return panel.top_k(M.members(spark, sf), ["period", "grp"], "mins", M.TOP, ["member"], rank="place").withColumn("place", F.col("place").cast("double"))
+
+
+@query(
+    "mixed_place_terms",
+    f"""WITH {SQL_PLACED},
+        t AS (SELECT '(Intercept)' AS term, b0 AS b, s00 AS s, g FROM comp UNION ALL SELECT 'place', b1, s11, g FROM comp)
+        SELECT term, round(b, 6) AS estimate, round(sqrt(s / g), 6) AS std_error, round(b / sqrt(s / g), 4) AS t_value,
+               round(b - sqrt(s * (g - 1) / g * (exp(3.841458820694124 / g) - 1)), 5) AS ci_low,
+               round(b + sqrt(s * (g - 1) / g * (exp(3.841458820694124 / g) - 1)), 5) AS ci_high FROM t""",
+)
+def mixed_place_terms(spark, sf):
+    """Fixed effects of a random intercept and slope, with profile intervals."""
+    terms = mixed.fit_mixed(placed_rows(spark, sf), PLACED).coefficients()
+    return rounded(rounded(rounded(terms, 6, "estimate", "std_error"), 4, "t_value"), 5, "ci_low", "ci_high")
+
+
+@query(
+    "mixed_place_variances",
+    f"""WITH {SQL_PLACED}
+        SELECT 'period:grp' AS factor, '(Intercept)' AS term, round(g00, 2) AS variance FROM comp UNION ALL
+        SELECT 'period:grp', 'place', round(g11, 3) FROM comp UNION ALL
+        SELECT 'period:grp', 'cov((Intercept),place)', round(g01, 2) FROM comp UNION ALL
+        SELECT 'Residual', '', round(s2, 3) FROM comp""",
+)
+def mixed_place_variances(spark, sf):
+    """Covariance of random intercepts and slopes, and the residual variance."""
+    found = mixed.fit_mixed(placed_rows(spark, sf), PLACED).variances()
+    fine = F.col("term").isin("place", "")
+    return found.withColumn("variance", F.when(fine, F.round("variance", 3)).otherwise(F.round("variance", 2)))
+
+
+@query(
+    "mixed_place_r_squared",
+    f"""WITH {SQL_PLACED}, v AS (SELECT b1 * b1 * 42.0 * g / (8 * g - 1) AS f, g00 + 9 * g01 + 25.5 * g11 AS r, s2 FROM comp)
+        SELECT round(f / (f + r + s2), 6) AS r2_marginal, round((f + r) / (f + r + s2), 6) AS r2_conditional FROM v""",
+)
+def mixed_place_r_squared(spark, sf):
+    return rounded(mixed.fit_mixed(placed_rows(spark, sf), PLACED).r_squared(), 6, "r2_marginal", "r2_conditional")
+
+
+@query(
+    "mixed_place_ranef",
+    f"""WITH {SQL_PLACED},
+        u AS (SELECT concat(period, ':', grp) AS grp,
+                     (g01 * (s11 * (l.b0 - c.b0) - s01 * (l.b1 - c.b1)) + g11 * (s00 * (l.b1 - c.b1) - s01 * (l.b0 - c.b0))) / det AS mode,
+                     sqrt(g11 - (g01 * g01 * s11 - 2 * g01 * g11 * s01 + g11 * g11 * s00) / det) AS sd FROM lines l, comp c)
+        SELECT 'period:grp' AS factor, grp, 'place' AS term, round(mode, 4) + 0.0 AS condval, round(sd, 4) AS condsd,
+               round(mode - 2 * sd, 4) + 0.0 AS lower, round(mode + 2 * sd, 4) + 0.0 AS upper FROM u""",
+)
+def mixed_place_ranef(spark, sf):
+    """Conditional modes of the slope with their deviations, and the ends of the bars."""
+    bars = report.caterpillar(mixed.fit_mixed(placed_rows(spark, sf), PLACED).modes(), "place").drop("display_order")
+    return bars.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("condval", "condsd", "lower", "upper")})
+
+
+@query(
+    "mixed_place_lrt",
+    f"""WITH {SQL_PLACED},
+        d AS (SELECT g * (ln(det) + ln(8 * 42.0) - 2 * ln(s2)) + 2 * ln(g) - ln(det) + 2 * ln(s2)
+                       + (8 * g - 2) * (1 + ln(2 * pi() * s2)) AS whole, g, 8 * vm AS w, pooled / (7 * g - 1) AS e FROM comp),
+        l AS (SELECT whole, g * ln(w / e) + ln(8 * g * e / w) + ln(42.0 * g) + (8 * g - 2) * (1 + ln(2 * pi() * e)) AS less FROM d)
+        SELECT '<none>' AS term, round(-whole / 2, 4) AS log_lik, CAST(NULL AS DOUBLE) AS lrt, CAST(NULL AS INTEGER) AS df,
+               CAST(NULL AS DOUBLE) AS p_value FROM l UNION ALL
+        SELECT 'place in (1 + place | period:grp)', round(-less / 2, 4), round(less - whole, 4), 2, round(exp(-(less - whole) / 2), 8) FROM l""",
+)
+def mixed_place_lrt(spark, sf):
+    """Likelihood-ratio test of the random slope."""
+    tests = mixed.random_term_tests(placed_rows(spark, sf), PLACED)
+    return rounded(rounded(tests, 4, "log_lik", "lrt"), 8, "p_value")
+
+
+@query(
+    "mixed_place_cv",
+    f"""WITH {SQL_PLACED}, cells AS (SELECT *, {_sql_fold(SEED, "period, grp")} AS fold FROM lines),
+        p AS (SELECT f.fold, avg(b0) AS b0, avg(b1) AS b1 FROM (SELECT DISTINCT fold FROM cells) f JOIN cells c ON c.fold <> f.fold GROUP BY f.fold),
+        s AS (SELECT mins AS y, p.b0 + p.b1 * place AS pred FROM placed JOIN cells USING (period, grp) JOIN p USING (fold))
+        SELECT count(*) AS n, round(corr(y, pred) ** 2, 6) AS sq_corr, round(sqrt(avg((y - pred) ** 2)), 5) AS rmse,
+               round(sqrt(avg((y - pred) ** 2)) / avg(y), 7) AS nrmse, 'place' AS model FROM s""",
+)
+def mixed_place_cv(spark, sf):
+    """Errors of predictions for groups that the model has not seen: folds of whole groups."""
+    rows = gram.assign_folds(placed_rows(spark, sf), ["period", "grp"], K, SEED)
+    found = _errors(spark, mixed.cv_mixed(rows, PLACED), "mins", "place").drop("ssr")
+    return rounded(rounded(rounded(found, 6, "sq_corr"), 5, "rmse"), 7, "nrmse")
+
+
 # --- clusters ---------------------------------------------------------------------------------------------
 
 
