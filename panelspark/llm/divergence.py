@@ -27,7 +27,7 @@ _TERM = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if 0x41 <= b <= 0x5A or 0x61
 BLOCK = 1 << 21  # bytes of text cut at a time
 TERMS = 400_000  # different terms that a task holds before it hands on what it has
 ENTRIES = 3_000_000  # counts that a task holds before it adds them up
-_COUNTS = "lang string, term string, docs bigint, sources array<string>, counts array<bigint>"
+_COUNTS = "lang string, term string, source string, n bigint, docs bigint"
 
 
 def collapsed(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -76,28 +76,29 @@ class _Tally:
         self.keys, self.values, self.held = [keys[first]], [values], len(first)
 
     def rows(self):
-        """All counts, added up, as Arrow batches with one row for each term of a language;
-        then starts anew."""
+        """All counts, added up, as Arrow batches; then starts anew. A term's documents in a
+        language stand beside its count in one of the sources, and are 0 beside the others."""
         self.add_up()
         term, slot, value = self.keys[0] >> 32, self.keys[0] & 0xFFFFFFFF, self.values[0]
         names: dict = {}
         lang = np.array([names.setdefault(s[0], len(names)) for s in self.slots], np.int64)
         whole = np.array([s[1] is None for s in self.slots], bool)
-        # A term's documents in the language come first, then its sources.
+        # The documents of a term in a language come right before its sources.
         order = np.lexsort((~whole[slot], lang[slot], term))
         term, slot, value = term[order], slot[order], value[order]
         first = np.flatnonzero(whole[slot])
-        terms = pa.array(self.terms, pa.binary()).cast(pa.string()).take(pa.array(term[first]))
-        langs = pa.array(list(names), pa.string()).take(pa.array(lang[slot[first]]))
-        docs, sources = value[first], pa.array([s[1] for s in self.slots], pa.string())
-        offsets = np.append(first, len(slot)) - np.arange(len(first) + 1)
-        slot, value = np.delete(slot, first), np.delete(value, first)
-        for at in range(0, len(first), 50_000):
-            to = min(len(first), at + 50_000)
-            inner = pa.array((offsets[at : to + 1] - offsets[at]).astype(np.int32))
-            mine = slice(offsets[at], offsets[to])
-            lists = [pa.ListArray.from_arrays(inner, v) for v in (sources.take(pa.array(slot[mine])), pa.array(value[mine]))]
-            yield pa.RecordBatch.from_arrays([langs[at:to], terms[at:to], pa.array(docs[at:to]), *lists], ["lang", "term", "docs", "sources", "counts"])
+        docs = np.zeros(len(term), np.int64)
+        docs[first + 1] = value[first]
+        # Rows of a source side by side: the shuffle files compress these best.
+        own = np.delete(np.arange(len(term)), first)
+        own = own[np.lexsort((term[own], slot[own]))]
+        terms = pa.array(self.terms, pa.binary()).cast(pa.string())
+        langs, sources = (pa.array([s[i] for s in self.slots], pa.string()) for i in (0, 1))
+        for at in range(0, len(own), 100_000):
+            part = own[at : at + 100_000]
+            of = pa.array(slot[part])
+            columns = [langs.take(of), terms.take(pa.array(term[part])), sources.take(of), pa.array(value[part]), pa.array(docs[part])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "source", "n", "docs"])
         self.restart()
 
 
@@ -168,10 +169,6 @@ def term_counts(docs: DataFrame, least_docs: int = 3, **columns: str) -> DataFra
     are read, long ones in parts. Texts are tokenized once per language; tasks add up what
     they count before the shuffle by term."""
     counted = collapsed(docs, **columns).mapInArrow(_count, _COUNTS).repartition("lang", "term")
-    each = F.posexplode(F.arrays_zip("sources", "counts")).alias("at", "own")
-    counted = counted.select("lang", "term", "docs", each).select(
-        "lang", "term", F.col("own.sources").alias("source"), F.col("own.counts").alias("n"), F.when(F.col("at") == 0, F.col("docs")).alias("docs")
-    )
     counted = counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     by_term = counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("by_source"))
     return by_term.where(F.col("docs") >= least_docs).select("lang", "term", "n", "by_source")
