@@ -1,7 +1,8 @@
 """Selection of variables: post-selection inference and model averaging.
 
 Everything here reads the collected moments; the rows are passed once. All
-models are listed and scored in parallel.
+models are listed and scored in parallel, or with many terms those that hold a
+proven share of the posterior mass (``model_search``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from panelspark.operators.linear import (
     INTERCEPT, best_by_criterion, centred, cv_curve, held_out_mse, lambda_grid, lasso_paths, penalised_cv_many,
     predict_by_fold, standardise,
 )
+from panelspark.operators.model_search import search_models
 
 # --- post-selection inference -------------------------------------------------
 
@@ -355,21 +357,33 @@ def _narrow(spark: SparkSession, components: DataFrame, brackets: dict, cells: i
         brackets[f, t, q] = [lo + (hi - lo) * (top - 1) / cells, lo + (hi - lo) * top / cells]
 
 
-def fit_bayes(df: DataFrame, spec: ModelSpec, c: float | None = None):
-    """Evidence and the probabilities of all models on all rows."""
+def weighed_models(spark: SparkSession, evidence: Mapping[int, Evidence], share: float = 0.99, max_terms: int = 25) -> DataFrame:
+    """Probabilities of all models of up to ``max_terms`` terms; of more terms, of models that
+    together have at least ``share`` of the mass. ``proven`` is the share that they have, and
+    probabilities are relative to them."""
+    if len(next(iter(evidence.values())).sy) <= max_terms:
+        return model_probabilities(enumerate_models(spark, evidence, max_terms)).withColumn("proven", F.lit(1.0))
+    models, proven = search_models(spark, evidence, share)
+    found = F.create_map(*[F.lit(v) for item in proven.items() for v in item])
+    return model_probabilities(models).withColumn("proven", found[F.col("fold")])
+
+
+def fit_bayes(df: DataFrame, spec: ModelSpec, c: float | None = None, share: float = 0.99):
+    """Evidence and the probabilities of the models on all rows, as ``weighed_models`` gives them."""
     moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
     evidence = {-1: Evidence.of(moments.total, moments.shift, moments.total[0, 0] * 0.01 if c is None else c)}
-    return evidence, model_probabilities(enumerate_models(df.sparkSession, evidence))
+    return evidence, weighed_models(df.sparkSession, evidence, share)
 
 
 def cv_bayes(
-    df: DataFrame, spec: ModelSpec, fold: str = "fold", c: float | None = None, keep: Sequence[str] = ()
+    df: DataFrame, spec: ModelSpec, fold: str = "fold", c: float | None = None, keep: Sequence[str] = (), share: float = 0.99
 ) -> DataFrame:
-    """Out-of-fold predictions from model-averaged coefficients of every training set."""
+    """Out-of-fold predictions from model-averaged coefficients of every training set; the
+    models are those of ``weighed_models``."""
     rows = design_rows(df, spec, [fold, *keep])
     moments = collect_moments(rows, [*spec.terms, spec.label], [fold])
     evidence = {k: e for k, e in evidence_by_fold(moments, c).items() if k >= 0}
-    probabilities = model_probabilities(enumerate_models(df.sparkSession, evidence))
+    probabilities = weighed_models(df.sparkSession, evidence, share)
 
     def average(batches):
         for batch in batches:

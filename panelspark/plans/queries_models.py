@@ -483,6 +483,25 @@ def top_models(spark, sf):
     return select.top_models(probabilities, LONG.terms, 10)
 
 
+# The measures and a flag for every group but the first: more terms than can be listed in
+# all combinations.
+MANY_GROUPS = list(range(1, 25))
+MANY = ModelSpec("price", [*WIDE.features, *[f"grp_{g}" for g in MANY_GROUPS]])
+
+
+def many_rows(spark, sf):
+    return folded(spark, sf).withColumns({f"grp_{g}": (F.col("grp") == g).cast("double") for g in MANY_GROUPS})
+
+
+@query("bayes_many")
+def bayes_many(spark, sf):
+    """Averaged coefficients over the models that hold 99 % of the posterior mass, of 29 terms."""
+    evidence, weighed = select.fit_bayes(many_rows(spark, sf), MANY)
+    weighed = pinned(weighed)
+    averaged = select.averaged_coefficients(weighed, evidence, MANY.terms).drop("fold")
+    return averaged.crossJoin(F.broadcast(weighed.select("proven").limit(1)))
+
+
 # One weak term: two models, their evidence and shrunken slope per held-out fold.
 WEAK = ModelSpec("price", ["weak"])
 SQL_WEAK = f"""{SQL_FOLDED},
