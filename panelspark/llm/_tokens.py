@@ -4,19 +4,21 @@ Neither of the two kinds of vocabulary merges across a blank that stands between
 words, so a text's ids are those of its words in turn. Words are looked up in a
 dictionary that lives as long as the Python worker and holds a bounded number of
 them; what is missing is encoded in one batch by the library. A text in which the
-cut would not be safe (one with odd control characters) is encoded as a whole.
+cut would not be safe (one with odd control characters, or with an added token of the
+vocabulary written out in it) is encoded as a whole.
 """
 
 from __future__ import annotations
 
 import re
-import struct
 from functools import lru_cache
 
+import numpy as np
 from tokenizers import Tokenizer
 
-#: Words that a worker remembers for good (about 200 MB), and for a while.
-REMEMBERED, RECENT = 1_000_000, 200_000
+#: Words that a worker remembers for good, and for a while (together about 200 MB), and
+#: the length from which a word is forgotten with its batch.
+REMEMBERED, RECENT, LONG = 800_000, 200_000, 64
 
 # A boundary before a single blank between two words: no piece reaches across it.
 _SINGLE_BLANK = re.compile(r"(?<=\S)(?= \S)")
@@ -26,59 +28,82 @@ _ODD_BLANKS = "\x1c\x1d\x1e\x1f"
 _BEYOND = re.compile("[^\x00-įı-ſ]")
 
 
-class _Memory(dict):
-    """Words met first stay; later ones are kept until there are too many."""
-
-    def __init__(self):
-        super().__init__()
-        self.recent: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.recent[word]
-
-    def keep(self, word: str, ids: bytes) -> None:
-        into = self if len(self) < REMEMBERED and len(word) <= 64 else self.recent
-        into[word] = ids
+class _Memory:
+    """Ids of words, each with ``blank`` before it. Words met first stay; of later ones the
+    newest go when there are too many. ``apart`` tells that a blank between two words
+    leaves both their ids as they are here."""
+
+    def __init__(self, library: Tokenizer, blank: str, apart: bool):
+        self.library, self.blank, self.apart = library, blank, apart
+        self.ids: dict[str, bytes] = {}
+        self.passing: list[str] = []
+
+    def learn(self, words: set[str]) -> None:
+        """Make sure that the words of a batch are known."""
+        for word in self.passing:
+            del self.ids[word]
+        while len(self.ids) > REMEMBERED + RECENT:
+            for _ in range(RECENT):
+                self.ids.popitem()
+        missing = words.difference(self.ids)
+        self.passing = [w for w in missing if len(w) > LONG]
+        # Words go to the library many at a time, as one text; what is not one word goes alone.
+        alone = [w for w in missing if not self.apart or len(w) > LONG or w.split() != [w] or any(c in w for c in _ODD_BLANKS)]
+        together = list(missing.difference(alone))
+        for at in range(0, len(together), 512):
+            self._together(together[at : at + 512])
+        for at in range(0, len(alone), 512):
+            part = alone[at : at + 512]
+            for word, found in zip(part, self.library.encode_batch_fast([self.blank + w for w in part], add_special_tokens=False), strict=True):
+                self.ids[word] = np.array(found.ids, "<u4").tobytes()
+
+    def _together(self, words: list[str]) -> None:
+        """Ids of words from those of a text of them, by where in it each id ends."""
+        found = self.library.encode(self.blank + " ".join(words), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1 + len(self.blank)
+        reach = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 1]
+        cuts = np.concatenate([[0], np.searchsorted(reach, ends, "right")])
+        ids = np.array(found.ids, "<u4").tobytes()
+        for word, a, b in zip(words, (4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist(), strict=True):
+            self.ids[word] = ids[a:b]
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers."""
+    """Ids as little-endian unsigned 32-bit integers, as the library gives them for whole texts."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
         blanks_vanish = self.library.normalizer is not None and not self.library.encode(" ", add_special_tokens=False).ids
         self.cut = self._words if blanks_vanish else self._spaced
-        self.memory = _Memory()
+        self.plain, self.spaced = _Memory(self.library, "", blanks_vanish), _Memory(self.library, " ", True)
+
+    def _whole(self, text: str, low: str) -> bool:
+        return any(a in low for a in self.added) or any(c in text for c in _ODD_BLANKS)
 
-    def _words(self, text: str) -> list[str]:
+    def _words(self, text: str) -> tuple[list[str], list[str]]:
         """For vocabularies that drop blanks and case."""
-        if any(c in text for c in _ODD_BLANKS):
-            return [text]
-        return (text if _BEYOND.search(text) else text.lower()).split()
-
-    def _spaced(self, text: str) -> list[str]:
-        """For byte-level vocabularies: words with the blank before them."""
-        if any(c in text for c in _ODD_BLANKS):
-            return [text]
+        low = text.lower()
+        if self._whole(text, low):
+            return [text], []
+        return (text if _BEYOND.search(text) else low).split(), []
+
+    def _spaced(self, text: str) -> tuple[list[str], list[str]]:
+        """For byte-level vocabularies: the first word, and those with a blank before them."""
+        if self._whole(text, text.lower()):
+            return [text], []
         if len(text.split()) != text.count(" ") + text.count("\n") + 1:  # blanks side by side, or others
-            return _SINGLE_BLANK.split(text)
+            first, *rest = _SINGLE_BLANK.split(text)
+            return [first], [w[1:] for w in rest]
         first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+        return [first], rest
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
-        memory = self.memory
-        if len(memory.recent) > RECENT:
-            memory.recent.clear()
-        known = memory.recent
-        missing = [w for w in set().union(*cut) if w not in memory and w not in known]
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for word, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = found.ids
-                memory.keep(word, struct.pack(f"<{len(ids)}I", *ids))
-        return [b"".join(map(memory.__getitem__, words)) for words in cut]
+        for memory, at in ((self.plain, 0), (self.spaced, 1)):
+            memory.learn(set().union(*[c[at] for c in cut]))
+        plain, spaced = self.plain.ids.__getitem__, self.spaced.ids.__getitem__
+        return [b"".join(map(plain, first)) + b"".join(map(spaced, rest)) for first, rest in cut]
 
 
 @lru_cache(maxsize=4)

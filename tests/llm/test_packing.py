@@ -17,7 +17,6 @@ BYTE = public_tokenizers.path("byte_bpe_50k.json")
 
 def library(path):
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
     return lambda t: np.array(found.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
@@ -31,6 +30,16 @@ def test_encoder_on_documents(spark, path):
     assert OWN[path].encode(texts) == [WHOLE[path](t) for t in texts]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("'sIİΣßÉé́A0.|<>end"), st.characters(exclude_categories=["Cs"])), max_size=12), max_size=30))
+def test_words_learned_together(path, words):
+    """Words that meet in one call of the library have the ids that they have alone."""
+    own = _tokens.Encoder(path)
+    assert own.encode([" ".join(words), " ".join(words[::-1])]) == [WHOLE[path](" ".join(w)) for w in (words, words[::-1])]
+    assert own.encode(words) == [WHOLE[path](w) for w in words]
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 @settings(max_examples=600, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\x1c\x85\xa0 'sİΣßÉé́A0.|<>endoftext"), st.characters(exclude_categories=["Cs"])), max_size=40))
@@ -40,7 +49,7 @@ def test_encoder_on_any_text(path, text):
 
 def test_encoder_special_and_long():
     for path in (WORD, BYTE):
-        for text in ("<|endoftext|> a <|startoftext|>", "x" * 5000 + " b", "", "a  b   c", " a ", "one\ntwo \n three"):
+        for text in ("<|endoftext|> a <|startoftext|>", "hello <|endoftext|> there", "a<|EndOfText|>b  c", "<|endoftext|>\u0338 x", "x" * 5000 + " b", "", "a  b   c", " a ", "one\ntwo \n three"):
             assert OWN[path].encode([text, text]) == [WHOLE[path](text)] * 2
 
 
