@@ -177,6 +177,37 @@ def ols_summary(spark, sf):
     return rounded(out, 3, "f_value")
 
 
+# Two terms with next to no effect, so that tail areas are of ordinary size. A Student tail is
+# a finite sum for whole degrees of freedom, another one for even than for odd; an F tail with
+# two terms is a power.
+SQL_SLIGHT = f"""{M.SQL_MEMBERS},
+c AS (SELECT grp - avg(grp) OVER () AS x, period - avg(period) OVER () AS z, price - avg(price) OVER () AS y FROM members),
+s AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(x * x) AS xx, sum(x * z) AS xz, sum(z * z) AS zz, sum(x * y) AS xy, sum(z * y) AS zy, sum(y * y) AS yy FROM c),
+b AS (SELECT *, xx * zz - xz * xz AS det, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS bx, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS bz FROM s),
+r AS (SELECT *, (yy - bx * xy - bz * zy) AS rss, n - 3 AS df FROM b),
+t AS (SELECT 'grp' AS term, bx * bx / (rss / df * zz / det) AS t2, df FROM r UNION ALL SELECT 'period', bz * bz / (rss / df * xx / det), df FROM r),
+k AS (SELECT unnest(range(0, CAST(df AS BIGINT) // 2 + 1)) AS k FROM r),
+sums AS (
+  SELECT term, t2, df,
+         sum(CASE WHEN k < df / 2 THEN exp(lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1) + k * ln(df / (df + t2))) ELSE 0 END) AS even,
+         sum(CASE WHEN k >= 1 AND k <= (df - 1) / 2 THEN exp(lgamma(greatest(k, 1)) + lgamma(0.5) - ln(2) - lgamma(k + 0.5) + (k - 0.5) * ln(df / (df + t2))) ELSE 0 END) AS odd
+  FROM t, k GROUP BY term, t2, df)"""
+
+
+@query(
+    "ols_p_values",
+    f"""WITH {SQL_SLIGHT}
+        SELECT term, round(1 - CASE WHEN CAST(df AS BIGINT) % 2 = 0 THEN sqrt(t2 / (df + t2)) * even
+                               ELSE 2 / pi() * (atan(sqrt(t2 / df)) + sqrt(t2 / (df + t2)) * odd) END, 7) AS p_value FROM sums
+        UNION ALL SELECT 'F', round(pow(rss / yy, df / 2), 7) FROM r""",
+)
+def ols_p_values(spark, sf):
+    """Two-sided tail areas of two weak terms, and that of both together."""
+    fit = linear.fit_ols(M.members(spark, sf), ModelSpec("price", ["grp", "period"]))
+    both = fit.summary(spark).select(F.lit("F").alias("term"), F.col("f_p_value").alias("p_value"))
+    return rounded(fit.tidy(spark).filter("term <> '(Intercept)'").select("term", "p_value").unionByName(both), 7, "p_value")
+
+
 @query(
     "ols_cv",
     f"""WITH {SQL_ONE}
@@ -470,6 +501,39 @@ def model_scores(spark, sf):
     return rounded(rounded(named, 4, "log_post"), 6, "prob")
 
 
+SQL_PROBABLE = f"""{SQL_SCORES},
+pr AS (SELECT included, log_post, exp(log_post - m) / sum(exp(log_post - m)) OVER () AS prob FROM sc, (SELECT max(log_post) AS m FROM sc)),
+co AS (SELECT included, log_post, prob, n * 0.01 / (1 + n * 0.01) * CASE included WHEN '1,0' THEN xy / xx WHEN '1,1' THEN bx ELSE 0 END AS b1,
+              n * 0.01 / (1 + n * 0.01) * CASE included WHEN '0,1' THEN zy / zz WHEN '1,1' THEN bz ELSE 0 END AS b2 FROM pr, t),
+mean AS (SELECT avg(price) AS my, avg(mins) AS m1, avg(made) AS m2 FROM members)"""
+
+
+@query(
+    "model_averages_two",
+    f"""WITH {SQL_PROBABLE}
+        SELECT '(Intercept)' AS term, round(sum(prob * (my - b1 * m1 - b2 * m2)), 4) AS estimate, round(sum(prob), 6) AS margpp FROM co, mean
+        UNION ALL SELECT 'mins', round(sum(prob * b1), 4), round(sum(CASE WHEN included IN ('1,0', '1,1') THEN prob END), 6) FROM co
+        UNION ALL SELECT 'made', round(sum(prob * b2), 4), round(sum(CASE WHEN included IN ('0,1', '1,1') THEN prob END), 6) FROM co""",
+)
+def model_averages_two(spark, sf):
+    """Averaged coefficients and inclusion probabilities of two terms."""
+    evidence, probabilities = select.fit_bayes(M.members(spark, sf), TWO)
+    averaged = select.averaged_coefficients(probabilities, evidence, TWO.terms).select("term", "estimate", "margpp")
+    return rounded(rounded(averaged, 4, "estimate"), 6, "margpp")
+
+
+@query(
+    "top_models_two",
+    f"""WITH {SQL_PROBABLE}
+        SELECT CASE included WHEN '0,0' THEN '' WHEN '1,0' THEN 'mins' WHEN '0,1' THEN 'made' ELSE 'mins,made' END AS model,
+               round(log_post, 4) AS log_post, round(prob, 6) AS prob FROM pr ORDER BY log_post DESC LIMIT 2""",
+)
+def top_models_two(spark, sf):
+    """The two most probable models by the names of their terms."""
+    _, probabilities = select.fit_bayes(M.members(spark, sf), TWO)
+    return rounded(rounded(select.top_models(probabilities, TWO.terms, 2), 4, "log_post"), 6, "prob")
+
+
 @query("model_averages")
 def model_averages(spark, sf):
     """Averaged coefficients, intervals and inclusion probabilities over all models."""
@@ -851,11 +915,12 @@ def mixed_place_r_squared(spark, sf):
                      (g01 * (s11 * (l.b0 - c.b0) - s01 * (l.b1 - c.b1)) + g11 * (s00 * (l.b1 - c.b1) - s01 * (l.b0 - c.b0))) / det AS mode,
                      sqrt(g11 - (g01 * g01 * s11 - 2 * g01 * g11 * s01 + g11 * g11 * s00) / det) AS sd FROM lines l, comp c)
         SELECT 'period:grp' AS factor, grp, 'place' AS term, round(mode, 4) + 0.0 AS condval, round(sd, 4) AS condsd,
-               round(mode - 2 * sd, 4) + 0.0 AS lower, round(mode + 2 * sd, 4) + 0.0 AS upper FROM u""",
+               round(mode - 2 * sd, 4) + 0.0 AS lower, round(mode + 2 * sd, 4) + 0.0 AS upper,
+               CAST(row_number() OVER (ORDER BY mode DESC, grp) AS INTEGER) AS display_order FROM u""",
 )
 def mixed_place_ranef(spark, sf):
-    """Conditional modes of the slope with their deviations, and the ends of the bars."""
-    bars = report.caterpillar(mixed.fit_mixed(placed_rows(spark, sf), PLACED).modes(), "place").drop("display_order")
+    """Conditional modes of the slope with their deviations, the ends of the bars and their order."""
+    bars = report.caterpillar(mixed.fit_mixed(placed_rows(spark, sf), PLACED).modes(), "place")
     return bars.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("condval", "condsd", "lower", "upper")})
 
 

@@ -8,7 +8,9 @@ from panelspark.functions import columns as C
 from panelspark.operators import clean, explore, gram, panel
 from panelspark.plans import mapping as M
 from panelspark.plans.registry import query
+from panelspark.session import scratch_path
 from panelspark.sources import table_reader
+from panelspark.sources.readers import literal_table, read_delimited
 
 KEYS = ["period", "grp"]
 
@@ -20,6 +22,31 @@ def rounded(df, digits: int, *columns: str):
 # --- scans and projections ---------------------------------------------------
 
 
+@query(
+    "delimited_files",
+    """WITH labels(region, label) AS (VALUES (0, 'north'), (1, 'east'), (2, 'south'), (3, 'west')),
+       rows AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_nationkey END AS nation,
+                       concat('Supplier "', s_suppkey, '", Ltd') AS name FROM supplier)
+       SELECT id, nation, name, coalesce(label, 'none') AS label FROM rows LEFT JOIN labels ON region = nation WHERE id >= 3""",
+)
+def delimited_files(spark, sf):
+    """A table written as delimited files with other columns, blanks and quotes, read by the
+    names in their header, filtered at the scan, and labelled from a literal table."""
+    supplier = table_reader(spark, sf)("supplier")
+    path = scratch_path(spark, "delimited")
+    supplier.select(
+        F.lit("x").alias("extra"),
+        F.concat(F.lit('Supplier "'), F.col("s_suppkey"), F.lit('", Ltd')).alias("name"),
+        F.when(F.col("s_suppkey") % 7 != 0, F.col("s_nationkey")).alias("nation"),
+        F.col("s_suppkey").alias("id"),
+        F.col("s_acctbal").alias("other"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    schema = spark.createDataFrame([], f"id {supplier.schema['s_suppkey'].dataType.simpleString()}, nation int, name string").schema
+    rows = read_delimited(spark, path, schema, where="id >= 3")
+    labels = literal_table(spark, {"nation": [0, 1, 2, 3], "label": ["north", "east", "south", "west"]}, "nation int, label string")
+    return rows.join(labels, "nation", "left").select("id", "nation", "name", F.coalesce("label", F.lit("none")).alias("label"))
+
+
 @query(
     "scan_project",
     """SELECT l_orderkey AS game, l_partkey AS member, l_quantity AS mins, l_extendedprice AS price,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -29,6 +31,17 @@ def has_checkpoint_dir(spark: SparkSession) -> bool:
     return spark.sparkContext.getCheckpointDir() is not None
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path nobody else uses in the folder that the cluster shares; on one machine alone,
+    a temporary folder may stand in for it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        folder = "file://" + tempfile.mkdtemp(prefix="panelspark-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` kept for the session: for tables that many later, lazy passes read."""
     if has_checkpoint_dir(df.sparkSession):
