@@ -24,17 +24,18 @@ REMEMBERED, RECENT, LONG = 800_000, 200_000, 64
 _SINGLE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 # Control characters that Python takes for blanks and the library does not.
 _ODD_BLANKS = "\x1c\x1d\x1e\x1f"
+_ONE_WORD = re.compile(rf"\S{{1,{LONG}}}").fullmatch
 # Beyond these letters lower-casing before normalising might differ from after.
 _BEYOND = re.compile("[^\x00-įı-ſ]")
 
 
 class _Memory:
     """Ids of words, each with ``blank`` before it. Words met first stay; of later ones the
-    newest go when there are too many. ``apart`` tells that a blank between two words
-    leaves both their ids as they are here."""
+    newest go when there are too many. ``between`` is what may stand between two words and
+    leave both their ids as they are here."""
 
-    def __init__(self, library: Tokenizer, blank: str, apart: bool):
-        self.library, self.blank, self.apart = library, blank, apart
+    def __init__(self, library: Tokenizer, blank: str, between: str):
+        self.library, self.blank, self.between = library, blank, between
         self.ids: dict[str, bytes] = {}
         self.passing: list[str] = []
 
@@ -46,10 +47,10 @@ class _Memory:
             for _ in range(RECENT):
                 self.ids.popitem()
         missing = words.difference(self.ids)
-        self.passing = [w for w in missing if len(w) > LONG]
         # Words go to the library many at a time, as one text; what is not one word goes alone.
-        alone = [w for w in missing if not self.apart or len(w) > LONG or w.split() != [w] or any(c in w for c in _ODD_BLANKS)]
-        together = list(missing.difference(alone))
+        together = list(filter(_ONE_WORD, missing))
+        alone = list(missing.difference(together))
+        self.passing = [w for w in alone if len(w) > LONG]
         for at in range(0, len(together), 512):
             self._together(together[at : at + 512])
         for at in range(0, len(alone), 512):
@@ -59,12 +60,13 @@ class _Memory:
 
     def _together(self, words: list[str]) -> None:
         """Ids of words from those of a text of them, by where in it each id ends."""
-        found = self.library.encode(self.blank + " ".join(words), add_special_tokens=False)
+        found = self.library.encode(self.blank + self.between.join(words), add_special_tokens=False)
         ends = np.cumsum([len(w) + 1 for w in words]) - 1 + len(self.blank)
-        reach = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 1]
-        cuts = np.concatenate([[0], np.searchsorted(reach, ends, "right")])
+        begins = ends - [len(w) + len(self.blank) for w in words]
+        reach = np.array([end for _, end in found.offsets], np.int64)
+        first, last = (4 * np.searchsorted(reach, at, "right") for at in (begins, ends))
         ids = np.array(found.ids, "<u4").tobytes()
-        for word, a, b in zip(words, (4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist(), strict=True):
+        for word, a, b in zip(words, first.tolist(), last.tolist(), strict=True):
             self.ids[word] = ids[a:b]
 
 
@@ -76,34 +78,36 @@ class Encoder:
         self.added = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
         blanks_vanish = self.library.normalizer is not None and not self.library.encode(" ", add_special_tokens=False).ids
         self.cut = self._words if blanks_vanish else self._spaced
-        self.plain, self.spaced = _Memory(self.library, "", blanks_vanish), _Memory(self.library, " ", True)
+        self.plain, self.spaced = _Memory(self.library, "", " " if blanks_vanish else "\n"), _Memory(self.library, " ", " ")
+        self.line = np.array(self.library.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
     def _whole(self, text: str, low: str) -> bool:
         return any(a in low for a in self.added) or any(c in text for c in _ODD_BLANKS)
 
-    def _words(self, text: str) -> tuple[list[str], list[str]]:
+    def _words(self, text: str) -> list[tuple[list[str], list[str]]]:
         """For vocabularies that drop blanks and case."""
         low = text.lower()
         if self._whole(text, low):
-            return [text], []
-        return (text if _BEYOND.search(text) else low).split(), []
+            return [([text], [])]
+        return [((text if _BEYOND.search(text) else low).split(), [])]
 
-    def _spaced(self, text: str) -> tuple[list[str], list[str]]:
-        """For byte-level vocabularies: the first word, and those with a blank before them."""
+    def _spaced(self, text: str) -> list[tuple[list[str], list[str]]]:
+        """For byte-level vocabularies: of each line the first word, and those with a blank
+        before them. A line break between two words is an id of its own."""
         if self._whole(text, text.lower()):
-            return [text], []
+            return [([text], [])]
         if len(text.split()) != text.count(" ") + text.count("\n") + 1:  # blanks side by side, or others
             first, *rest = _SINGLE_BLANK.split(text)
-            return [first], [w[1:] for w in rest]
-        first, *rest = text.split(" ")
-        return [first], rest
+            return [([first], [w[1:] for w in rest])]
+        lines = [line.split(" ") for line in text.split("\n")]
+        return [(words[:1], words[1:]) for words in lines]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
         for memory, at in ((self.plain, 0), (self.spaced, 1)):
-            memory.learn(set().union(*[c[at] for c in cut]))
+            memory.learn(set().union(*[line[at] for lines in cut for line in lines]))
         plain, spaced = self.plain.ids.__getitem__, self.spaced.ids.__getitem__
-        return [b"".join(map(plain, first)) + b"".join(map(spaced, rest)) for first, rest in cut]
+        return [self.line.join([b"".join([*map(plain, first), *map(spaced, rest)]) for first, rest in lines]) for lines in cut]
 
 
 @lru_cache(maxsize=4)
