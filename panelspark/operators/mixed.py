@@ -429,10 +429,9 @@ def _next_centre(points: list[np.ndarray], values: list[float], centre: np.ndarr
     step = _step(coef[1 : d + 1], hess, 2.0)
     moved = centre.copy()
     moved[free] += h * step
-    # the quadratic's value there, against the best point seen
-    gain = -(coef[0] + coef[1 : d + 1] @ step + step @ hess @ step / 2)
+    gain = -(coef[1 : d + 1] @ step + step @ hess @ step / 2)
     reach = np.linalg.norm(step)
-    return moved, h * (0.15 if reach <= 0.7 else 0.6 if reach < 1.99 else 1.4), float(max(gain, 0.0))
+    return moved, h * (0.15 if reach <= 0.7 else 0.6 if reach < 1.99 else 1.4), float(gain)
 
 
 def _settle(state: dict, free: dict, score, rounds: int, tol: float) -> None:
