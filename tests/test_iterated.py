@@ -193,3 +193,48 @@ def test_packed_partials_are_never_taken_apart(spark):
     assert "Generate" not in summed._jdf.queryExecution().toString()
     assert {r.model: list(r.m) for r in summed.collect()} == {k: [float(sum(range(k, 60, 3))), 20.0] for k in range(3)}
     assert gram.sum_arrays(partial.select("m"), [], 9).first().m == [float(sum(range(60))), 60.0]
+
+
+def test_best_plane_with_ties():
+    """Many rows on one plane, as where every row comes several times: the walk must not go in circles."""
+    rng = np.random.default_rng(5)
+    flag = np.repeat(rng.integers(0, 2, 60), 6).astype(float)
+    y = np.repeat(np.round(rng.random(60) * 50 + 1), 6) + 3 * flag
+    u = np.column_stack([np.ones(len(y)), flag])
+    found = weighted.best_plane(u, y, np.ones(len(y)), np.full(len(y), 0.3737), np.zeros(2), np.array([25.0, 3.0]))
+    a, b = (np.quantile(y[flag == f], 0.3737, method="inverted_cdf") for f in (0, 1))
+    np.testing.assert_allclose(found, [a, b - a], atol=1e-9)
+
+
+def test_quantile_of_copied_rows(spark):
+    """Every row forty times: the fit and its folds stay those of the rows, and few passes find them."""
+    rng = np.random.default_rng(6)
+    n = 400
+    pdf = pd.DataFrame({"a": (rng.random(n) < 0.4).astype(float), "y": np.round(rng.random(n) * 1000, 2), "fold": np.arange(n) % 3})
+    rows = spark.createDataFrame(pdf).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40)))).repartition(4)
+    scored = quantile.cv_quantile(rows, ModelSpec("y", ["a"]), 0.3737).distinct().toPandas()
+    for k in range(3):
+        for a in (0.0, 1.0):
+            expected = np.quantile(pdf[(pdf.fold != k) & (pdf.a == a)]["y"], 0.3737, method="inverted_cdf")
+            np.testing.assert_allclose(scored[(scored.fold == k) & (scored.a == a)]["pred"], expected, rtol=1e-9)
+
+
+def test_blocks_of_rows_and_models_are_bounded(monkeypatch):
+    """Neither a large batch nor many models make the arrays of a step large; the sums stay the same."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    batch = pa.RecordBatch.from_pydict({"x0": rng.random(5000), "y": rng.random(5000)})
+    models = weighted.Models.grid(2, tau=np.linspace(0.1, 0.9, 300))
+    scaling = (np.zeros(1), np.ones(1), 0.0, 1.0)
+    sizes = []
+
+    def step(base, u, y, part):
+        sizes.append(base.size)
+        return weighted.start_step(base, u, y, part)
+
+    width = 3 + 2 + 2
+    (out,) = weighted._sums_task(scaling, models, step, width)(iter([batch]))
+    assert max(sizes) <= 1 << 18
+    total = np.array(out.column("m").to_pylist())
+    assert np.allclose(total[:, 0], 5000) and np.allclose(total[:, 3], batch.column("y").to_numpy().sum())
