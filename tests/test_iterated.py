@@ -206,8 +206,10 @@ def test_best_plane_with_ties():
     np.testing.assert_allclose(found, [a, b - a], atol=1e-9)
 
 
-def test_quantile_of_copied_rows(spark):
-    """Every row forty times: the fit and its folds stay those of the rows, and few passes find them."""
+def test_quantile_of_copied_rows(spark, monkeypatch):
+    """Every row forty times: the folds' fits stay those of the rows, by the search for many rows."""
+    monkeypatch.setattr(weighted, "MANY_ROWS", 1000, raising=False)
+    monkeypatch.setattr(quantile, "MANY_ROWS", 1000, raising=False)
     rng = np.random.default_rng(6)
     n = 400
     pdf = pd.DataFrame({"a": (rng.random(n) < 0.4).astype(float), "y": np.round(rng.random(n) * 1000, 2), "fold": np.arange(n) % 3})
