@@ -980,14 +980,15 @@ FEATURE_SETS = {
 @query("cluster_profile")
 def cluster_profile(spark, sf):
     """Salary share by cluster of the members' rates, clusters in order of their mean."""
-    grouped = cluster.kmeans_groups(cluster_rows(spark, sf), FEATURE_SETS["tot_mean"], 8, seeds=(SEED, INNER_SEED))
+    rows = pinned(cluster_rows(spark, sf))
+    grouped = cluster.kmeans_groups(rows, FEATURE_SETS["tot_mean"], 8, seeds=(SEED, INNER_SEED))
     return cluster.cluster_profile(grouped, "share")
 
 
 @query("cluster_rank")
 def cluster_rank(spark, sf):
     """Average share by salary rank beside the ordered means of three clusterings."""
-    rows = cluster_rows(spark, sf)
+    rows = pinned(cluster_rows(spark, sf))
     ranked = panel.rank_labels(rows, KEYS, "share", 8, ["member"])
     means = explore.mean_band(ranked, ["rank"], "share")
     profiles = {

@@ -68,3 +68,18 @@ def test_vectors_and_edges(spark):
     assert cluster.kmeans_vectors(df.limit(0), "v", 3).count() == 0
     table = cluster.cluster_profile(grouped.withColumn("share", F.col("id") * 1.0), "share").collect()
     assert [r["position"] for r in table] == [1, 2, 3] and table[0]["mean"] >= table[1]["mean"]
+
+
+def test_rows_of_the_queries_are_computed_once(spark, tmp_path):
+    from panelspark.plans import catalog
+
+    lines = pd.DataFrame({"l_partkey": np.arange(120) % 40, "l_suppkey": np.arange(120) % 4})
+    lines["l_shipdate"] = pd.to_datetime("1995-01-01").date()
+    for i, c in enumerate(("l_quantity", "l_extendedprice", "l_discount", "l_tax")):
+        lines[c] = 1.0 + np.arange(120) * (i + 3) % 17
+    lines["l_returnflag"], lines["l_linestatus"] = np.where(np.arange(120) % 3 == 0, "A", "R"), "F"
+    spark.createDataFrame(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(4)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    for name in ("cluster_rank", "cluster_profile"):
+        plan = catalog.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().withCachedData().toString()
+        assert "lineitem" not in plan and ("InMemoryRelation" in plan or "ExistingRDD" in plan or "LogicalRDD" in plan)
