@@ -124,9 +124,9 @@ def ols_from_moments(m: np.ndarray, shift: np.ndarray, terms: Sequence[str]) ->
     )
 
 
-def fit_ols(df: DataFrame, spec: ModelSpec) -> OlsFit:
-    """Least squares in one pass for the means and one for the moments."""
-    moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
+def fit_ols(df: DataFrame, spec: ModelSpec, moments: Moments | None = None) -> OlsFit:
+    """Least squares in one pass for the means and one for the moments; none for given moments of the same rows."""
+    moments = moments or collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
     return ols_from_moments(moments.total, moments.shift, spec.terms)
 
 
@@ -166,10 +166,13 @@ def fold_coefficients_ols(moments: Moments) -> dict:
     }
 
 
-def cv_ols(df: DataFrame, spec: ModelSpec, fold: str = "fold", keep: Sequence[str] = ()) -> DataFrame:
-    """Out-of-fold predictions for every complete row; without terms, the training mean."""
+def cv_ols(
+    df: DataFrame, spec: ModelSpec, fold: str = "fold", keep: Sequence[str] = (), moments: Moments | None = None
+) -> DataFrame:
+    """Out-of-fold predictions for every complete row; without terms, the training mean.
+    Given moments are those of the same rows, by fold first."""
     rows = design_rows(df, spec, [fold, *keep])
-    moments = collect_moments(rows, [*spec.terms, spec.label], [fold])
+    moments = moments or collect_moments(rows, [*spec.terms, spec.label], [fold])
     return predict_by_fold(rows, spec.terms, fold_coefficients_ols(moments), fold)
 
 
@@ -316,15 +319,15 @@ def best_by_criterion(
 
 def lasso_bic(
     df: DataFrame, spec: ModelSpec, extended: bool = False, lambdas: Sequence[float] | None = None,
-    count_intercept: bool = True,
+    count_intercept: bool = True, moments: Moments | None = None,
 ) -> PenalisedFit:
     """Lasso with the penalty chosen by BIC or EBIC.
 
     By default EBIC's number of models counts the intercept as a chosen column,
     which makes the model with every column win; ``count_intercept=False`` is
-    the published form.
+    the published form. Given moments are those of the same rows.
     """
-    moments = collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
+    moments = moments or collect_moments(design_rows(df, spec), [*spec.terms, spec.label])
     grid_in = None if lambdas is None else np.asarray(lambdas, float)
     st, grid, slopes, values, nonzero, best = best_by_criterion([moments.total], extended, grid_in, count_intercept)
     rows = [
@@ -397,11 +400,13 @@ def penalised_cv_many(
 
 
 def penalised_cv(
-    df: DataFrame, spec: ModelSpec, fold: str = "fold", rule: str = "min", ridge: bool = False
+    df: DataFrame, spec: ModelSpec, fold: str = "fold", rule: str = "min", ridge: bool = False,
+    moments: Moments | None = None,
 ) -> PenalisedFit:
-    """Lasso (or ridge) with the penalty chosen by K-fold error, in one pass."""
+    """Lasso (or ridge) with the penalty chosen by K-fold error, in one pass; none for
+    given moments of the same rows, by fold first."""
     rows = design_rows(df, spec, [fold])
-    moments = collect_moments(rows, [*spec.terms, spec.label], [fold])
+    moments = moments or collect_moments(rows, [*spec.terms, spec.label], [fold])
     total, train, test = moments.total, moments.training(), moments.margin(0)
     picked = penalised_cv_many([total], [[(train[k], test[k]) for k in test]], rule, ridge)
     slopes, grid, mean, se, at, path = picked[0]
@@ -441,22 +446,25 @@ def cv_penalised(
     inner_fold: str = "inner_fold",
     keep: Sequence[str] = (),
     count_intercept: bool = True,
+    moments: Moments | None = None,
 ) -> DataFrame:
-    """Out-of-fold predictions of lasso or ridge, the penalty chosen inside each training set."""
+    """Out-of-fold predictions of lasso or ridge, the penalty chosen inside each training set.
+
+    Given moments are those of the same rows, by fold and, for ``criterion="cv"``, inner fold."""
     if criterion not in ("cv", "bic", "ebic") or (ridge and criterion != "cv"):
         raise ValueError(f"criterion {criterion!r} not implemented")
     rows = design_rows(df, spec, [fold, inner_fold, *keep] if criterion == "cv" else [fold, *keep])
     columns = [*spec.terms, spec.label]
     if not spec.terms:
-        moments = collect_moments(rows, columns, [fold])
+        moments = moments or collect_moments(rows, columns, [fold])
         return predict_by_fold(rows, [], fold_coefficients_ols(moments), fold)
     if criterion == "cv":
-        moments = collect_moments(rows, columns, [fold, inner_fold])
+        moments = moments or collect_moments(rows, columns, [fold, inner_fold])
         fits, pairs = nested_training(moments)
         picked = penalised_cv_many(list(fits.values()), [pairs[k] for k in fits], rule, ridge)
         slopes = {k: p[0] for k, p in zip(fits, picked, strict=True)}
     else:
-        moments = collect_moments(rows, columns, [fold])
+        moments = moments or collect_moments(rows, columns, [fold])
         fits = moments.training()
         _, _, b, _, _, best = best_by_criterion(
             list(fits.values()), criterion == "ebic", count_intercept=count_intercept

@@ -1061,23 +1061,25 @@ def report_errors_group(spark, sf):
     """In- and out-of-fold errors of least squares, both lassos and model averaging."""
     rows = pinned(folded(spark, sf))
     base = design_rows(rows, LONG)
+    # one pass under all models: totals and training sets are sums of the cells of both folds
+    moments = gram.collect_moments(design_rows(rows, LONG, ["fold", "inner_fold"]), [*LONG.terms, LONG.label], ["fold", "inner_fold"])
     inside = lambda b: linear.predict(base, LONG.terms, b)
-    evidence, probabilities = select.fit_bayes(rows, LONG)
+    evidence, probabilities = select.fit_bayes(rows, LONG, moments=moments)
     averaged = select.averaged_coefficients(probabilities, evidence, LONG.terms)
     by_term = {r["term"]: r["estimate"] for r in averaged.collect()}
     bayes = np.array([by_term[t] for t in [linear.INTERCEPT, *LONG.terms]])
     return report.error_table(
         {
-            "OLS": (inside(linear.fit_ols(rows, LONG).coefficients), linear.cv_ols(rows, LONG)),
+            "OLS": (inside(linear.fit_ols(rows, LONG, moments=moments).coefficients), linear.cv_ols(rows, LONG, moments=moments)),
             "L1 penalisation (BIC)": (
-                inside(linear.lasso_bic(rows, LONG).coefficients),
-                linear.cv_penalised(rows, LONG, criterion="bic"),
+                inside(linear.lasso_bic(rows, LONG, moments=moments).coefficients),
+                linear.cv_penalised(rows, LONG, criterion="bic", moments=moments),
             ),
             "L1 penalisation (CV)": (
-                inside(linear.penalised_cv(rows, LONG).coefficients),
-                linear.cv_penalised(rows, LONG, criterion="cv"),
+                inside(linear.penalised_cv(rows, LONG, moments=moments).coefficients),
+                linear.cv_penalised(rows, LONG, criterion="cv", moments=moments),
             ),
-            "Bayesian model selection": (inside(bayes), select.cv_bayes(rows, LONG)),
+            "Bayesian model selection": (inside(bayes), select.cv_bayes(rows, LONG, moments=moments)),
         },
         LONG.label,
     )

@@ -188,3 +188,34 @@ def test_design(spark):
     rows = design_rows(df, ModelSpec("y", ["a", "b"], [("a", "b")])).collect()
     assert [tuple(r) for r in rows] == [(1.0, 2.0, 3.0, 6.0)]
     assert [r[0] for r in value_grid(spark, 0.0, 1.0, 5).orderBy("value").collect()] == [0.0, 0.25, 0.5, 0.75, 1.0]
+
+
+def test_given_moments_need_no_pass(spark, monkeypatch):
+    from panelspark.operators import gram, linear, select
+    from panelspark.operators.design import ModelSpec, design_rows
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 5))
+    pdf = pd.DataFrame(x, columns=list("abcde")).assign(y=x @ [1.0, 0, 2, 0, 0.5] + rng.normal(size=300), id=range(300))
+    df = gram.assign_folds(gram.assign_folds(spark.createDataFrame(pdf), ["id"], 4, 1), ["id"], 4, 2, "inner_fold")
+    spec = ModelSpec("y", list("abcde"))
+    moments = gram.collect_moments(design_rows(df, spec, ["fold", "inner_fold"]), [*spec.terms, "y"], ["fold", "inner_fold"])
+    fits = [
+        lambda **k: linear.fit_ols(df, spec, **k).coefficients,
+        lambda **k: linear.lasso_bic(df, spec, **k).coefficients,
+        lambda **k: linear.penalised_cv(df, spec, **k).coefficients,
+        lambda **k: select.fit_bayes(df, spec, **k)[0][-1].sy,
+        *[
+            lambda f=f, **k: [r["pred"] for r in f(df, spec, keep=["id"], **k).orderBy("id").collect()]
+            for f in (linear.cv_ols, linear.cv_penalised, lambda *a, **k: linear.cv_penalised(*a, criterion="bic", **k), select.cv_bayes)
+        ],
+    ]
+    want = [fit() for fit in fits]
+
+    def no_pass(*a, **k):
+        raise AssertionError("a pass over the rows")
+
+    monkeypatch.setattr(linear, "collect_moments", no_pass)
+    monkeypatch.setattr(select, "collect_moments", no_pass)
+    for fit, values in zip(fits, want, strict=True):
+        np.testing.assert_allclose(fit(moments=moments), values, rtol=1e-9, atol=1e-9)
