@@ -204,7 +204,8 @@ def learn(
     and the score is the share of toxic rows.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(known, "id")
+    # labels grow with the documents, so the join is the same at any size
+    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(known.hint("merge"), "id")
     rows = written(rows.select("text", "toxic"), "labelled")
     size = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
