@@ -12,13 +12,16 @@ pieces all stay apart when they are merged alone, pair by pair; every boundary h
 exactly one such path, and it is what merging the whole text yields.
 
 Words that come again are looked up: where no piece can reach across a boundary, the
-paths meet there, so what stands between two such boundaries has ids of its own.
+paths meet there, so what stands between two such boundaries has ids of its own. New
+words are searched in their order, so that those with the same beginning share its
+boundaries and their best paths.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,8 @@ from pyspark.sql.types import BinaryType, StringType
 BLANK = "▁"
 #: Words that a worker remembers (the first it meets), and pairs of pieces before it starts anew.
 REMEMBERED = 1_000_000
+#: Characters of texts whose words are looked up together.
+TOGETHER = 4_000_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -85,8 +90,11 @@ class Model:
         self.unknown_score = min(self.scores.values()) - 10.0
         # no piece holds a blank after another character: paths meet before every word
         self.words_meet = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}  # right piece, left piece
+        self.paired = 0
         self.ends: dict[int, tuple] = {}
+        self.grown: dict[str, dict] = {}  # beginnings of pieces, by character: what they grow to
+        self.steps = 0
         self.memory: dict[str, bytes] = {}
 
     def normal(self, text: str) -> str:
@@ -128,7 +136,8 @@ class Model:
 
         Their merges go on side by side, the better score first and the left piece's
         on a tie, until a merge across the boundary would come before both or none is left."""
-        known = self.pairs.get((left, right))
+        beside = self.pairs.setdefault(right, {})
+        known = beside.get(left)
         if known is not None:
             return known
         (ours, _, one), (_, theirs, other) = self._ends(left), self._ends(right)
@@ -149,9 +158,12 @@ class Model:
                 i += 1
             else:
                 j += 1
-        if len(self.pairs) > REMEMBERED:
-            self.pairs.clear()
-        self.pairs[left, right] = known
+        if self.paired > REMEMBERED:
+            for held in self.pairs.values():
+                held.clear()
+            self.paired = 0
+        beside[left] = known
+        self.paired += 1
         return known
 
     def stream(self, chars: Iterator[str]) -> Iterator[tuple[int, ...]]:
@@ -219,22 +231,105 @@ class Model:
             at = best[at][1]
         return tuple(i for p in reversed(parts) for i in p)
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text."""
-        normal = self.normal(text)
+    def _grow(self, node: str, char: str) -> tuple[str, dict, list]:
+        """The longest end of ``node + char`` that a piece begins with, what is known of how
+        that grows, and the pieces that end there, longest first: piece, length, ids and its
+        known neighbours to the left; -1 for a character without a piece."""
+        if self.steps > REMEMBERED:
+            for held in self.grown.values():
+                held.clear()
+            self.steps = 0
+        self.steps += 1
+        text = node + char
+        while text and text not in self.starts:
+            text = text[1:]
+        ends = [(self.ids[text[k:]], len(text) - k) for k in range(len(text)) if text[k:] in self.ids]
+        found = [(i, n, i.to_bytes(4, "little"), self.pairs.setdefault(i, {})) for i, n in ends]
+        if char not in self.ids:
+            found.append((-1, 1, np.array(self._fallback(char), "<u4").tobytes(), {}))
+        return text, self.grown.setdefault(text, {}), found
+
+    def search(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of a merge model, each by itself. The best path to a boundary hangs
+        on what stands before it only, so boundaries are kept as far as a word begins like
+        the last one. No word is longer than 64 characters."""
+        apart = self._apart
+        # per boundary: how the longest beginning of a piece that ends there grows, the best path's last piece and ids
+        grows: list = [("", self.grown.setdefault("", {}))] * 65
+        last, path = [-1] * 65, [b""] * 65
+        out, before = {}, ""
+        for word in sorted(words):
+            same = 0
+            for x, y in zip(before, word, strict=False):
+                if x != y:
+                    break
+                same += 1
+            node = grows[same]
+            for end, char in enumerate(word[same:], same + 1):
+                hit = node[1].get(char)
+                if hit is None:
+                    text, onwards, found = self._grow(node[0], char)
+                    hit = node[1][char] = (text, onwards), found
+                node, found = hit
+                grows[end] = node
+                last[end] = -2  # no path
+                for piece, n, ids, beside in found:
+                    prior = last[end - n]
+                    # a boundary has one path, so the first one found is it
+                    if prior < 0 or piece < 0:
+                        fits = prior != -2
+                    else:
+                        fits = beside.get(prior)
+                        if fits is None:
+                            fits = apart(prior, piece)
+                    if fits:
+                        last[end] = piece
+                        path[end] = path[end - n] + ids
+                        break
+            out[word] = path[len(word)]
+            before = word
+        return out
+
+    def _keys(self, text: str) -> list[str]:
+        """The words of a text; one after a single blank stands without it, where a text begins with a blank."""
+        if self.prefix and text and "  " not in text and BLANK not in text and text[0] != " " != text[-1]:
+            return text.split(" ")
+        return _words(self.normal(text))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, packed as little-endian unsigned 32-bit integers."""
         if not self.words_meet:
-            return np.fromiter((i for run in self.stream(normal) for i in run), dtype="<u4")
-        parts: list[bytes] = []
+            return [np.fromiter((i for run in self.stream(self.normal(t)) for i in run), dtype="<u4").tobytes() for t in texts]
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(self._keys(text))
+            size += len(text)
+            if size >= TOGETHER:
+                out += self._looked_up(held)
+                held, size = [], 0
+        return out + self._looked_up(held)
+
+    def _looked_up(self, texts: list[list[str]]) -> list[bytes]:
         memory = self.memory
-        for word in _words(normal):
-            ids = memory.get(word)
-            if ids is None:
-                short = len(word) <= 64
-                ids = b"".join(np.array(run, "<u4").tobytes() for run in self.stream((word,) if short else word))
-                if short and len(memory) < REMEMBERED:
-                    memory[word] = ids
-            parts.append(ids)
-        return np.frombuffer(b"".join(parts), "<u4")
+        keys = set().union(*texts)
+        new = {k: k if BLANK in k or not self.prefix else BLANK + k for k in keys.difference(memory)}
+        short = {k: w for k, w in new.items() if len(w) <= 64 and self.merges}
+        ids = self.search(list(set(short.values())))
+        found = {k: ids[w] for k, w in short.items()}
+        for key, word in new.items():
+            if key not in short:
+                found[key] = b"".join(np.array(run, "<u4").tobytes() for run in self.stream(word))
+        room = REMEMBERED - len(memory)
+        if room > 0:
+            memory.update(islice(((k, i) for k, i in found.items() if len(k) <= 64), room))
+        known = memory
+        if not found.keys() <= memory.keys():
+            known = found | {k: memory[k] for k in keys if k in memory}
+        return [b"".join(map(known.__getitem__, t)) for t in texts]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text."""
+        return np.frombuffer(self.encode_all([text])[0], "<u4")
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -289,8 +384,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", to: str = "ids") -> D
 
     @F.pandas_udf(BinaryType())
     def run(texts: pd.Series) -> pd.Series:
-        own = model(path)
-        return pd.Series([own.encode(t or "").tobytes() for t in texts])
+        return pd.Series(model(path).encode_all([t or "" for t in texts]))
 
     return docs.withColumn(to, run(F.col(text).cast("string")))
 

@@ -1,5 +1,8 @@
 """SentencePiece: ids equal the library's, streaming equals whole search, round trips."""
 
+import random
+
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -79,3 +82,38 @@ def test_queries_and_edges(spark):
     assert pieces.encode(docs.limit(0), PATH).count() == 0
     none = pieces.decode(docs.select(F.lit(None).cast("binary").alias("ids")), PATH)
     assert none.where("decoded is null").count() == len(rows)
+
+
+def test_new_words_share_the_boundaries_of_their_beginnings(monkeypatch):
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("abeinrst'é😀<漢") for _ in range(rng.randint(1, 12))) for _ in range(40)]
+    words = [rng.choice(stems) + rng.choice(stems)[: rng.randint(0, 9)] for _ in range(2000)] + ["x" * 64, "x" * 65, "ab" * 400, "abc"]
+    texts = [" ".join(rng.sample(words, rng.randint(1, 60))) for _ in range(200)]
+    texts += ["", " ", "  two  blanks ", "a▁b", "▁", " x", "x ", *words[-4:]]
+    want = LIBRARY.encode(texts)
+    plain = [" ".join(w) for w in zip(words[::2], words[1::2], strict=True)]
+    for remembered, together in ((1_000_000, 4_000_000), (50, 300)):  # also where little is remembered
+        monkeypatch.setattr(pieces, "REMEMBERED", remembered)
+        monkeypatch.setattr(pieces, "TOGETHER", together)
+        own = pieces.Model(PATH)
+        assert [np.frombuffer(i, "<u4").tolist() for i in own.encode_all(texts)] == want
+        assert [np.frombuffer(i, "<u4").tolist() for i in own.encode_all(plain)] == LIBRARY.encode(plain)
+        assert len(own.memory) <= remembered and own.encode_all([]) == []
+
+
+def test_shared_boundaries_are_computed_once():
+    own, known = pieces.Model(PATH), [0]
+    grown = own._grow
+    own._grow = lambda *a: (known.__setitem__(0, known[0] + 1), grown(*a))[1]
+    words = [pieces.BLANK + "question" + c * n for c in "abc" for n in range(20)]
+    found = own.search(words)
+    assert all(np.frombuffer(found[w], "<u4").tolist() == [i for r in own.stream(w) for i in r] for w in words)
+    assert known[0] <= len("question") + 1 + 3 * 19
+
+
+def test_unigram_words_are_streamed():
+    own = pieces.Model(PATH)
+    own.merges = False
+    own.scores = {i: -1.0 - (i * 7919 % 1000) / 300 for i in own.scores}
+    text = "the best path of the words"
+    assert own.encode(text).tolist() == [i for w in pieces._words(own.normal(text)) for r in own.stream(w) for i in r]
