@@ -2,20 +2,23 @@
 
 Neither of the two kinds of vocabulary merges across a blank that stands between
 words, so a text's ids are those of its words in turn. Words are looked up in a
-dictionary that lives as long as the Python worker and holds a bounded number of
-them; what is missing is encoded in one batch by the library. A text in which the
+dictionary that holds a bounded number of them and lives in the Python worker until a
+task of an operator without tokens starts there; what is missing is encoded in one batch by the library. A text in which the
 cut would not be safe (one with odd control characters, or with an added token of the
 vocabulary written out in it) is encoded as a whole.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from panelspark.llm._shared import keep
+
 #: Words that a worker remembers for good, and for a while (together about 200 MB), and
 #: the length from which a word is forgotten with its batch.
 REMEMBERED, RECENT, LONG = 800_000, 200_000, 64
@@ -119,6 +122,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@keep
+def _forget() -> None:
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        gc.collect()  # an encoder holds a method of its own
+
+
 def batches_of(rows: list, size: int = 2 << 20):
     """Slices of ``(key, text)`` rows with about ``size`` characters each."""
     part, many = [], 0

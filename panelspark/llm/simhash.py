@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm._graph import connected_components
-from panelspark.llm._shared import checkpointed
+from panelspark.llm._shared import checkpointed, drop_kept
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
@@ -42,6 +42,7 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def _fingerprints(batches, shingle, seed):
+    drop_kept()
     for batch in batches:
         prints = np.fromiter((fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()), dtype=np.uint64, count=batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "print"])

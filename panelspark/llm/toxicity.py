@@ -25,7 +25,7 @@ from pyspark.ml.linalg import DenseMatrix
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._shared import written
+from panelspark.llm._shared import drop_kept, written
 
 # Letters of other scripts that look like Latin ones, and substitutes.
 HOMOGLYPHS = {
@@ -103,6 +103,7 @@ def scorer(lexicon: Lexicon):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        drop_kept()
         automaton = lexicon.automaton()
         x = np.array([_features(fold(t), automaton) for t in texts]).reshape(-1, 2)
         return pd.Series(1 / (1 + np.exp(-(lexicon.intercept + x @ np.array(lexicon.slopes)))))
@@ -116,6 +117,7 @@ _WORD = re.compile(r"[^\W_]+")
 def _count(batches, terms):
     """Per task, in how many toxic and clean texts a word occurs; given terms, a
     word of theirs with its neighbour."""
+    drop_kept()
     counts: dict[str, list[int]] = {}
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

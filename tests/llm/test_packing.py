@@ -1,15 +1,18 @@
 """Packing: ids equal the library's, capacities hold, few sequences."""
 
+import weakref
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from panelspark.llm import _tokens, packing
+from panelspark.llm import _tokens, packing, passages, simhash, toxicity
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -133,3 +136,23 @@ def test_document_and_attention_limits_bind(rule):
     assert made([10] * 9, 100, 3, 10**9) == [3, 3, 3]
     assert made([50] * 4, 100, 100, 10**9) == [2, 2]
     assert made([50] * 4, 100, 100, 4000) == [1, 1, 1, 1]
+
+
+@pytest.mark.parametrize(
+    "task",
+    [
+        lambda rows: list(simhash._fingerprints(rows.to_batches(), 3, 42)),
+        lambda rows: list(passages._block_windows(rows.to_batches(), passages.Rule(), 1 << 20)),
+        lambda rows: list(toxicity._count([pa.RecordBatch.from_pydict({"text": ["a b"], "toxic": [1]})], None)),
+        lambda rows: toxicity.scorer(toxicity.Lexicon()).func(pd.Series(["a b"])),
+    ],
+)
+def test_a_task_of_another_operator_drops_the_words(spark, task):
+    code = _tokens.encoder(WORD)
+    code.encode(["some words to remember"])
+    assert _tokens.encoder(WORD) is code
+    words = weakref.ref(code.plain)
+    del code
+    task(pa.table({"doc": [1], "text": [b"a b"]}))
+    assert not _tokens.encoder.cache_info().currsize and words() is None
+    assert _tokens.encoder(WORD).encode(["some words"]) == [WHOLE[WORD]("some words")]

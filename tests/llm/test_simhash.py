@@ -4,7 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from panelspark.llm import simhash
+from panelspark.llm import _graph, simhash
 from tests_llm_plain import simhash_of
 
 
@@ -87,6 +87,30 @@ def test_links_connect_like_all_pairs(spark, bits):
     assert sorted(map(sorted, have.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
+@pytest.mark.parametrize("pairs", [4096, 2])
+def test_rounds_of_few_pairs_are_kept_in_few_files(spark, monkeypatch, pairs):
+    made, real = [], _graph.checkpointed
+
+    def counted(df):
+        out = real(df)
+        made.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(_graph, "checkpointed", counted)
+    monkeypatch.setattr(_graph, "PAIRS", pairs)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "29")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        frame = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
+        got = {r.node: r.component for r in _graph.connected_components(frame).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 if i <= 20 else 21 for i in range(41)}
+    assert len(made) > 2 and max(made[1:]) == (_graph.FILES if pairs == 4096 else 20)
+
+
 def test_large_posting_list():
     rng = np.random.default_rng(5)
     values = np.unique(rng.integers(0, 1 << 16, 900, dtype=np.uint64)) | np.uint64(7 << 40)
