@@ -1,5 +1,6 @@
 """Quantile and generalised linear fits against exhaustive or independent solutions."""
 
+from dataclasses import replace
 from itertools import combinations
 
 import numpy as np
@@ -221,6 +222,46 @@ def test_quantile_of_copied_rows(spark, monkeypatch):
             np.testing.assert_allclose(scored[(scored.fold == k) & (scored.a == a)]["pred"], expected, rtol=1e-9)
 
 
+def test_many_models_of_many_rows_share_their_levels_passes(spark, monkeypatch):
+    """Folds and replicates end where the search for few rows ends, without passes of their own."""
+    rng = np.random.default_rng(12)
+    n = 6000
+    pdf = pd.DataFrame({"id": np.arange(n), "a": rng.standard_normal(n), "b": rng.exponential(size=n), "fold": rng.integers(0, 5, n)})
+    pdf["y"] = 2 * pdf["a"] + pdf["b"] + (1 + 0.5 * pdf["b"]) * rng.standard_normal(n)
+    rows = spark.createDataFrame(pdf).repartition(4)
+
+    def both():
+        sweep = quantile.quantile_sweep(rows, SPEC, [0.25, 0.5]).toPandas()
+        boot = quantile.bootstrap_quantile(rows, SPEC, ["id"], replicates=30, seed=1).toPandas()
+        return sweep.to_numpy(float), boot.drop(columns="term").to_numpy(float)
+
+    expected = both()
+    for module in (weighted, quantile):
+        monkeypatch.setattr(module, "MANY_ROWS", 1000)
+    monkeypatch.setattr(quantile, "FIRST_ROWS", 2000, raising=False)
+    searched, fit = [], weighted.fit_quantiles
+    monkeypatch.setattr(quantile, "fit_quantiles", lambda design, models, *args, **kw: searched.append(len(models)) or fit(design, models, *args, **kw))
+    for got, want in zip(both(), expected, strict=True):
+        np.testing.assert_allclose(got, want, rtol=1e-9)
+    assert max(searched) <= 2  # levels, and not 12 or 31 models
+
+
+def test_models_outside_the_shared_band_are_not_proven(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    pdf = pd.DataFrame({"a": rng.standard_normal(3000), "fold": np.arange(3000) % 3})
+    pdf["y"] = pdf["a"] + rng.standard_normal(3000)
+    design = weighted.prepare(spark.createDataFrame(pdf), ["a"], "y", scale_label=True, fold="fold")
+    models = weighted.Models.grid(2, tau=[0.5] * 4, skip_fold=[-1, 0, 1, 2])
+    near, _, _ = weighted.fit_quantiles(design, models)
+    planes, exact = weighted.shared_planes(design, replace(models, beta=np.repeat(near.beta[:1], 4, axis=0)))
+    assert exact.all()
+    full, _ = weighted.finish_quantiles(design, near, *weighted.fit_quantiles(design, models)[1:])
+    np.testing.assert_allclose(planes, full.beta, rtol=1e-9)
+    monkeypatch.setattr(weighted, "SHARED_ROWS", 100)
+    away = np.repeat(near.beta[:1], 4, axis=0) + np.array([3.0, 0.0])
+    assert not weighted.shared_planes(design, replace(models, beta=away))[1].any()
+
+
 def test_blocks_of_rows_and_models_are_bounded(monkeypatch):
     """Neither a large batch nor many models make the arrays of a step large; the sums stay the same."""
     import pyarrow as pa
